@@ -23,13 +23,18 @@ def parse_records(
 ) -> DataFrame:
     """Replace the JSON text by the contract's fields and an `errors` array.
 
-    Each record is parsed once; other columns of `df` are carried along.
-    `on_overflow` says what happens to values their staging column cannot hold:
-    "reject" the record, or "clamp" the value when it is staged.
+    Other columns of `df` are carried along. `on_overflow` says what happens to
+    values their staging column cannot hold: "reject" the record, or "clamp" the
+    value when it is staged.
+
+    Text is parsed, and each field coerced, inside a generator of one row: a
+    plain projection would be copied into every later use of its columns, and a
+    filter on the errors would parse each record a hundred times.
     """
     carried = [c for c in df.columns if c != text]
-    parsed = df.select(*carried, F.try_parse_json(text).alias(_VARIANT))
-    coerced = parsed.select(*carried, _VARIANT, *[C.value(_VARIANT, f).alias(f.name) for f in contract])
+    parsed = df.select(*carried, F.explode(F.array(F.try_parse_json(text))).alias(_VARIANT))
+    fields = F.struct(*[C.value(_VARIANT, f).alias(f.name) for f in contract])
+    coerced = parsed.select(*carried, _VARIANT, F.inline(F.array(fields)))
     return coerced.select(
         *carried,
         *[f.name for f in contract],

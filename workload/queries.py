@@ -15,6 +15,7 @@ from obstar.operators.keys import lookup
 from obstar.operators.numbering import dense_ids
 from obstar.plans import counts
 from obstar.schemas import MEASURES
+from obstar.session import materialize
 from obstar.sources import runlog
 from workload import mappings as M
 from workload.mappings import table
@@ -55,7 +56,7 @@ def split_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _flat(spark, sf_dir)
+    flat = materialize(_flat(spark, sf_dir), "flat")  # feeds two relations
     name = ["nom", "region", "pays"]
     numbered = dense_ids(ingest.locations_of(flat), name, "id_lieu")
     placed = lookup(flat, numbered, name, ["id_lieu"], nullable=["region"])
@@ -224,7 +225,8 @@ def upsert_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _moved(spark, sf_dir)
     target = first.drop("_order")
-    return merge.count_actions(merge.upsert_actions(target, second, ["nom_ville"], ["_order"]))
+    actions = merge.upsert_actions(target, second, ["nom_ville"], ["_order"])
+    return merge.count_actions(actions)
 
 
 def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
