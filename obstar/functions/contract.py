@@ -10,28 +10,53 @@ from pyspark.sql import functions as F
 from obstar.functions.measures import clamp, fits
 from obstar.schemas import Field
 
+_ERRORS_TYPE = "array<struct<field:string,reason:string>>"
+
+
+def record_type(contract: Sequence[Field]) -> str:
+    """The nested struct type that holds every field of the contract."""
+    tree: dict = {}
+    for f in contract:
+        *parents, leaf = f.path.removeprefix("$.").split(".")
+        node = tree
+        for parent in parents:
+            node = node.setdefault(parent, {})
+        node[leaf] = f.kind
+
+    def ddl(node: dict | str) -> str:
+        if isinstance(node, str):
+            return node
+        return "struct<" + ",".join(f"{name}:{ddl(child)}" for name, child in node.items()) + ">"
+
+    return ddl(tree)
+
 
 def _node(variant: str, field: Field) -> Column:
     return F.try_variant_get(F.col(variant), field.path, "variant")
 
 
-def value(variant: str, field: Field) -> Column:
-    """The field coerced to its contract type; NULL if absent or not coercible.
+def value(variant: str, record: str, field: Field) -> Column:
+    """The coerced field of the typed record; NULL if absent or not coercible.
 
     A text field takes scalars only: an object or array is not its own JSON text.
     """
-    coerced = F.try_variant_get(F.col(variant), field.path, field.kind)
+    coerced = F.col(record + field.path.removeprefix("$"))
     if field.kind == "string":
-        nested = F.schema_of_variant(_node(variant, field)).rlike("^(OBJECT|ARRAY)")
-        return F.when(nested, F.lit(None)).otherwise(coerced)
+        looks_nested = coerced.startswith("{") | coerced.startswith("[")
+        is_nested = F.schema_of_variant(_node(variant, field)).rlike("^(OBJECT|ARRAY)")
+        return F.when(looks_nested & is_nested, F.lit(None)).otherwise(coerced)
     return coerced
 
 
 def reason(variant: str, field: Field, on_overflow: str) -> Column:
-    """Why the field is unacceptable, or NULL."""
-    node, got = _node(variant, field), F.col(field.name)
-    rule = F.when(node.isNull() | F.is_variant_null(node), "missing").when(
-        got.isNull(), "uncoercible"
+    """Why the field is unacceptable, or NULL.
+
+    The record is only looked into again where the coerced value is NULL.
+    """
+    got, node = F.col(field.name), _node(variant, field)
+    rule = F.when(
+        got.isNull(),
+        F.when(node.isNull() | F.is_variant_null(node), "missing").otherwise("uncoercible"),
     )
     if field.kind == "double":
         rule = rule.when(F.isnan(got) | (F.abs(got) == float("inf")), "not_finite")
@@ -43,18 +68,18 @@ def reason(variant: str, field: Field, on_overflow: str) -> Column:
     return rule
 
 
-def errors(variant: str, contract: Sequence[Field], on_overflow: str = "reject") -> Column:
+def errors(variant: str, contract: Sequence[Field], on_overflow: str) -> Column:
     """ARRAY<STRUCT<field, reason>>, empty for an acceptable record."""
-    found = F.array(
-        *[
-            F.struct(F.lit(f.name).alias("field"), reason(variant, f, on_overflow).alias("reason"))
-            for f in contract
-        ]
-    )
-    malformed = F.array(F.struct(F.lit("$").alias("field"), F.lit("malformed").alias("reason")))
-    return F.when(F.col(variant).isNull(), malformed).otherwise(
-        F.filter(found, lambda e: e["reason"].isNotNull())
-    )
+
+    def entry(field: str, why: Column) -> Column:
+        return F.array(F.struct(F.lit(field).alias("field"), why.alias("reason")))
+
+    none = F.array().cast(_ERRORS_TYPE)
+    found = []
+    for f in contract:
+        why = reason(variant, f, on_overflow)
+        found.append(F.when(why.isNotNull(), entry(f.name, why)).otherwise(none))
+    return F.when(F.col(variant).isNull(), entry("$", F.lit("malformed"))).otherwise(F.concat(*found))
 
 
 def staged(field: Field, on_overflow: str = "reject") -> Column:

@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _bound(sql_type: str) -> Decimal:
+def _range(sql_type: str) -> tuple[Decimal, Decimal]:
+    """The highest value of the type, and the first value that rounds beyond it."""
     precision, scale = map(int, re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", sql_type).groups())
-    return Decimal(10) ** (precision - scale) - Decimal(1).scaleb(-scale)
+    step = Decimal(1).scaleb(-scale)
+    top = Decimal(10) ** (precision - scale) - step
+    return top, top + step / 2
 
 
 def fits(col: Column, sql_type: str) -> Column:
     """True where the value, once rounded half up, is in the range of the type."""
-    return col.try_cast(sql_type).isNotNull()
+    return F.abs(col) < float(_range(sql_type)[1])
 
 
 def clamp(col: Column, sql_type: str) -> Column:
     """Round half up to the type, moving values beyond its range to its ends."""
-    top = _bound(sql_type)
+    top, _ = _range(sql_type)
     return (
         F.when(col.isNull(), F.lit(None))
         .when(col >= F.lit(float(top)), F.lit(top))

@@ -12,7 +12,7 @@ from obstar.functions import times
 from obstar.schemas import OBSERVATION, Field
 
 ERRORS = "errors"
-_VARIANT = "_variant"
+_VARIANT, _RECORD = "_variant", "_record"
 
 
 def parse_records(
@@ -27,19 +27,19 @@ def parse_records(
     values their staging column cannot hold: "reject" the record, or "clamp" the
     value when it is staged.
 
-    Text is parsed, and each field coerced, inside a generator of one row: a
-    plain projection would be copied into every later use of its columns, and a
-    filter on the errors would parse each record a hundred times.
+    Text is parsed and typed inside generators of one row: a plain projection
+    would be copied into every use of its columns, and a filter on the errors
+    would parse each record a hundred times.
     """
     carried = [c for c in df.columns if c != text]
+    names = [f.name for f in contract]
+
     parsed = df.select(*carried, F.explode(F.array(F.try_parse_json(text))).alias(_VARIANT))
-    fields = F.struct(*[C.value(_VARIANT, f).alias(f.name) for f in contract])
-    coerced = parsed.select(*carried, _VARIANT, F.inline(F.array(fields)))
-    return coerced.select(
-        *carried,
-        *[f.name for f in contract],
-        C.errors(_VARIANT, contract, on_overflow).alias(ERRORS),
-    )
+    record = F.try_variant_get(_VARIANT, "$", C.record_type(contract))
+    typed = parsed.select(*carried, _VARIANT, F.explode(F.array(record)).alias(_RECORD))
+    values = [C.value(_VARIANT, _RECORD, f).alias(f.name) for f in contract]
+    coerced = typed.select(*carried, _VARIANT, *values)
+    return coerced.select(*carried, *names, C.errors(_VARIANT, contract, on_overflow).alias(ERRORS))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
