@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obstar.functions.measures import clamp, fits
 from obstar.schemas import Field
 
+_END = "end of record"
 _ERRORS_TYPE = "array<struct<field:string,reason:string>>"
 
 
@@ -31,8 +32,29 @@ def record_type(contract: Sequence[Field]) -> str:
     return ddl(tree)
 
 
+def document(text: str) -> Column:
+    """The text as the first element of an array that is closed by a mark.
+
+    The JSON parser stops after the first value; only if the mark is found in
+    second and last place was the text one value with nothing after it.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
+
+
+def is_complete(variant: str) -> Column:
+    """True if the document held exactly one JSON value."""
+    mark = F.try_variant_get(F.col(variant), "$[1]", "string")
+    rest = F.try_variant_get(F.col(variant), "$[2]", "variant")
+    return F.coalesce((mark == _END) & rest.isNull(), F.lit(False))
+
+
+def typed_record(variant: str, contract: Sequence[Field]) -> Column:
+    """The document's record as a struct of the contract's types."""
+    return F.try_variant_get(F.col(variant), "$[0]", record_type(contract))
+
+
 def _node(variant: str, field: Field) -> Column:
-    return F.try_variant_get(F.col(variant), field.path, "variant")
+    return F.try_variant_get(F.col(variant), "$[0]" + field.path.removeprefix("$"), "variant")
 
 
 def value(variant: str, record: str, field: Field) -> Column:
@@ -68,7 +90,7 @@ def reason(variant: str, field: Field, on_overflow: str) -> Column:
     return rule
 
 
-def errors(variant: str, contract: Sequence[Field], on_overflow: str) -> Column:
+def errors(variant: str, complete: str, contract: Sequence[Field], on_overflow: str) -> Column:
     """ARRAY<STRUCT<field, reason>>, empty for an acceptable record."""
 
     def entry(field: str, why: Column) -> Column:
@@ -79,7 +101,7 @@ def errors(variant: str, contract: Sequence[Field], on_overflow: str) -> Column:
     for f in contract:
         why = reason(variant, f, on_overflow)
         found.append(F.when(why.isNotNull(), entry(f.name, why)).otherwise(none))
-    return F.when(F.col(variant).isNull(), entry("$", F.lit("malformed"))).otherwise(F.concat(*found))
+    return F.when(~F.col(complete), entry("$", F.lit("malformed"))).otherwise(F.concat(*found))
 
 
 def staged(field: Field, on_overflow: str = "reject") -> Column:

@@ -12,7 +12,7 @@ from obstar.functions import times
 from obstar.schemas import OBSERVATION, Field
 
 ERRORS = "errors"
-_VARIANT, _RECORD = "_variant", "_record"
+_DOCUMENT, _RECORD, _COMPLETE = "_document", "_record", "_complete"
 
 
 def parse_records(
@@ -34,12 +34,15 @@ def parse_records(
     carried = [c for c in df.columns if c != text]
     names = [f.name for f in contract]
 
-    parsed = df.select(*carried, F.explode(F.array(F.try_parse_json(text))).alias(_VARIANT))
-    record = F.try_variant_get(_VARIANT, "$", C.record_type(contract))
-    typed = parsed.select(*carried, _VARIANT, F.explode(F.array(record)).alias(_RECORD))
-    values = [C.value(_VARIANT, _RECORD, f).alias(f.name) for f in contract]
-    coerced = typed.select(*carried, _VARIANT, *values)
-    return coerced.select(*carried, *names, C.errors(_VARIANT, contract, on_overflow).alias(ERRORS))
+    parsed = df.select(*carried, F.explode(F.array(C.document(text))).alias(_DOCUMENT))
+    checked = F.struct(
+        C.typed_record(_DOCUMENT, contract).alias(_RECORD), C.is_complete(_DOCUMENT).alias(_COMPLETE)
+    )
+    typed = parsed.select(*carried, _DOCUMENT, F.inline(F.array(checked)))
+    values = [C.value(_DOCUMENT, _RECORD, f).alias(f.name) for f in contract]
+    coerced = typed.select(*carried, _DOCUMENT, _COMPLETE, *values)
+    errors = C.errors(_DOCUMENT, _COMPLETE, contract, on_overflow)
+    return coerced.select(*carried, *names, errors.alias(ERRORS))
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -75,20 +75,22 @@ def upsert(
     id_column: str | None = None,
     nullable: Collection[str] = (),
     id_start: int | None = None,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Overwrite the non-key columns of known keys and add rows with new keys.
 
     The last row of a key wins. Ids of known keys never change. A NULL in the
     batch overwrites. With nothing but key columns this is insert-ignore.
     `id_start` is the highest id in use where the target given here is only the
-    part of the table the batch can touch.
+    part of the table the batch can touch. `one_per_key` says that the source is
+    a stored table with one row per key, so nothing is left to reduce.
     """
     values = [c for c in target.columns if c in source.columns and c not in keys and c != id_column]
     if not values:
         return insert_ignore(target, source, keys, order_by, id_column, nullable)
 
-    batch = last_per_key(source, keys, order_by)
-    if id_column is not None:
+    batch = source if one_per_key else last_per_key(source, keys, order_by)
+    if id_column is not None and not one_per_key:
         batch = materialize(batch, "batch")
     fresh = fresh_rows(target, batch, keys, nullable)
     if id_column is not None:

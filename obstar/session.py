@@ -43,14 +43,15 @@ def scratch_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
     """Write a frame once and return a frame that reads it back.
 
     Cuts the lineage in a way that survives lost executors, fixes row ids and
     gives the planner the real size, so that later joins broadcast only what is
-    known to be small.
+    known to be small. `spark` is the session to read with, by default the
+    frame's own.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = f"{scratch_root(spark)}/obstar/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
