@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.operators.keys import absent_from
+from obstar.schemas import EXPECTED_CITIES
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,3 +66,8 @@ def coverage(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
 def missing_keys(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not observed."""
     return absent_from(expected.select(key).distinct(), observed.select(key), [key])
+
+
+def expected_cities(spark: SparkSession) -> DataFrame:
+    """The cities a complete run covers."""
+    return spark.createDataFrame([(c,) for c in EXPECTED_CITIES], "city string")
