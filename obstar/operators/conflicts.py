@@ -51,7 +51,7 @@ def insert_ignore_all(
     source: DataFrame,
     unique_keys: Sequence[Sequence[str]],
     order_by: Sequence[str],
-    settle_below: int = 10_000,
+    settle_below: int = 100_000,
 ) -> DataFrame:
     """Add the rows of `source` that conflict with nothing before them.
 

@@ -183,7 +183,7 @@ def insert_ignore_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("texte_condition"),
         "event_id",
     )
-    target = offered.limit(0)
+    target = spark.createDataFrame([], offered.schema)
     return conflicts.insert_ignore_all(
         target, offered, [["code_condition"], ["texte_condition"]], ["event_id"]
     )
@@ -193,7 +193,10 @@ def insert_ignore_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two unique keys at volume: order lines offered as (order, part) pairs."""
     offered = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return conflicts.insert_ignore_all(
-        offered.limit(0), offered, [["l_orderkey"], ["l_partkey"]], ["l_orderkey", "l_partkey"]
+        spark.createDataFrame([], offered.schema),
+        offered,
+        [["l_orderkey"], ["l_partkey"]],
+        ["l_orderkey", "l_partkey"],
     )
 
 
