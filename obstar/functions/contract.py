@@ -1,8 +1,16 @@
-"""Expressions that check and coerce one JSON record against a field contract."""
+"""Expressions that check and coerce one JSON record against a field contract.
+
+The text is read twice: as a VARIANT, which says whether it is JSON at all and
+keeps every value as it was written, and as a struct of the contract's types,
+which holds the values that need no conversion. A record with nothing but such
+values is taken as it is; any other is looked into field by field.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +18,7 @@ from pyspark.sql import functions as F
 from obstar.functions.measures import clamp, fits
 from obstar.schemas import Field
 
+ERRORS = "errors"
 _END = "end of record"
 _ERRORS_TYPE = "array<struct<field:string,reason:string>>"
 
@@ -18,7 +27,7 @@ def record_type(contract: Sequence[Field]) -> str:
     """The nested struct type that holds every field of the contract."""
     tree: dict = {}
     for f in contract:
-        *parents, leaf = f.path.removeprefix("$.").split(".")
+        *parents, leaf = _parts(f)
         node = tree
         for parent in parents:
             node = node.setdefault(parent, {})
@@ -32,7 +41,11 @@ def record_type(contract: Sequence[Field]) -> str:
     return ddl(tree)
 
 
-def document(text: str) -> Column:
+def _parts(field: Field) -> list[str]:
+    return field.path.removeprefix("$.").split(".")
+
+
+def read_document(text: str) -> Column:
     """The text as the first element of an array that is closed by a mark.
 
     The JSON parser stops after the first value; only if the mark is found in
@@ -41,67 +54,109 @@ def document(text: str) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
 
 
-def is_complete(variant: str) -> Column:
+def read_plain(text: str, contract: Sequence[Field]) -> Column:
+    """The record with each value that is written in its own type, else NULL."""
+    return F.from_json(text, record_type(contract))
+
+
+def _is_complete(document: Column) -> Column:
     """True if the document held exactly one JSON value."""
-    mark = F.try_variant_get(F.col(variant), "$[1]", "string")
-    rest = F.try_variant_get(F.col(variant), "$[2]", "variant")
+    mark = F.try_variant_get(document, "$[1]", "string")
+    rest = F.try_variant_get(document, "$[2]", "variant")
     return F.coalesce((mark == _END) & rest.isNull(), F.lit(False))
 
 
-def typed_record(variant: str, contract: Sequence[Field]) -> Column:
-    """The document's record as a struct of the contract's types."""
-    return F.try_variant_get(F.col(variant), "$[0]", record_type(contract))
+def _node(document: Column, field: Field) -> Column:
+    return F.try_variant_get(document, "$[0]" + field.path.removeprefix("$"), "variant")
+
+
+def _plain(record: Column, field: Field) -> Column:
+    return reduce(lambda node, part: node[part], _parts(field), record)
 
 
-def _node(variant: str, field: Field) -> Column:
-    return F.try_variant_get(F.col(variant), "$[0]" + field.path.removeprefix("$"), "variant")
+def _looks_nested(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
 
 
-def value(variant: str, record: str, field: Field) -> Column:
-    """The coerced field of the typed record; NULL if absent or not coercible.
+def _value(document: Column, record: Column, field: Field) -> Column:
+    """The field coerced to its contract type; NULL if absent or not coercible.
 
     A text field takes scalars only: an object or array is not its own JSON text.
     """
-    coerced = F.col(record + field.path.removeprefix("$"))
+    path = "$[0]" + field.path.removeprefix("$")
+    coerced = F.coalesce(_plain(record, field), F.try_variant_get(document, path, field.kind))
     if field.kind == "string":
-        looks_nested = coerced.startswith("{") | coerced.startswith("[")
-        is_nested = F.schema_of_variant(_node(variant, field)).rlike("^(OBJECT|ARRAY)")
-        return F.when(looks_nested & is_nested, F.lit(None)).otherwise(coerced)
+        is_nested = F.schema_of_variant(_node(document, field)).rlike("^(OBJECT|ARRAY)")
+        return F.when(_looks_nested(coerced) & is_nested, F.lit(None)).otherwise(coerced)
     return coerced
 
 
-def reason(variant: str, field: Field, on_overflow: str) -> Column:
-    """Why the field is unacceptable, or NULL.
-
-    The record is only looked into again where the coerced value is NULL.
-    """
-    got, node = F.col(field.name), _node(variant, field)
-    rule = F.when(
-        got.isNull(),
-        F.when(node.isNull() | F.is_variant_null(node), "missing").otherwise("uncoercible"),
-    )
+def _unusable(got: Column, field: Field, on_overflow: str) -> list[tuple[Column, str]]:
+    """Conditions under which a value of the right type cannot be staged."""
+    rules = []
     if field.kind == "double":
-        rule = rule.when(F.isnan(got) | (F.abs(got) == float("inf")), "not_finite")
+        rules.append((F.isnan(got) | (F.abs(got) == float("inf")), "not_finite"))
     if on_overflow == "reject":
         if field.sql_type.startswith("decimal"):
-            rule = rule.when(~fits(got, field.sql_type), "out_of_range")
+            rules.append((~fits(got, field.sql_type), "out_of_range"))
         if field.max_length:
-            rule = rule.when(F.char_length(got) > field.max_length, "too_long")
+            rules.append((F.char_length(got) > field.max_length, "too_long"))
+    return rules
+
+
+def _reason(document: Column, got: Column, field: Field, on_overflow: str) -> Column:
+    """Why the field is unacceptable, or NULL."""
+    node = _node(document, field)
+    absent = node.isNull() | F.is_variant_null(node)
+    rule = F.when(got.isNull(), F.when(absent, "missing").otherwise("uncoercible"))
+    for condition, reason in _unusable(got, field, on_overflow):
+        rule = rule.when(condition, reason)
     return rule
 
 
-def errors(variant: str, complete: str, contract: Sequence[Field], on_overflow: str) -> Column:
-    """ARRAY<STRUCT<field, reason>>, empty for an acceptable record."""
+def _needs_no_care(record: Column, field: Field, on_overflow: str) -> Column:
+    got = _plain(record, field)
+    fine = got.isNotNull()
+    if field.kind == "string":
+        fine = fine & ~_looks_nested(got)
+    for condition, _ in _unusable(got, field, on_overflow):
+        fine = fine & ~condition
+    return fine
 
-    def entry(field: str, why: Column) -> Column:
-        return F.array(F.struct(F.lit(field).alias("field"), why.alias("reason")))
 
+def judged(document: str, plain: str, contract: Sequence[Field], on_overflow: str) -> Column:
+    """STRUCT of the coerced fields and `errors`, an ARRAY<STRUCT<field, reason>>
+    that is empty for an acceptable record."""
+    doc, record = F.col(document), F.col(plain)
     none = F.array().cast(_ERRORS_TYPE)
-    found = []
-    for f in contract:
-        why = reason(variant, f, on_overflow)
-        found.append(F.when(why.isNotNull(), entry(f.name, why)).otherwise(none))
-    return F.when(~F.col(complete), entry("$", F.lit("malformed"))).otherwise(F.concat(*found))
+
+    fields = [_plain(record, f).alias(f.name) for f in contract]
+    as_it_is = F.struct(*fields, none.alias(ERRORS))
+    clean = reduce(and_, [_needs_no_care(record, f, on_overflow) for f in contract], _is_complete(doc))
+
+    def coerce(x: Column) -> Column:
+        values = [_value(x[document], x[plain], f).alias(f.name) for f in contract]
+        return F.struct(x[document].alias(document), *values)
+
+    def judge(x: Column) -> Column:
+        found = F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("field"),
+                    _reason(x[document], x[f.name], f, on_overflow).alias("reason"),
+                )
+                for f in contract
+            ]
+        )
+        malformed = F.array(F.struct(F.lit("$").alias("field"), F.lit("malformed").alias("reason")))
+        wrong = F.filter(found, lambda e: e["reason"].isNotNull())
+        errors = F.when(_is_complete(x[document]), wrong).otherwise(malformed)
+        return F.struct(*[x[f.name].alias(f.name) for f in contract], errors.alias(ERRORS))
+
+    # lambdas: evaluated for the records that need it, and kept out of generated code
+    one = F.array(F.struct(doc.alias(document), record.alias(plain)))
+    with_care = F.element_at(F.transform(F.transform(one, coerce), judge), 1)
+    return F.when(clean, as_it_is).otherwise(with_care)
 
 
 def staged(field: Field, on_overflow: str = "reject") -> Column:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from obstar.functions import contract as C
 from obstar.functions import times
+from obstar.functions.contract import ERRORS
 from obstar.schemas import OBSERVATION, Field
 
-ERRORS = "errors"
-_DOCUMENT, _RECORD, _COMPLETE = "_document", "_record", "_complete"
+_DOCUMENT, _PLAIN = "_document", "_plain"
 
 
 def parse_records(
@@ -27,22 +27,14 @@ def parse_records(
     values their staging column cannot hold: "reject" the record, or "clamp" the
     value when it is staged.
 
-    Text is parsed and typed inside generators of one row: a plain projection
+    Text is parsed and judged inside generators of one row: a plain projection
     would be copied into every use of its columns, and a filter on the errors
     would parse each record a hundred times.
     """
     carried = [c for c in df.columns if c != text]
-    names = [f.name for f in contract]
-
-    parsed = df.select(*carried, F.explode(F.array(C.document(text))).alias(_DOCUMENT))
-    checked = F.struct(
-        C.typed_record(_DOCUMENT, contract).alias(_RECORD), C.is_complete(_DOCUMENT).alias(_COMPLETE)
-    )
-    typed = parsed.select(*carried, _DOCUMENT, F.inline(F.array(checked)))
-    values = [C.value(_DOCUMENT, _RECORD, f).alias(f.name) for f in contract]
-    coerced = typed.select(*carried, _DOCUMENT, _COMPLETE, *values)
-    errors = C.errors(_DOCUMENT, _COMPLETE, contract, on_overflow)
-    return coerced.select(*carried, *names, errors.alias(ERRORS))
+    read = F.struct(C.read_document(text).alias(_DOCUMENT), C.read_plain(text, contract).alias(_PLAIN))
+    opened = df.select(*carried, F.inline(F.array(read)))
+    return opened.select(*carried, F.inline(F.array(C.judged(_DOCUMENT, _PLAIN, contract, on_overflow))))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
