@@ -13,8 +13,13 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A key with a large part of the rows is split, even where that costs a shuffle.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Broadcasts are decided by size in memory, of which a Parquet file is a fraction.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
 }
 
 

@@ -385,4 +385,22 @@ FROM fait f
 JOIN dim_lieux l ON f.id_dim_lieu_fk = l.id_dim_lieu
 JOIN dim_temps t ON f.id_dim_temps_fk = t.id_dim_temps
 JOIN dim_conditions c ON f.id_dim_condition_fk = c.id_dim_condition""",
+    "latest_observations_json": f"""WITH {_keyed('TRUE')},
+served AS ({_SERVED} {_NEWEST})
+SELECT CAST(to_json({{
+  'id_dim_lieu_fk': id_dim_lieu_fk, 'id_dim_temps_fk': id_dim_temps_fk,
+  'id_dim_condition_fk': id_dim_condition_fk, 'temperature_celsius': temperature_celsius,
+  'vent_kph': vent_kph, 'vent_degre': vent_degre, 'direction_vent': direction_vent,
+  'pression_millibars': pression_millibars, 'precipitation_mm': precipitation_mm,
+  'humidite_pourcentage': humidite_pourcentage, 'nuages_pourcentage': nuages_pourcentage,
+  'visibilite_km': visibilite_km, 'indice_uv': indice_uv, 'rafales_kph': rafales_kph,
+  'id_observation_horaire': id_observation_horaire,
+  'lieu': {{'id_dim_lieu': id_dim_lieu, 'nom_ville': nom_ville, 'region': region, 'pays': pays}},
+  'temps': {{'id_dim_temps': id_dim_temps, 'date': CAST(date AS VARCHAR), 'annee': annee,
+    'mois': mois, 'jour': jour, 'heure': heure, 'minute': minute, 'jour_semaine': jour_semaine,
+    'nom_mois': nom_mois}},
+  'condition': {{'id_dim_condition': id_dim_condition, 'code_condition': code_condition,
+    'texte_condition': texte_condition}}
+}}) AS VARCHAR) AS json
+FROM served""",
 }
