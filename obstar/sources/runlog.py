@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -19,7 +20,7 @@ IDLE, FINISHED, ERROR = "idle", "finished", "error"
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The log, empty before the first run."""
     try:
-        return spark.read.schema(RUN_LOG).parquet(path)
+        return spark.read.schema(RUN_LOG).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -42,7 +43,8 @@ def append(
         log_id, process_name, status, start_time, end_time, error_message, rows_processed, None,
     )
     row = spark.createDataFrame([entry], RUN_LOG).withColumn("created_at", F.current_timestamp())
-    row.write.mode("append").parquet(path)
+    # a folder per entry: processes that log at the same time do not meet
+    row.write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def status(log: DataFrame) -> DataFrame:

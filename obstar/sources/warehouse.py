@@ -7,9 +7,10 @@ its record leaves everything as it was.
 
     <root>/commits/n=<number>/…json              the commit records
     <root>/<dimension>/<version>/…parquet        a dimension, whole
-    <root>/FaitDonneesMeteo/annee=/mois=/version=/…parquet
+    <root>/FaitDonneesMeteo/version=<version>/annee=/mois=/…parquet
 
-The fact is kept by month. A commit record lists the version of each month: a load
+Each load writes to folders of its own name, so two loads never share an output
+folder. The fact is kept by month. A commit record lists the version of each month: a load
 rewrites the months it touches and carries the others over by name.
 """
 
@@ -78,7 +79,7 @@ class Snapshot:
         if not kept:
             return self.spark.createDataFrame([], FACT_STORED)
         base = f"{self.root}/{FACT}"
-        paths = [f"{base}/annee={m.annee}/mois={m.mois}/version={m.version}" for m in kept]
+        paths = [f"{base}/version={m.version}/annee={m.annee}/mois={m.mois}" for m in kept]
         stored = self.spark.read.schema(FACT_STORED).option("basePath", base).parquet(*paths)
         return stored.select(*FACT_STORED.names)
 
@@ -145,9 +146,7 @@ def write_months(base: Snapshot, rows: DataFrame, version: str, touched: Collect
     if len(touched) > 1:
         # files of a reasonable size per month; large months are split
         stored = stored.hint("rebalance", *MONTH)
-    path = f"{base.root}/{FACT}"
-    partitioned = stored.withColumn("version", F.lit(version)).write.partitionBy(*MONTH, "version")
-    partitioned.mode("append").parquet(path)
+    stored.write.partitionBy(*MONTH).parquet(f"{base.root}/{FACT}/version={version}")
     written = replace(base, months=tuple(Month(a, m, version, 0) for a, m in touched))
     counted = written.fact().groupBy(*MONTH).agg(F.count("*").alias("rows")).collect()
     return [Month(r["annee"], r["mois"], version, r["rows"]) for r in counted]

@@ -26,11 +26,12 @@ def start(
 ) -> StreamingQuery:
     """Load new files batch by batch; by default until none is left.
 
-    Spark refuses to start the same checkpoint twice at once. A batch that is
-    replayed after a failure is recognised by its number and skipped if it had
-    been published. `trigger` takes the arguments of DataStreamWriter.trigger.
+    A second start while the first one runs is refused; Spark's default would
+    stop the running one. A batch that is replayed after a failure is recognised
+    by its number and skipped if it had been published. `trigger` takes the arguments of DataStreamWriter.trigger.
     """
     configure(spark)
+    spark.conf.set("spark.sql.streaming.stopActiveRunOnRestart", "false")
 
     def load(records: DataFrame, number: int) -> None:
         batch.load(spark, records, root, on_overflow, f"{name}/{number}", stream=(name, number))

@@ -1,6 +1,6 @@
 """Whole runs: landing files to published tables, in batch and as a stream."""
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 
 from obstar.operators import serving
 from obstar.plans import batch, star, views
-from obstar.sources import runlog, warehouse
+from obstar.sources import landing, runlog, warehouse
 from obstar.streaming import incremental
 
 
@@ -195,8 +195,6 @@ def test_views_read_only_the_months_they_need(spark, root, land, tmp_path):
     assert [r["nom_ville"] for r in newest.collect()] == ["Dakar", "Thies"]
     assert [r["nom_ville"] for r in views.latest(snapshot).collect()] == ["Dakar", "Thies", "Lome"]
     assert not any("mois=2" in f for f in newest.inputFiles())
-    from datetime import date
-
     period = views.latest(snapshot, start=date(2024, 2, 1), end=date(2024, 3, 1))
     assert [r["nom_ville"] for r in period.collect()] == ["Lome"]
     assert [r["nom_ville"] for r in views.latest(snapshot, city="Thies").collect()] == ["Thies"]
@@ -226,10 +224,21 @@ def test_stream_gives_what_the_batches_give(spark, root, land, tmp_path):
     assert by_stream.streams == {"landing": 2}
 
 
+def test_same_stream_is_not_started_twice(spark, root, land, tmp_path):
+    path, checkpoint = land("stream", *FIRST), str(tmp_path / "checkpoint")
+    every_second = {"processingTime": "1 second"}
+    running = incremental.start(spark, path, root, checkpoint, trigger=every_second)
+    try:
+        with pytest.raises(Exception, match="(?i)another query|already active"):
+            incremental.start(spark, path, root, checkpoint, trigger=every_second)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert warehouse.current(spark, root).number == 1
+
+
 def test_replayed_stream_batch_is_skipped(spark, root, land):
     path = land("a", *FIRST)
-    from obstar.sources import landing
-
     records = landing.read(spark, path)
     first = batch.load(spark, records, root, stream=("s", 0))
     again = batch.load(spark, records, root, stream=("s", 0))

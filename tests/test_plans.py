@@ -83,3 +83,38 @@ def test_scan_reads_only_what_is_asked(spark, capsys):
     plan = physical(QUERIES["coverage_missing"](spark, SF), capsys)
     schemas = re.findall(r"ReadSchema: (.*)", plan)
     assert sorted(schemas) == ["struct<c_custkey:bigint>", "struct<user_id:bigint>"]
+
+
+def test_hot_location_is_split_where_the_join_shuffles(spark, capsys, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        place = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500)
+        spark.range(0, 300_000, 1, 8).select(
+            place.alias("id_lieu"), F.xxhash64("id").alias("t")
+        ).write.parquet(str(tmp_path / "obs"))
+        spark.range(500).select(
+            F.col("id").alias("id_lieu"), F.col("id").cast("string").alias("nom"),
+            F.lit("r").alias("region"), F.lit("p").alias("pays"),
+        ).write.parquet(str(tmp_path / "lieux"))
+        obs, lieux = (spark.read.parquet(str(tmp_path / n)) for n in ("obs", "lieux"))
+        dim = lieux.select(F.col("id_lieu").alias("id_dim_lieu"), F.col("nom").alias("nom_ville"), "region", "pays")
+        total = facts.resolve_location(obs, lieux, dim).agg(F.count("id_dim_lieu_fk"), F.bit_xor("t"))
+        assert total.collect()[0][0] == 300_000
+        assert "skew=true" in physical_tree(total, capsys)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def physical_tree(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
