@@ -9,13 +9,11 @@ values is taken as it is; any other is looked into field by field.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from obstar.functions.measures import clamp, fits
+from obstar.functions.measures import clamp, decimal_range
 from obstar.schemas import Field
 
 ERRORS = "errors"
@@ -59,104 +57,96 @@ def read_plain(text: str, contract: Sequence[Field]) -> Column:
     return F.from_json(text, record_type(contract))
 
 
-def _is_complete(document: Column) -> Column:
+# The rules are written as SQL text: one expression of some hundred parts is parsed
+# in one go, where building it from column objects would take seconds per plan.
+
+
+def _is_complete(document: str) -> str:
     """True if the document held exactly one JSON value."""
-    mark = F.try_variant_get(document, "$[1]", "string")
-    rest = F.try_variant_get(document, "$[2]", "variant")
-    return F.coalesce((mark == _END) & rest.isNull(), F.lit(False))
+    mark = f"try_variant_get({document}, '$[1]', 'string') = '{_END}'"
+    return f"coalesce({mark} AND try_variant_get({document}, '$[2]', 'variant') IS NULL, false)"
 
 
-def _node(document: Column, field: Field) -> Column:
-    return F.try_variant_get(document, "$[0]" + field.path.removeprefix("$"), "variant")
+def _get(document: str, field: Field, as_type: str) -> str:
+    return f"try_variant_get({document}, '$[0]{field.path.removeprefix('$')}', '{as_type}')"
 
 
-def _plain(record: Column, field: Field) -> Column:
-    return reduce(lambda node, part: node[part], _parts(field), record)
+def _plain(record: str, field: Field) -> str:
+    return record + field.path.removeprefix("$")
 
 
-def _looks_nested(text: Column) -> Column:
-    return text.startswith("{") | text.startswith("[")
+def _looks_nested(text: str) -> str:
+    return f"(startswith({text}, '{{') OR startswith({text}, '['))"
 
 
-def _value(document: Column, record: Column, field: Field) -> Column:
+def _value(document: str, record: str, field: Field) -> str:
     """The field coerced to its contract type; NULL if absent or not coercible.
 
     A text field takes scalars only: an object or array is not its own JSON text.
     """
-    path = "$[0]" + field.path.removeprefix("$")
-    coerced = F.coalesce(_plain(record, field), F.try_variant_get(document, path, field.kind))
-    if field.kind == "string":
-        is_nested = F.schema_of_variant(_node(document, field)).rlike("^(OBJECT|ARRAY)")
-        return F.when(_looks_nested(coerced) & is_nested, F.lit(None)).otherwise(coerced)
-    return coerced
+    coerced = f"coalesce({_plain(record, field)}, {_get(document, field, field.kind)})"
+    if field.kind != "string":
+        return coerced
+    nested = f"schema_of_variant({_get(document, field, 'variant')}) RLIKE '^(OBJECT|ARRAY)'"
+    return f"CASE WHEN {_looks_nested(coerced)} AND {nested} THEN NULL ELSE {coerced} END"
 
 
-def _unusable(got: Column, field: Field, on_overflow: str) -> list[tuple[Column, str]]:
+def _unusable(got: str, field: Field, on_overflow: str) -> list[tuple[str, str]]:
     """Conditions under which a value of the right type cannot be staged."""
     rules = []
     if field.kind == "double":
-        rules.append((F.isnan(got) | (F.abs(got) == float("inf")), "not_finite"))
+        rules.append((f"(isnan({got}) OR abs({got}) = double('infinity'))", "not_finite"))
     if on_overflow == "reject":
         if field.sql_type.startswith("decimal"):
-            rules.append((~fits(got, field.sql_type), "out_of_range"))
+            rules.append((f"abs({got}) >= double('{decimal_range(field.sql_type)[1]}')", "out_of_range"))
         if field.max_length:
-            rules.append((F.char_length(got) > field.max_length, "too_long"))
+            rules.append((f"char_length({got}) > {field.max_length}", "too_long"))
     return rules
 
 
-def _reason(document: Column, got: Column, field: Field, on_overflow: str) -> Column:
+def _reason(document: str, got: str, field: Field, on_overflow: str) -> str:
     """Why the field is unacceptable, or NULL."""
-    node = _node(document, field)
-    absent = node.isNull() | F.is_variant_null(node)
-    rule = F.when(got.isNull(), F.when(absent, "missing").otherwise("uncoercible"))
-    for condition, reason in _unusable(got, field, on_overflow):
-        rule = rule.when(condition, reason)
-    return rule
+    node = _get(document, field, "variant")
+    absent = f"{got} IS NULL AND ({node} IS NULL OR is_variant_null({node}))"
+    rules = [(absent, "missing"), (f"{got} IS NULL", "uncoercible"), *_unusable(got, field, on_overflow)]
+    return "CASE " + " ".join(f"WHEN {rule} THEN '{reason}'" for rule, reason in rules) + " END"
 
 
-def _needs_no_care(record: Column, field: Field, on_overflow: str) -> Column:
+def _needs_no_care(record: str, field: Field, on_overflow: str) -> str:
     got = _plain(record, field)
-    fine = got.isNotNull()
+    rules = [f"{got} IS NOT NULL", *[f"NOT {rule}" for rule, _ in _unusable(got, field, on_overflow)]]
     if field.kind == "string":
-        fine = fine & ~_looks_nested(got)
-    for condition, _ in _unusable(got, field, on_overflow):
-        fine = fine & ~condition
-    return fine
+        rules.append(f"NOT {_looks_nested(got)}")
+    return " AND ".join(rules)
+
+
+def _struct(columns: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in columns.items()) + ")"
 
 
 def judged(document: str, plain: str, contract: Sequence[Field], on_overflow: str) -> Column:
     """STRUCT of the coerced fields and `errors`, an ARRAY<STRUCT<field, reason>>
     that is empty for an acceptable record."""
-    doc, record = F.col(document), F.col(plain)
-    none = F.array().cast(_ERRORS_TYPE)
-
-    fields = [_plain(record, f).alias(f.name) for f in contract]
-    as_it_is = F.struct(*fields, none.alias(ERRORS))
-    clean = reduce(and_, [_needs_no_care(record, f, on_overflow) for f in contract], _is_complete(doc))
-
-    def coerce(x: Column) -> Column:
-        values = [_value(x[document], x[plain], f).alias(f.name) for f in contract]
-        return F.struct(x[document].alias(document), *values)
-
-    def judge(x: Column) -> Column:
-        found = F.array(
-            *[
-                F.struct(
-                    F.lit(f.name).alias("field"),
-                    _reason(x[document], x[f.name], f, on_overflow).alias("reason"),
-                )
-                for f in contract
-            ]
-        )
-        malformed = F.array(F.struct(F.lit("$").alias("field"), F.lit("malformed").alias("reason")))
-        wrong = F.filter(found, lambda e: e["reason"].isNotNull())
-        errors = F.when(_is_complete(x[document]), wrong).otherwise(malformed)
-        return F.struct(*[x[f.name].alias(f.name) for f in contract], errors.alias(ERRORS))
+    none = f"cast(array() AS {_ERRORS_TYPE})"
+    clean = " AND ".join(
+        [_is_complete(document), *[_needs_no_care(plain, f, on_overflow) for f in contract]]
+    )
+    as_it_is = _struct({f.name: _plain(plain, f) for f in contract} | {ERRORS: none})
 
     # lambdas: evaluated for the records that need it, and kept out of generated code
-    one = F.array(F.struct(doc.alias(document), record.alias(plain)))
-    with_care = F.element_at(F.transform(F.transform(one, coerce), judge), 1)
-    return F.when(clean, as_it_is).otherwise(with_care)
+    one = f"array({_struct({'doc': document, 'record': plain})})"
+    values = {f.name: _value("x.doc", "x.record", f) for f in contract}
+    coerced = f"transform({one}, x -> {_struct({'doc': 'x.doc'} | values)})"
+    reasons = [
+        _struct({"field": f"'{f.name}'", "reason": _reason("y.doc", f"y.{f.name}", f, on_overflow)})
+        for f in contract
+    ]
+    wrong = f"filter(array({', '.join(reasons)}), e -> e.reason IS NOT NULL)"
+    malformed = "array(named_struct('field', '$', 'reason', 'malformed'))"
+    errors = f"CASE WHEN {_is_complete('y.doc')} THEN {wrong} ELSE {malformed} END"
+    fields = {f.name: f"y.{f.name}" for f in contract}
+    with_care = f"transform({coerced}, y -> {_struct(fields | {ERRORS: errors})})[0]"
+    return F.expr(f"CASE WHEN {clean} THEN {as_it_is} ELSE {with_care} END")
 
 
 def staged(field: Field, on_overflow: str = "reject") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _range(sql_type: str) -> tuple[Decimal, Decimal]:
+def decimal_range(sql_type: str) -> tuple[Decimal, Decimal]:
     """The highest value of the type, and the first value that rounds beyond it."""
     precision, scale = map(int, re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", sql_type).groups())
     step = Decimal(1).scaleb(-scale)
@@ -20,12 +20,12 @@ def _range(sql_type: str) -> tuple[Decimal, Decimal]:
 
 def fits(col: Column, sql_type: str) -> Column:
     """True where the value, once rounded half up, is in the range of the type."""
-    return F.abs(col) < float(_range(sql_type)[1])
+    return F.abs(col) < float(decimal_range(sql_type)[1])
 
 
 def clamp(col: Column, sql_type: str) -> Column:
     """Round half up to the type, moving values beyond its range to its ends."""
-    top, _ = _range(sql_type)
+    top, _ = decimal_range(sql_type)
     return (
         F.when(col.isNull(), F.lit(None))
         .when(col >= F.lit(float(top)), F.lit(top))
