@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obstar.functions import times
 from obstar.operators import conflicts, ingest
@@ -14,6 +16,7 @@ from obstar.operators.dedupe import first_per_key
 from obstar.operators.keys import lookup, present_in
 from obstar.operators.numbering import dense_ids
 from obstar.schemas import CONDITIONS_METEO, DONNEES_METEO, LIEUX, MEASURES, STAGING
+from obstar.session import side_by_side
 from obstar.sources.landing import SOURCE
 
 _NAME = ["nom", "region", "pays"]
@@ -39,13 +42,15 @@ def build(flat: DataFrame) -> Staging:
     are left out, as a foreign key would do.
     """
     spark = flat.sparkSession
-    conditions = conflicts.insert_ignore_all(
-        spark.createDataFrame([], CONDITIONS_METEO),
-        flat.select("code_condition", "texte_condition", SOURCE),
-        [["code_condition"], ["texte_condition"]],
-        [SOURCE],
+    conditions, locations = side_by_side(
+        lambda: conflicts.insert_ignore_all(
+            spark.createDataFrame([], CONDITIONS_METEO),
+            flat.select("code_condition", "texte_condition", SOURCE),
+            [["code_condition"], ["texte_condition"]],
+            [SOURCE],
+        ),
+        lambda: dense_ids(ingest.locations_of(flat), _NAME, "id_lieu").select(*LIEUX.names),
     )
-    locations = dense_ids(ingest.locations_of(flat), _NAME, "id_lieu").select(*LIEUX.names)
     placed = lookup(flat, locations, _NAME, ["id_lieu"], nullable=["region"])
     timed = placed.withColumn("datetime_observation", times.parse_strict(F.col("datetime_observation")))
     known = present_in(timed, conditions, ["code_condition"]).select(
@@ -63,10 +68,12 @@ def empty(spark: SparkSession) -> Staging:
 def replace(staging: Staging, root: str) -> Staging:
     """Write the relations to a new folder and return them as stored."""
     run = uuid.uuid4().hex
-    stored = []
     frames = (staging.locations, staging.conditions, staging.observations)
-    for (name, schema), df in zip(STAGING.items(), frames):
+
+    def store(name: str, schema: StructType, df: DataFrame) -> DataFrame:
         path = f"{root}/staging/{run}/{name}"
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.parquet(path)
-        stored.append(df.sparkSession.read.schema(schema).parquet(path))
-    return Staging(*stored)
+        return df.sparkSession.read.schema(schema).parquet(path)
+
+    steps = [partial(store, *table, df) for table, df in zip(STAGING.items(), frames)]
+    return Staging(*side_by_side(*steps))

@@ -13,7 +13,7 @@ from obstar.operators.numbering import highest_id
 from obstar.operators.serving import Star
 from obstar.plans.staging import Staging
 from obstar.schemas import CONDITION_KEY, FACT_KEY, LOCATION_KEY, MEASURES, TIME_KEY
-from obstar.session import materialize
+from obstar.session import materialize, side_by_side
 from obstar.sources import warehouse
 from obstar.sources.warehouse import FACT, MONTH, Snapshot
 
@@ -52,40 +52,43 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
     version = warehouse.new_version(base)
     observations = staging.observations
 
-    conditions = warehouse.write_dim(
-        base,
-        "DimConditionsMeteo",
-        merge.upsert(
+    def merge_conditions() -> DataFrame:
+        merged = merge.upsert(
             base.dim("DimConditionsMeteo"),
             dims.condition_rows(staging.conditions),
             CONDITION_KEY,
             CONDITION_KEY,
             id_column="id_dim_condition",
-        ),
-        version,
-    )
-    # a city seen twice keeps the names of its last location
-    cities = staging.locations.withColumnRenamed("nom", "nom_ville")
-    locations = warehouse.write_dim(
-        base,
-        "DimLieux",
-        merge.upsert(base.dim("DimLieux"), cities, LOCATION_KEY, ["id_lieu"], id_column="id_dim_lieu"),
-        version,
-    )
-    minutes = materialize(dims.time_rows(observations, _TIME), "minutes")
-    times = warehouse.write_dim(
-        base,
-        "DimTemps",
-        merge.insert_ignore(base.dim("DimTemps"), minutes, TIME_KEY, TIME_KEY, id_column="id_dim_temps"),
-        version,
+        )
+        return warehouse.write_dim(base, "DimConditionsMeteo", merged, version)
+
+    def merge_locations() -> DataFrame:
+        # a city seen twice keeps the names of its last location
+        cities = staging.locations.withColumnRenamed("nom", "nom_ville")
+        merged = merge.upsert(
+            base.dim("DimLieux"), cities, LOCATION_KEY, ["id_lieu"], id_column="id_dim_lieu"
+        )
+        return warehouse.write_dim(base, "DimLieux", merged, version)
+
+    def merge_times() -> tuple[DataFrame, DataFrame]:
+        minutes = materialize(dims.time_rows(observations, _TIME), "minutes")
+        merged = merge.insert_ignore(
+            base.dim("DimTemps"), minutes, TIME_KEY, TIME_KEY, id_column="id_dim_temps"
+        )
+        return minutes, warehouse.write_dim(base, "DimTemps", merged, version)
+
+    conditions, locations, (minutes, times) = side_by_side(
+        merge_conditions, merge_locations, merge_times
     )
 
     # only the batch's minutes are looked up: small enough to broadcast in a regular run
     batch_times = materialize(present_in(times, minutes, TIME_KEY), "batch-times")
     keyed = facts.resolve(observations, staging.locations, locations, conditions, batch_times)
     stored_by = keyed.withColumns({"annee": F.year(_TIME), "mois": F.month(_TIME)})
-    rows = materialize(facts.fact_rows(stored_by, MEASURES, [_ARRIVAL], extra=MONTH), "facts")
-    rejects = materialize(facts.unresolved(keyed, observations.columns), "rejects")
+    rows, rejects = side_by_side(
+        lambda: materialize(facts.fact_rows(stored_by, MEASURES, [_ARRIVAL], extra=MONTH), "facts"),
+        lambda: materialize(facts.unresolved(keyed, observations.columns), "rejects"),
+    )
 
     touched = {(r["annee"], r["mois"]) for r in rows.select(*MONTH).distinct().collect()}
     merged = merge.upsert(

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -60,3 +64,13 @@ def materialize(df: DataFrame, label: str, spark: SparkSession | None = None) ->
     path = f"{scratch_root(spark)}/obstar/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
+    """Run steps that do not need each other at the same time.
+
+    Their jobs share the executors; small ones need not wait for one another.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return [step.result() for step in running]
