@@ -71,6 +71,7 @@ def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
 
     Their jobs share the executors; small ones need not wait for one another.
     """
+    inheriting = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheriting(step)) for step in steps]
         return [step.result() for step in running]
