@@ -1,3 +1,38 @@
 """The results of the text operators in SQL, where SQL can express them."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def lines_without_repeats(documents: str) -> str:
+    """Common table expressions up to `deduped`: doc_id, n_lines, n_dropped, kept."""
+    return f"""
+split_lines AS (
+    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM {documents})
+),
+keyed AS (
+    SELECT *, translate(trim(line, {SPACES}), '{UPPER}', '{LOWER}') AS key FROM split_lines
+),
+repeats AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (
+    SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND r.last <> k.doc_id AS gone
+    FROM keyed k LEFT JOIN repeats r USING (key)
+),
+deduped AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
+    FROM marked GROUP BY doc_id
+)"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_lines": f"""
+WITH {lines_without_repeats("documents")}
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM deduped""",
+}

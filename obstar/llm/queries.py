@@ -8,12 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm import bpe, simhash
+from obstar.llm import bpe, lines, simhash
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that other documents repeat."""
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"], min_chars=20, min_docs=3)
+    return found.select(
+        "row.doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(bpe.encoded_documents(table(spark, sf_dir, "documents"), VOCABULARY))
@@ -28,6 +39,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": op1_lines,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
 }
