@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import small_batches
+from obstar.llm.common import prepare
 
 #: Chunks whose ids a worker remembers; at the limit it starts afresh.
 REMEMBERED = 800_000
@@ -192,7 +192,7 @@ def decode(ids: Column, vocabulary: str) -> Column:
 
 def encoded_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids and decoded text of each document."""
-    small_batches(documents.sparkSession)
+    prepare(documents.sparkSession)
     ids = documents.select("doc_id", encode(F.col("text"), vocabulary).alias("ids"))
     return ids.select("doc_id", "ids", decode(F.col("ids"), vocabulary).alias("decoded"))
 

@@ -16,13 +16,27 @@ SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 BATCH_ROWS = 256
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Hot keys are split at run time, also where that costs a shuffle. What is broadcast
+#: automatically is left to the session.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+}
+
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings the text operators rely on to a running session."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts holds in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm.common import SPACES, ascii_lower, scratch
+from obstar.llm.common import SPACES, ascii_lower, prepare, scratch
 
 HASH = ["h1", "h2"]
 _NO_ID = -(1 << 63)
@@ -152,7 +152,7 @@ def dedup_lines(
     fan_in: int = 2,
 ) -> DataFrame:
     """`row` (a struct of the carried columns), n_lines, n_dropped, kept: a row per row."""
-    spark = documents.sparkSession
+    spark = prepare(documents.sparkSession)
     shares = [1 - i / batches for i in range(1, batches)]
     bounds = documents.agg(
         F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), shares).alias("b")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import small_batches
+from obstar.llm.common import prepare
 from obstar.llm.components import components
 from obstar.session import materialize
 
@@ -251,7 +251,7 @@ def fingerprint_links(prints: DataFrame, most: int = 3, cell: int = CELL) -> Dat
 
 def near_duplicates(documents: DataFrame, words: int = 3, most: int = 3) -> DataFrame:
     """doc_id, fp (signed), component_id of every row of `documents`."""
-    small_batches(documents.sparkSession)
+    prepare(documents.sparkSession)
     hashed = materialize(
         documents.select("doc_id", fingerprint_column(F.col("text"), words).alias("fp")), "simhash"
     )
