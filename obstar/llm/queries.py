@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm import bpe, decontaminate, language, lines, simhash
+from obstar.llm import bpe, decontaminate, language, lines, quality, simhash
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures and the verdict of every document."""
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold an item of the benchmark, with the item."""
     return decontaminate.contaminated(
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
 }
