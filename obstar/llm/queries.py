@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm import bpe, decontaminate, language, lines, quality, simhash
+from obstar.llm import bpe, decontaminate, html, language, lines, quality, simhash
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -55,6 +55,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op3_bpe": op3_bpe,
@@ -62,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
+    "op10_html": op10_html,
 }
