@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm import bpe, decontaminate, html, language, lines, quality, simhash
+from obstar.llm import bpe, decontaminate, html, language, lines, quality, simhash, tokenfile
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op6_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the files."""
+    found = tokenfile.written(table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
+    return tokenfile.checksums(found)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold an item of the benchmark, with the item."""
     return decontaminate.contaminated(
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
+    "op6_tokenfile": op6_tokenfile,
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_html": op10_html,
