@@ -130,7 +130,7 @@ def hashed_lines(documents: DataFrame, min_chars: int) -> DataFrame:
     keys = F.transform(text_lines(F.col("text")), line_key)
     return (
         documents.select(
-            doc.alias("doc"), F.xxhash64("text").alias("row"), F.posexplode(keys).alias("pos", "key")
+            doc.alias("doc"), F.xxhash64("text").alias("row"), F.posexplode_outer(keys).alias("pos", "key")
         )
         .where(F.length("key") >= min_chars)
         .select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from obstar.llm.licenses import NOTICES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -31,8 +33,35 @@ deduped AS (
 )"""
 
 
+def words_sql(text: str) -> str:
+    split = f"regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+')"
+    return f"list_filter({split}, lambda x: x <> '')"
+
+
+def shingles_sql(table: str, key: str) -> str:
+    """Distinct five-word shingles s of each row of a table of (key, w)."""
+    return f"""
+    SELECT DISTINCT {key}, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM {table})"""
+
+
+NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
+
 ORACLE: dict[str, str] = {
     "op1_lines": f"""
 WITH {lines_without_repeats("documents")}
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM deduped""",
+    "op2_licenses": f"""
+WITH notices(license, text) AS (VALUES {NOTICE_ROWS}),
+notice_words AS (SELECT license, {words_sql("text")} AS w FROM notices),
+notice_shingles AS ({shingles_sql("notice_words", "license")}),
+doc_words AS (SELECT doc_id, {words_sql("text")} AS w FROM documents),
+doc_shingles AS ({shingles_sql("doc_words", "doc_id")}),
+sizes AS (SELECT license, count(*) AS shingles FROM notice_shingles GROUP BY license),
+met AS (
+    SELECT doc_id, license, count(*) AS found
+    FROM doc_shingles JOIN notice_shingles USING (s) GROUP BY doc_id, license
+)
+SELECT doc_id, license, found, shingles, round(found / shingles, 4) AS containment
+FROM met JOIN sizes USING (license) WHERE found >= 0.8 * shingles""",
 }

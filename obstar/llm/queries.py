@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.llm import bpe, decontaminate, html, language, lines, quality, simhash, tokenfile
+from obstar.llm import (
+    bpe,
+    decontaminate,
+    html,
+    language,
+    licenses,
+    lines,
+    quality,
+    simhash,
+    tokenfile,
+)
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +35,11 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that documents state."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(bpe.encoded_documents(table(spark, sf_dir, "documents"), VOCABULARY))
@@ -68,6 +83,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
+    "op2_licenses": op2_licenses,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
