@@ -45,6 +45,20 @@ def shingles_sql(table: str, key: str) -> str:
     FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM {table})"""
 
 
+def canonical_sql(url: str) -> str:
+    bare = f"regexp_replace(regexp_replace({url}, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    place = f"regexp_replace({bare}, '\\?.*$', '')"
+    host = f"regexp_replace(lower(regexp_extract({place}, '^[^/]*')), '^www\\.|:(80|443)$', '', 'g')"
+    path = f"regexp_replace(regexp_extract({place}, '/.*$'), '/+$', '')"
+    given = f"string_split(regexp_extract({bare}, '\\?(.*)$', 1), '&')"
+    kept = (
+        f"list_sort(list_filter({given}, lambda p: p <> '' "
+        "AND NOT regexp_matches(p, '^(utm_[a-z]*|gclid|fbclid|ref)(=.*)?$')))"
+    )
+    query = f"CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END"
+    return f"{host} || {path} || {query}"
+
+
 NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
 
 ORACLE: dict[str, str] = {
@@ -64,4 +78,32 @@ met AS (
 )
 SELECT doc_id, license, found, shingles, round(found / shingles, 4) AS containment
 FROM met JOIN sizes USING (license) WHERE found >= 0.8 * shingles""",
+    "op7_warc": f"""
+WITH held AS (
+    SELECT page_id, url, md5(html) AS digest, page_id * 60 AS time, left(md5(html), 1) AS d FROM pages
+),
+records AS (
+    SELECT page_id * 2 AS id, {canonical_sql("url")} AS url_key, time, 1 AS kind,
+           '"' || digest || '"' AS tag, time AS modified
+    FROM held
+    UNION ALL
+    SELECT page_id * 2 + 1, {canonical_sql("regexp_replace(url, '^http://', 'HTTPS://www.')")}, time + 3600, 0,
+           CASE WHEN d IN ('0', '1', '2', '3') THEN '"changed"'
+                WHEN d NOT IN ('4', '5') THEN '"' || digest || '"' END, time
+    FROM held
+),
+joined AS (
+    SELECT *, last_value(CASE WHEN kind = 1 THEN {{'id': id, 'tag': tag, 'modified': modified}} END IGNORE NULLS)
+        OVER (PARTITION BY url_key ORDER BY time, kind, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r
+    FROM records
+)
+SELECT id AS revisit_id, url_key, r.id AS response_id,
+       CASE WHEN r IS NULL THEN 'no_earlier_response'
+            WHEN coalesce(tag = r.tag, modified = r.modified, false) THEN 'resolved'
+            ELSE 'validator_mismatch' END AS resolution,
+       CASE WHEN r IS NOT NULL AND coalesce(tag = r.tag, modified = r.modified, false) THEN
+            'cache-control: max-age=60' || chr(10) || 'content-length: 1000' || chr(10) ||
+            'content-type: text/html' || chr(10) || 'date: ' || time || chr(10) || 'etag: ' || r.tag || chr(10) ||
+            'expires: ' || time || chr(10) || 'vary: accept' END AS headers
+FROM joined WHERE kind = 0""",
 }

@@ -18,6 +18,7 @@ from obstar.llm import (
     quality,
     simhash,
     tokenfile,
+    warc,
 )
 from obstar.llm.common import table
 
@@ -64,6 +65,18 @@ def op6_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.checksums(found)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The not-modified answers among the captures of all pages, with what they stand for."""
+    found = warc.resolve(warc.captures(table(spark, sf_dir, "pages")))
+    return found.select(
+        F.col("record_id").alias("revisit_id"),
+        "url_key",
+        "response_id",
+        "resolution",
+        warc.headers_text(F.col("headers")).alias("headers"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold an item of the benchmark, with the item."""
     return decontaminate.contaminated(
@@ -88,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_tokenfile": op6_tokenfile,
+    "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_html": op10_html,
