@@ -106,10 +106,10 @@ def rules() -> dict[str, Column]:
     return {
         # more than one symbol to ten words
         "symbols": 10 * F.col("n_symbols") > n,
-        # words of 3 to 10 letters on average are usual; scripts and codes are beyond this
+        # words of 2 to 15 letters on average
         "word_length": (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n),
-        # three tenths of the lines are there already
-        "repeated_lines": 10 * F.col("n_dup_lines") > 3 * n_lines,
+        # half of the lines are there already
+        "repeated_lines": 2 * F.col("n_dup_lines") > n_lines,
         # more capitals than small letters
         "capitals": F.regexp_count(text, F.lit("\\p{Lu}")) > F.regexp_count(text, F.lit("\\p{Ll}")),
         # an exclamation to five words

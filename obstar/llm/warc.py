@@ -18,7 +18,7 @@ slash go; the host is in lower case; parameters are sorted.
 Defined results: a revisit with a null URL or time has no response; a response at the
 same time is not earlier; of responses at one time the one with the largest record id is
 latest; rows that repeat a record are resolved each; null headers count as none, names
-differ only by case count as one, the last of them; empty tables give an empty result;
+that differ only by case count as one, the last of them by spelling; empty tables give an empty result;
 other columns are not looked at.
 """
 
@@ -51,10 +51,10 @@ def canonical_url(url: Column) -> Column:
 
 
 def lowered(headers: Column) -> Column:
-    """Headers by lower-case name; of names that differ by case, the last."""
+    """Headers by lower-case name; of names that differ by case, the last by spelling."""
     none = F.create_map().cast("map<string,string>")
     entries = F.transform(
-        F.map_entries(F.coalesce(headers, none)),
+        F.array_sort(F.map_entries(F.coalesce(headers, none))),
         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
     names = F.transform(entries, lambda e: e["key"])
