@@ -3,9 +3,9 @@
 A text is cut into words; a word loses the punctuation about it and its case. Numbers,
 names and units become typed slots: a number is a word that begins with a digit, a unit is
 a listed word after a number, a name is a capitalised word that does not begin a sentence.
-A template window is `window` tokens in a row with their slots left open. Windows with
-fewer than half their tokens in letters alike would match too much; in these the slots
-keep their values.
+A window is `window` tokens in a row; it is looked for word for word, and as a template
+with its slots left open. Templates with more slots than words would match too much, and
+are not looked for.
 
 The windows of documents are hash-joined with those of the benchmark and compared as
 text. All documents' windows need not be shuffled for that: a bitmap of the benchmark's
@@ -127,29 +127,38 @@ class Tokens:
     def __len__(self) -> int:
         return len(self.used)
 
-    def windows(self, size: int) -> np.ndarray:
-        """The hash of each window of `size` tokens."""
+    def windows(self, size: int) -> list[tuple[bool, np.ndarray, np.ndarray]]:
+        """Where windows of `size` tokens are, with their hashes: as they are, and as templates.
+
+        A window without slots has no template of its own.
+        """
         n = len(self) - size + 1
         if n < 1:
-            return np.empty(0, np.uint64)
-        slots = np.concatenate(([0], np.cumsum(self.kind > 0)))
-        closed = 2 * (slots[size:] - slots[:-size]) > size
+            return []
+        found = [(False, np.arange(n), self.rolled(self.literal, size))]
+        if self.kind.any():
+            before = np.concatenate(([0], np.cumsum(self.kind > 0)))
+            slots = before[size:] - before[:-size]
+            places = np.flatnonzero((slots > 0) & (2 * slots <= size))
+            found.append((True, places, self.rolled(self.template, size)[places]))
+        return found
+
+    @staticmethod
+    def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+        n = len(hashes) - size + 1
+        total = np.full(n, size, np.uint64)
         with np.errstate(over="ignore"):
-            found = []
-            for hashes in (self.template, self.literal):
-                total = np.full(n, size, np.uint64)
-                for i in range(size):
-                    total = total * _BASE + hashes[i : i + n]
-                found.append(total ^ (total >> np.uint64(31)))
-            return np.where(closed, found[1] * _BASE, found[0]) * _BASE
-
-    def shown(self, at: int, size: int) -> tuple[str, list[str]]:
-        """The window as text with open slots, and its slots as type and value."""
-        kinds = self.kind[at : at + size].tolist()
+            for i in range(size):
+                total = total * _BASE + hashes[i : i + n]
+            return ((total ^ (total >> np.uint64(31))) * _BASE).view(np.int64)
+
+    def shown(self, at: int, size: int, is_open: bool) -> tuple[str, list[str]]:
+        """The window as text, and its open slots as type and value."""
         plain = [normal(self.words[i]) for i in self.used[at : at + size].tolist()]
+        if not is_open:
+            return " ".join(plain), []
+        kinds = self.kind[at : at + size].tolist()
         slots = [f"{_SLOTS[k]}{w}" for k, w in zip(kinds, plain) if k]
-        if 2 * len(slots) > size:
-            return " ".join(plain), slots
         return " ".join(_SLOTS[k] if k else w for k, w in zip(kinds, plain)), slots
 
 
@@ -166,9 +175,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 size = min(window, len(tokens))
                 whole = " ".join(normal(tokens.words[i]) for i in tokens.used.tolist())
                 key = xxhash.xxh64_intdigest(whole.encode(), 1) >> 1
-                for at, h in enumerate(tokens.windows(size).view(np.int64).tolist()):
-                    shown, slots = tokens.shown(at, size)
-                    out.append((h, size, shown, item, key, at, slots, len(tokens)))
+                for is_open, places, hashes in tokens.windows(size):
+                    for at, h in zip(places.tolist(), hashes.tolist()):
+                        shown, slots = tokens.shown(at, size, is_open)
+                        out.append((h, size, shown, item, key, at, slots, len(tokens)))
             names = ["h", "size", "shown", "item_id", "same", "item_at", "item_slots", "tokens"]
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.record_batch(
@@ -222,12 +232,12 @@ def document_windows(documents: DataFrame, sizes: list[int], passing: bytes) ->
             for i, text in enumerate(texts):
                 tokens = Tokens(text.as_py())
                 for size in sizes:
-                    h = tokens.windows(size).view(np.int64)
-                    place = h % most
-                    hits = np.flatnonzero((bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
-                    for at in hits.tolist():
-                        shown, slots = tokens.shown(at, size)
-                        out.append((ids[i].as_py(), hashes[i].as_py(), int(h[at]), size, shown, at, slots))
+                    for is_open, places, found in tokens.windows(size):
+                        bit = found % most
+                        hits = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                        for at, h in zip(places[hits].tolist(), found[hits].tolist()):
+                            shown, slots = tokens.shown(at, size, is_open)
+                            out.append((ids[i].as_py(), hashes[i].as_py(), h, size, shown, at, slots))
             names = ["doc_id", "text_hash", "h", "size", "shown", "at", "slots"]
             columns = list(zip(*out)) or [[]] * len(names)
             types = [
