@@ -9,11 +9,12 @@ values is taken as it is; any other is looked into field by field.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from obstar.functions.measures import clamp, decimal_range
+from obstar.functions.measures import clamp, clamp_int, decimal_range
 from obstar.schemas import Field
 
 ERRORS = "errors"
@@ -149,6 +150,11 @@ def judged(document: str, plain: str, contract: Sequence[Field], on_overflow: st
     return F.expr(f"CASE WHEN {clean} THEN {as_it_is} ELSE {with_care} END")
 
 
+def widened(contract: Sequence[Field]) -> list[Field]:
+    """The contract with whole numbers read as BIGINT, to be clamped when staged."""
+    return [replace(f, kind="bigint") if f.kind == "int" else f for f in contract]
+
+
 def staged(field: Field, on_overflow: str = "reject") -> Column:
     """The parsed field under its staging name and type."""
     col = F.col(field.name)
@@ -157,4 +163,6 @@ def staged(field: Field, on_overflow: str = "reject") -> Column:
             col = F.left(col, F.lit(field.max_length))
         if field.sql_type.startswith("decimal"):
             col = clamp(col, field.sql_type)
+        if field.kind == "int":
+            col = clamp_int(col)
     return col.cast(field.sql_type).alias(field.column)

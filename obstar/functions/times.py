@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # fixed values: input formats; one-digit month, day, hour and minute are accepted
 MINUTE_FORMAT = "yyyy-M-d H:m"
 _SECOND_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-_MINUTE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$"
 
 # A part of a time may be written with one digit; the cast wants two.
 _ONE_DIGIT = r"(?<!\d)(\d)(?!\d)"
@@ -22,6 +21,11 @@ def parse_strict(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit(MINUTE_FORMAT))
 
 
+def is_minute(text: Column) -> Column:
+    """Whether the strict parser reads the text."""
+    return F.coalesce(F.try_to_timestamp(text, F.lit(MINUTE_FORMAT)).isNotNull(), F.lit(False))
+
+
 def _lenient(text: Column, shape: str) -> Column:
     padded = F.regexp_replace(text, _ONE_DIGIT, "0$1")
     return F.when(text.rlike(shape), padded.try_cast("timestamp_ntz"))
@@ -32,11 +36,6 @@ def parse_lenient(text: Column) -> Column:
     return _lenient(text, _SECOND_SHAPE)
 
 
-def parse_lenient_minute(text: Column) -> Column:
-    """Minute-resolution text to time; a bad value becomes NULL."""
-    return _lenient(text, _MINUTE_SHAPE)
-
-
 def calendar(ts: Column) -> dict[str, Column]:
     """The eight descriptive columns of the time dimension."""
     day = ts.cast("date")

@@ -7,18 +7,16 @@ different answer: of (1,A), (2,A), (2,B) the first and the last are kept.
 Each round accepts the rows that come first under every one of their keys and
 drops the rows that share a key with an accepted row. This gives the sequential
 answer (see Blelloch, Fineman, Shun: Greedy sequential maximal independent set
-and matching are parallel on average, SPAA 2012), usually in a few rounds. A long
-chain of conflicts would take many; once few enough rows are left, they are
-settled one after the other in a single task.
+and matching are parallel on average, SPAA 2012), usually in a few rounds. A chain
+of conflicts, each row in the way of the next, takes a round per link; `max_rounds`
+says when that is no longer worth it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from obstar.operators.dedupe import first_per_key, total_order
 from obstar.operators.keys import absent_from, present_in
@@ -26,24 +24,8 @@ from obstar.operators.merge import fresh_rows
 from obstar.session import materialize
 
 
-def _settle(rows: DataFrame, unique_keys: Sequence[Sequence[str]], order: Sequence[str]) -> DataFrame:
-    """The sequential rule, for a number of rows known to fit one task."""
-
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        taken = [set() for _ in unique_keys]
-        for batch in batches:
-            columns = [zip(*(batch.column(c).to_pylist() for c in key)) for key in unique_keys]
-            kept = []
-            for found in zip(*columns):
-                free = all(value not in seen for value, seen in zip(found, taken))
-                if free:
-                    for value, seen in zip(found, taken):
-                        seen.add(value)
-                kept.append(free)
-            yield batch.filter(pa.array(kept, pa.bool_()))
-
-    ordered = rows.coalesce(1).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-    return ordered.mapInArrow(keep, rows.schema)
+class TooManyRounds(RuntimeError):
+    """Rows were still undecided after the last round that was allowed."""
 
 
 def insert_ignore_all(
@@ -51,11 +33,12 @@ def insert_ignore_all(
     source: DataFrame,
     unique_keys: Sequence[Sequence[str]],
     order_by: Sequence[str],
-    settle_below: int = 100_000,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """Add the rows of `source` that conflict with nothing before them.
 
-    `unique_keys` lists the column sets that must be unique, each NOT NULL.
+    `unique_keys` lists the column sets that must be unique, each NOT NULL. No row
+    is ever left undecided: beyond `max_rounds`, if given, the call fails.
     """
     identity = list(dict.fromkeys(c for key in unique_keys for c in key))
     order = total_order(source, (), order_by)
@@ -64,11 +47,10 @@ def insert_ignore_all(
         left = fresh_rows(target, left, key)
     left = materialize(left, "unsettled")
 
-    accepted = []
+    accepted: list[DataFrame] = []
     while (remaining := left.count()) > 0:
-        if remaining <= settle_below:
-            accepted.append(materialize(_settle(left, unique_keys, order), "accepted"))
-            break
+        if max_rounds is not None and len(accepted) >= max_rounds:
+            raise TooManyRounds(f"{remaining} rows undecided after {max_rounds} rounds")
         winners = first_per_key(left, unique_keys[0], order)
         for key in unique_keys[1:]:
             winners = present_in(winners, first_per_key(left, key, order), identity)

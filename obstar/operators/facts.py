@@ -77,9 +77,19 @@ def unresolved(keyed: DataFrame, carried: Sequence[str]) -> DataFrame:
 
 
 def fact_rows(
-    keyed: DataFrame, measures: Sequence[str], order_by: Sequence[str], extra: Sequence[str] = ()
+    keyed: DataFrame,
+    measures: Sequence[str],
+    order_by: Sequence[str],
+    extra: Sequence[str] = (),
+    one_per_key: bool = False,
 ) -> DataFrame:
-    """One row per location and minute: the last in the given order."""
+    """One row per location and minute: the last in the given order.
+
+    `one_per_key` says that the observations have one row per location and minute
+    already, so there is nothing to shuffle.
+    """
     columns = dict.fromkeys([*FOREIGN_KEYS, *measures, *extra, *order_by])
-    kept = last_per_key(resolved(keyed).select(*columns), FACT_KEY, order_by)
+    kept = resolved(keyed).select(*columns)
+    if not one_per_key:
+        kept = last_per_key(kept, FACT_KEY, order_by)
     return kept.select(*FOREIGN_KEYS, *measures, *extra)

@@ -20,21 +20,28 @@ def parse_records(
     text: str,
     contract: Sequence[Field] = OBSERVATION,
     on_overflow: str = "reject",
+    keep_rejected: bool = False,
 ) -> DataFrame:
     """Replace the JSON text by the contract's fields and an `errors` array.
 
     Other columns of `df` are carried along. `on_overflow` says what happens to
     values their staging column cannot hold: "reject" the record, or "clamp" the
-    value when it is staged.
+    value when it is staged. `keep_rejected` keeps the text of rejected records
+    (of the others it is NULL).
 
     Text is parsed and judged inside generators of one row: a plain projection
     would be copied into every use of its columns, and a filter on the errors
     would parse each record a hundred times.
     """
-    carried = [c for c in df.columns if c != text]
+    if on_overflow == "clamp":
+        contract = C.widened(contract)
+    carried = [c for c in df.columns if keep_rejected or c != text]
     read = F.struct(C.read_document(text).alias(_DOCUMENT), C.read_plain(text, contract).alias(_PLAIN))
     opened = df.select(*carried, F.inline(F.array(read)))
-    return opened.select(*carried, F.inline(F.array(C.judged(_DOCUMENT, _PLAIN, contract, on_overflow))))
+    parsed = opened.select(*carried, F.inline(F.array(C.judged(_DOCUMENT, _PLAIN, contract, on_overflow))))
+    if keep_rejected:
+        parsed = parsed.withColumn(text, F.when(F.size(ERRORS) > 0, F.col(text)))
+    return parsed
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -28,9 +28,11 @@ def fresh_rows(
 
     The target's keys are cut down to those in the batch before they are
     compared: that join can broadcast the batch, where a plain anti-join of the
-    batch with the target could only broadcast the target.
+    batch with the target could only broadcast the target. A key the batch has many
+    times stands once on the right side, which Spark does not split.
     """
-    known = present_in(target.select(*keys), batch, keys, nullable)
+    offered = batch.select(*keys).distinct()
+    known = present_in(target.select(*keys), offered, keys, nullable)
     return absent_from(batch, known, keys, nullable)
 
 
@@ -119,11 +121,13 @@ def upsert_actions(
     keys: Sequence[str],
     order_by: Sequence[str],
     nullable: Collection[str] = (),
+    one_per_key: bool = False,
 ) -> DataFrame:
     """One row per key of the batch with what an upsert would do to it."""
     values = [c for c in target.columns if c in source.columns and c not in keys]
-    batch = last_per_key(source, keys, order_by)
+    batch = source if one_per_key else last_per_key(source, keys, order_by)
     known = present_in(target, batch, keys, nullable)
+    # without values there is nothing to change: a known key is unchanged
     old = prefixed(known, keys, [F.struct(*values).alias("_old")])
     new = F.struct(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in values])
     action = (

@@ -65,7 +65,7 @@ def coverage(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
 
 def missing_keys(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not observed."""
-    return absent_from(expected.select(key).distinct(), observed.select(key), [key])
+    return absent_from(expected.select(key).distinct(), observed.select(key).distinct(), [key])
 
 
 def expected_cities(spark: SparkSession) -> DataFrame:

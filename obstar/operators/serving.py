@@ -62,22 +62,36 @@ def _period(df: DataFrame, start: date | None, end: date | None) -> DataFrame:
     return df
 
 
+#: How many facts the list without a filter has.
+TOP = 1000
+DEFAULT = -1
+
+
+def newest_of(n: int | None, city: str | None, start: date | None, end: date | None) -> int | None:
+    """The cut of a view: as asked for, else 1000 without a filter and none with one."""
+    if n != DEFAULT:
+        return n
+    return TOP if city is None and start is None and end is None else None
+
+
 def latest(
     star: Star,
-    n: int = 1000,
+    n: int | None = DEFAULT,
     city: str | None = None,
     start: date | None = None,
     end: date | None = None,
     checked_keys: bool = False,
 ) -> DataFrame:
-    """The newest n facts of the star join, flat.
+    """The newest n facts of the star join, flat, in order; all with n None.
 
-    City and period (start inclusive, end exclusive) are filtered before the cut.
+    City and period (start inclusive, end exclusive) are filtered before the cut;
+    unless told otherwise only the list without a filter is cut, at 1000.
     Only the time dimension decides the order, so the others are joined to the n
     rows that are left. A fact without its parents must not take one of the n
     places: `checked_keys` says that there are none, otherwise they are dropped
     by semi-joins on the ids.
     """
+    n = newest_of(n, city, start, end)
     facts = star.fact
     if city is not None:
         wanted = star.location.where(F.col("nom_ville") == city)
@@ -87,10 +101,12 @@ def latest(
     if not checked_keys:
         facts = _semi(facts, star.condition, "id_dim_condition_fk", "id_dim_condition")
     timed = _join_time(facts, _period(star.time, start, end))
-    newest = timed.orderBy(*_newest_first()).limit(n)
+    # a top-k before the wide joins; without a cut the rows are sorted once, at the end
+    newest = timed if n is None else timed.orderBy(*_newest_first()).limit(n)
     joined = _join_condition(_join_location(newest, star.location), star.condition)
     columns = [*star.fact.columns, *GROUPS["lieu"], *GROUPS["temps"], *GROUPS["condition"]]
-    return decimals_as_double(joined.select(*columns)).orderBy(*_newest_first()).limit(n)
+    flat = decimals_as_double(joined.select(*columns)).orderBy(*_newest_first())
+    return flat if n is None else flat.limit(n)
 
 
 def _semi(df: DataFrame, parent: DataFrame, fk: str, key: str) -> DataFrame:

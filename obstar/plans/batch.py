@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from dataclasses import replace as changed
 from datetime import datetime, timezone
@@ -10,22 +11,33 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obstar.operators import ingest
+from obstar.functions import times
+from obstar.operators import ingest, quality
+from obstar.operators.ingest import ERRORS
 from obstar.plans import staging, star
-from obstar.session import configure, materialize
-from obstar.sources import landing, runlog, warehouse
+from obstar.schemas import EXPECTED_CITIES
+from obstar.session import configure, materialize, run_folder
+from obstar.sources import landing, rejects, runlog, warehouse
 
+# fixed values: the processes of the log
 RUN, TRANSFER = "run_etl", "transfer_data_to_warehouse"
 
 
 @dataclass(frozen=True)
 class Result:
-    """Outcome of a run; the rejects name the record's file or observation."""
+    """Outcome of a run.
+
+    The rejects are stored with the warehouse: fields of records with the record's
+    text, and observations whose keys were not found. `coverage` counts the expected
+    cities, `actions` what the merges did to each table.
+    """
 
     status: str
     counts: dict[str, int] = field(default_factory=dict)
     record_rejects: DataFrame | None = None
     fact_rejects: DataFrame | None = None
+    coverage: dict[str, int] = field(default_factory=dict)
+    actions: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def log_path(root: str) -> str:
@@ -38,10 +50,13 @@ def run(
     root: str,
     on_overflow: str = "reject",
     batch: str | None = None,
+    on_bad_time: str = "fail",
+    expected: DataFrame | Sequence[str] | None = None,
 ) -> Result:
     """Load all files of a landing folder."""
     configure(spark)
-    return load(spark, landing.read(spark, landing_path), root, on_overflow, batch)
+    records = landing.read(spark, landing_path)
+    return load(spark, records, root, on_overflow, batch, None, on_bad_time, expected)
 
 
 def load(
@@ -51,23 +66,37 @@ def load(
     on_overflow: str = "reject",
     batch: str | None = None,
     stream: tuple[str, int] | None = None,
+    on_bad_time: str = "fail",
+    expected: DataFrame | Sequence[str] | None = None,
 ) -> Result:
     """Load landing records; logs the start and the end, also of a failure.
 
-    `stream` is the name and number of a streaming batch; one that has been
-    published already is skipped, so a replayed batch changes nothing.
+    `stream` is the identity of a stream, as its checkpoint keeps it, and the number
+    of one of its batches; a batch that has been published already is skipped, so a
+    replay changes nothing. `on_bad_time` says what a time that cannot be read does:
+    "fail" the run, or "reject" the record. `expected` are the names of the cities a
+    complete run has (a list, or a frame with the column `nom`), by default those of
+    the contract.
     """
     started = datetime.now(timezone.utc)
     log = log_path(root)
+    ids = iter(range(runlog.next_id(spark, log), 1 << 62))
 
     def record(process: str, status: str, **more) -> None:
-        runlog.append(spark, log, process, status, started, **more)
+        runlog.append(spark, log, process, status, started, log_id=next(ids), **more)
 
     record(RUN, runlog.RUNNING)
+    steps: list[str] = []
     try:
-        result = _load(spark, records, root, on_overflow, batch or uuid.uuid4().hex, stream)
+        with run_folder(spark, "load"):
+            result = _load(
+                spark, records, root, on_overflow, batch or uuid.uuid4().hex, stream, on_bad_time,
+                expected, steps,
+            )
     except Exception as error:
-        record(RUN, runlog.FAILED, end_time=datetime.now(timezone.utc), error_message=str(error))
+        ended = {"end_time": datetime.now(timezone.utc), "error_message": str(error)}
+        for process in [*steps, RUN]:
+            record(process, runlog.FAILED, **ended)
         raise
     ended = {"end_time": datetime.now(timezone.utc), "rows_processed": result.counts.get("facts", 0)}
     if result.status == runlog.SUCCESS:
@@ -76,6 +105,18 @@ def load(
     return result
 
 
+def cities_of(names: Sequence[str]) -> list[str]:
+    """The names by which records call the expected cities."""
+    return [n.rsplit("/", 1)[-1].replace("_", " ") for n in names]
+
+
+def _timed(parsed: DataFrame) -> DataFrame:
+    """Reject records whose time cannot be read."""
+    bad = F.array(F.struct(F.lit("last_updated").alias("field"), F.lit("uncoercible").alias("reason")))
+    unread = (F.size(ERRORS) == 0) & ~times.is_minute(F.col("last_updated"))
+    return parsed.withColumn(ERRORS, F.when(unread, bad).otherwise(F.col(ERRORS)))
+
+
 def _load(
     spark: SparkSession,
     records: DataFrame,
@@ -83,36 +124,64 @@ def _load(
     on_overflow: str,
     batch: str,
     stream: tuple[str, int] | None,
+    on_bad_time: str,
+    expected: DataFrame | Sequence[str] | None,
+    steps: list[str],
 ) -> Result:
     base = warehouse.current(spark, root)
     if stream and stream[1] <= base.streams.get(stream[0], -1):
-        return Result(runlog.SKIPPED)
-
-    parsed = materialize(
-        ingest.parse_records(records, landing.TEXT, on_overflow=on_overflow), "parsed", spark
-    )
+        return Result(runlog.REPLAYED)
+
+    parsed = ingest.parse_records(records, landing.TEXT, on_overflow=on_overflow, keep_rejected=True)
+    if on_bad_time == "reject":
+        # the text of all records is needed to tell the rejected ones
+        parsed = _timed(materialize(_with_text(records, on_overflow), "read", spark)).withColumn(
+            landing.TEXT, F.when(F.size(ERRORS) > 0, F.col(landing.TEXT))
+        )
+    parsed = materialize(parsed, "parsed", spark)
     counts = parsed.agg(
-        F.count("*").alias("records"), F.count_if(F.size(ingest.ERRORS) == 0).alias("valid")
+        F.count("*").alias("records"), F.count_if(F.size(ERRORS) == 0).alias("valid")
     ).first()
     counts = counts.asDict()
-    record_rejects = ingest.rejects(parsed, [landing.SOURCE])
+    refused = ingest.rejects(parsed, [landing.SOURCE, landing.TEXT])
+
+    def skipped() -> Result:
+        told = rejects.write(refused, root, rejects.RECORDS, batch, None)
+        return Result(runlog.SKIPPED, counts, told)
+
     if counts["valid"] == 0:
         staging.replace(staging.empty(spark), root)
-        return Result(runlog.SKIPPED, counts, record_rejects)
+        return skipped()
 
     flat = ingest.flatten(ingest.valid(parsed), [landing.SOURCE], on_overflow=on_overflow)
     staged = staging.replace(staging.build(flat), root)
     if staged.is_empty():
-        return Result(runlog.SKIPPED, counts, record_rejects)
+        return skipped()
+    expected = cities_of(EXPECTED_CITIES) if expected is None else expected
+    if not isinstance(expected, DataFrame):
+        expected = spark.createDataFrame([(c,) for c in expected], "nom string")
+    coverage = quality.coverage(expected, staged.locations, "nom").first().asDict()
 
+    steps.append(TRANSFER)
     loaded = star.load(staged, base)
-    after = loaded.snapshot
-    if stream:
-        after = changed(after, streams={**after.streams, stream[0]: stream[1]})
-    warehouse.publish(after, batch)
+    told = rejects.write(refused, root, rejects.RECORDS, batch, base.number + 1)
+    unkeyed = rejects.write(loaded.rejects, root, rejects.OBSERVATIONS, batch, base.number + 1)
     counts |= {
         "observations": loaded.observations,
         "dropped": loaded.dropped,
         "facts": loaded.facts,
     }
-    return Result(runlog.SUCCESS, counts, record_rejects, loaded.rejects)
+    flat_actions = {f"{t}.{a}": n for t, did in loaded.actions.items() for a, n in did.items()}
+    flat_coverage = {f"cities.{k}": n for k, n in coverage.items()}
+    after = changed(loaded.snapshot, counts=counts | flat_coverage | flat_actions)
+    if stream:
+        after = changed(after, streams={**after.streams, stream[0]: stream[1]})
+    warehouse.publish(after, batch)
+    return Result(runlog.SUCCESS, counts, told, unkeyed, coverage, loaded.actions)
+
+
+def _with_text(records: DataFrame, on_overflow: str) -> DataFrame:
+    """Parsed records, each with its text."""
+    doubled = records.withColumn("_text", F.col(landing.TEXT))
+    parsed = ingest.parse_records(doubled, landing.TEXT, on_overflow=on_overflow)
+    return parsed.withColumnRenamed("_text", landing.TEXT)

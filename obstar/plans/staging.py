@@ -6,6 +6,7 @@ import uuid
 from dataclasses import dataclass
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,10 +17,11 @@ from obstar.operators.dedupe import first_per_key
 from obstar.operators.keys import lookup, present_in
 from obstar.operators.numbering import dense_ids
 from obstar.schemas import CONDITIONS_METEO, DONNEES_METEO, LIEUX, MEASURES, STAGING
-from obstar.session import side_by_side
+from obstar.session import remove, side_by_side
 from obstar.sources.landing import SOURCE
 
 _NAME = ["nom", "region", "pays"]
+_LAST = "last_seen"
 
 
 @dataclass(frozen=True)
@@ -39,7 +41,8 @@ def build(flat: DataFrame) -> Staging:
     First come, first kept, in the order of the source files; within a file by
     the records' own values, since a text file's lines have no number. A time
     that cannot be read fails the run. Observations whose condition was not kept
-    are left out, as a foreign key would do.
+    are left out, as a foreign key would do. Locations are numbered in the order
+    in which they were last seen, so of two the higher number came later.
     """
     spark = flat.sparkSession
     conditions, locations = side_by_side(
@@ -49,7 +52,9 @@ def build(flat: DataFrame) -> Staging:
             [["code_condition"], ["texte_condition"]],
             [SOURCE],
         ),
-        lambda: dense_ids(ingest.locations_of(flat), _NAME, "id_lieu").select(*LIEUX.names),
+        lambda: dense_ids(
+            flat.groupBy(*_NAME).agg(F.max(SOURCE).alias(_LAST)), [_LAST, *_NAME], "id_lieu"
+        ).select(*LIEUX.names),
     )
     placed = lookup(flat, locations, _NAME, ["id_lieu"], nullable=["region"])
     timed = placed.withColumn("datetime_observation", times.parse_strict(F.col("datetime_observation")))
@@ -57,7 +62,8 @@ def build(flat: DataFrame) -> Staging:
         SOURCE, "id_lieu", "datetime_observation", *MEASURES, "code_condition"
     )
     kept = first_per_key(known, ["id_lieu", "datetime_observation"], [SOURCE])
-    numbered = dense_ids(kept, [SOURCE, "datetime_observation", "id_lieu"], "id_observation_horaire")
+    # nobody refers to these ids: unique is enough, and needs no sort
+    numbered = kept.withColumn("id_observation_horaire", F.monotonically_increasing_id() + 1)
     return Staging(locations, conditions, numbered.select(*DONNEES_METEO.names))
 
 
@@ -66,14 +72,43 @@ def empty(spark: SparkSession) -> Staging:
 
 
 def replace(staging: Staging, root: str) -> Staging:
-    """Write the relations to a new folder and return them as stored."""
+    """Write the relations to a new folder, make it the current one, and return them.
+
+    A file names the current folder; earlier ones are removed once it does.
+    """
     run = uuid.uuid4().hex
+    spark = staging.locations.sparkSession
     frames = (staging.locations, staging.conditions, staging.observations)
 
-    def store(name: str, schema: StructType, df: DataFrame) -> DataFrame:
+    def store(name: str, schema: StructType, df: DataFrame) -> None:
         path = f"{root}/staging/{run}/{name}"
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.parquet(path)
-        return df.sparkSession.read.schema(schema).parquet(path)
 
-    steps = [partial(store, *table, df) for table, df in zip(STAGING.items(), frames)]
-    return Staging(*side_by_side(*steps))
+    side_by_side(*[partial(store, *table, df) for table, df in zip(STAGING.items(), frames)])
+    before = _current_run(spark, root)
+    pointer = spark.createDataFrame([(run,)], "value string").coalesce(1)
+    pointer.write.mode("overwrite").text(f"{root}/staging/current")
+    if before is not None:
+        remove(spark, f"{root}/staging/{before}")
+    return read(spark, root)
+
+
+def _current_run(spark: SparkSession, root: str) -> str | None:
+    try:
+        row = spark.read.text(f"{root}/staging/current").first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return row["value"] if row else None
+
+
+def read(spark: SparkSession, root: str) -> Staging:
+    """The current staging, empty before the first run."""
+    run = _current_run(spark, root)
+    if run is None:
+        return empty(spark)
+    base = f"{root}/staging/{run}"
+    return Staging(
+        *[spark.read.schema(schema).parquet(f"{base}/{name}") for name, schema in STAGING.items()]
+    )

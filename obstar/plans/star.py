@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obstar.operators import dims, facts, merge
+from obstar.operators.dedupe import last_per_key
 from obstar.operators.keys import present_in
 from obstar.operators.numbering import highest_id
 from obstar.operators.serving import Star
@@ -30,6 +32,17 @@ class Loaded:
     observations: int
     dropped: int
     facts: int
+    actions: dict[str, dict[str, int]]
+
+
+@dataclass(frozen=True)
+class Merged:
+    """A dimension after the merge, the version that has it, and what the merge did."""
+
+    name: str
+    version: str
+    rows: DataFrame
+    did: dict[str, int]
 
 
 def star_of(snapshot: Snapshot, months=None) -> Star:
@@ -46,49 +59,61 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
     """Write the dimensions and touched months of the next snapshot.
 
     Dimensions take every staged row, also of observations that will be dropped.
-    Keys are looked up in the merged dimensions, so rows of earlier runs count.
-    Nothing is visible to readers until the result is published.
+    Keys are looked up in the merged dimensions, so rows of earlier runs count. A
+    dimension that the batch neither adds to nor changes keeps its version. Nothing
+    is visible to readers until the result is published.
     """
     version = warehouse.new_version(base)
     observations = staging.observations
 
-    def merge_conditions() -> DataFrame:
-        merged = merge.upsert(
-            base.dim("DimConditionsMeteo"),
-            dims.condition_rows(staging.conditions),
-            CONDITION_KEY,
-            CONDITION_KEY,
-            id_column="id_dim_condition",
+    def kept_or(name: str, did: dict[str, int], merged: Callable[[], DataFrame]) -> Merged:
+        if name in base.dims and not did[merge.INSERTED] + did[merge.UPDATED]:
+            return Merged(name, base.dims[name], base.dim(name), did)
+        return Merged(name, version, warehouse.write_dim(base, name, merged(), version), did)
+
+    def merge_dim(name: str, rows: DataFrame, key: list[str], order: list[str], ids: str) -> Merged:
+        target, arriving = base.dim(name), materialize(last_per_key(rows, key, order), "arriving")
+        actions = merge.upsert_actions(target, arriving, key, order, one_per_key=True)
+        did = merge.count_actions(actions).first().asDict()
+        return kept_or(
+            name, did, lambda: merge.upsert(target, arriving, key, order, ids, one_per_key=True)
         )
-        return warehouse.write_dim(base, "DimConditionsMeteo", merged, version)
 
-    def merge_locations() -> DataFrame:
-        # a city seen twice keeps the names of its last location
-        cities = staging.locations.withColumnRenamed("nom", "nom_ville")
-        merged = merge.upsert(
-            base.dim("DimLieux"), cities, LOCATION_KEY, ["id_lieu"], id_column="id_dim_lieu"
-        )
-        return warehouse.write_dim(base, "DimLieux", merged, version)
-
-    def merge_times() -> tuple[DataFrame, DataFrame]:
+    def merge_times() -> tuple[DataFrame, Merged]:
         minutes = materialize(dims.time_rows(observations, _TIME), "minutes")
-        merged = merge.insert_ignore(
-            base.dim("DimTemps"), minutes, TIME_KEY, TIME_KEY, id_column="id_dim_temps"
+        target = base.dim("DimTemps")
+        fresh = materialize(merge.fresh_rows(target, minutes, TIME_KEY), "fresh-minutes")
+        new = fresh.count()
+        did = {merge.INSERTED: new, merge.UPDATED: 0, merge.UNCHANGED: minutes.count() - new}
+        did["affected"] = new
+        return minutes, kept_or(
+            "DimTemps",
+            did,
+            lambda: merge.insert_ignore(target, fresh, TIME_KEY, TIME_KEY, id_column="id_dim_temps"),
         )
-        return minutes, warehouse.write_dim(base, "DimTemps", merged, version)
 
+    # a city seen twice keeps the names of the location that was seen last
+    cities = staging.locations.withColumnRenamed("nom", "nom_ville")
+    texts = dims.condition_rows(staging.conditions)
     conditions, locations, (minutes, times) = side_by_side(
-        merge_conditions, merge_locations, merge_times
+        lambda: merge_dim("DimConditionsMeteo", texts, CONDITION_KEY, CONDITION_KEY, "id_dim_condition"),
+        lambda: merge_dim("DimLieux", cities, LOCATION_KEY, ["id_lieu"], "id_dim_lieu"),
+        merge_times,
     )
 
     # only the batch's minutes are looked up: small enough to broadcast in a regular run
-    batch_times = materialize(present_in(times, minutes, TIME_KEY), "batch-times")
-    keyed = facts.resolve(observations, staging.locations, locations, conditions, batch_times)
+    batch_times = materialize(present_in(times.rows, minutes, TIME_KEY), "batch-times")
+    keyed = materialize(
+        facts.resolve(observations, staging.locations, locations.rows, conditions.rows, batch_times),
+        "keyed",
+    )
     stored_by = keyed.withColumns({"annee": F.year(_TIME), "mois": F.month(_TIME)})
-    rows, rejects = side_by_side(
-        lambda: materialize(facts.fact_rows(stored_by, MEASURES, [_ARRIVAL], extra=MONTH), "facts"),
-        lambda: materialize(facts.unresolved(keyed, observations.columns), "rejects"),
+    rows = materialize(
+        # staging has one row per location and minute
+        facts.fact_rows(stored_by, MEASURES, [], extra=MONTH, one_per_key=True),
+        "facts",
     )
+    rejects = facts.unresolved(keyed, observations.columns)
 
     touched = {(r["annee"], r["mois"]) for r in rows.select(*MONTH).distinct().collect()}
     merged = merge.upsert(
@@ -100,11 +125,15 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
         id_start=base.top_fact_id,
         one_per_key=True,
     )
-    written = warehouse.write_months(base, merged, version, touched)
+    actions = merge.upsert_actions(base.fact(touched), rows, FACT_KEY, [], one_per_key=True)
+    did, written = side_by_side(
+        lambda: merge.count_actions(actions).first().asDict(),
+        lambda: warehouse.write_months(base, merged, version, touched),
+    )
     untouched = [m for m in base.months if m.key not in touched]
     after = replace(
         base,
-        dims={name: version for name in ("DimTemps", "DimLieux", "DimConditionsMeteo")},
+        dims={m.name: m.version for m in (times, locations, conditions)},
         months=(*untouched, *written),
     )
     top = max(base.top_fact_id, highest_id(after.fact(touched), _ARRIVAL))
@@ -114,4 +143,5 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
         observations.count(),
         rejects.count(),
         rows.count(),
+        {m.name: m.did for m in (times, locations, conditions)} | {FACT: did},
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from obstar.operators import serving
 from obstar.plans.star import star_of
@@ -20,27 +21,46 @@ def _in_period(snapshot: Snapshot, start: date | None, end: date | None) -> set[
     }
 
 
+def _newest_with(snapshot: Snapshot, months: set, n: int, city: str | None) -> set[tuple[int, int]]:
+    """The latest of the months that together have n facts, of the city if one is given."""
+    if city is None:
+        return months & snapshot.newest_months(n) if len(months) == len(snapshot.months) else months
+    wanted: set[tuple[int, int]] = set()
+    found, step = 0, 1
+    left = sorted(months, reverse=True)
+    ids = [r["id_dim_lieu"] for r in snapshot.dim("DimLieux").where(F.col("nom_ville") == city).collect()]
+    while left and found < n:
+        # twice as many months each time: few passes, and at most twice the months needed
+        some, left = set(left[:step]), left[step:]
+        found += snapshot.fact(some).where(F.col("id_dim_lieu_fk").isin(ids)).count()
+        wanted |= some
+        step *= 2
+    return wanted
+
+
 def latest(
     snapshot: Snapshot,
-    n: int = 1000,
+    n: int | None = serving.DEFAULT,
     city: str | None = None,
     start: date | None = None,
     end: date | None = None,
 ) -> DataFrame:
     """The newest n facts, reading only the months that can hold them.
 
-    Without a filter those are the last months that have n facts between them;
-    with a period, the months of the period. Published facts have all their
-    parents, so the dimensions need not be asked before the cut.
+    Without n, a city or period has all its facts, and the list without a filter 1000.
+    Without a filter the last months that have n facts between them are read; with
+    a period, the months of the period; with a city and n, months from the newest
+    on until the city has n facts. Published facts have all their parents, so the
+    dimensions need not be asked before the cut.
     """
-    if city is None and start is None and end is None:
-        months = snapshot.newest_months(n)
-    else:
-        months = _in_period(snapshot, start, end)
+    n = serving.newest_of(n, city, start, end)
+    months = _in_period(snapshot, start, end)
+    if n is not None:
+        months = _newest_with(snapshot, months, n, city)
     return serving.latest(star_of(snapshot, months), n, city, start, end, checked_keys=True)
 
 
-def latest_records(snapshot: Snapshot, n: int = 1000, **filters) -> DataFrame:
+def latest_records(snapshot: Snapshot, n: int | None = serving.DEFAULT, **filters) -> DataFrame:
     """The same as nested records."""
     return serving.nested(latest(snapshot, n, **filters))
 

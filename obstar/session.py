@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextvars
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -34,24 +34,44 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="obstar-")
+#: The folder of the run that is going on, if it keeps its tables together.
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("run_folder", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session, where every task sees the same disk, may do without.
+    Only a session on one machine may do without; it writes below its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
+    if spark.conf.get("spark.master", "").startswith("local["):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever Spark can write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """Keep the intermediate tables written inside together; they go with the run.
+
+    What outlives the run must have been written elsewhere by then.
+    """
+    path = f"{scratch_root(spark)}/obstar/{label}-{uuid.uuid4().hex}"
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+        remove(spark, path)
+
+
 def materialize(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
     """Write a frame once and return a frame that reads it back.
 
@@ -61,7 +81,8 @@ def materialize(df: DataFrame, label: str, spark: SparkSession | None = None) ->
     frame's own.
     """
     spark = spark or df.sparkSession
-    path = f"{scratch_root(spark)}/obstar/{label}-{uuid.uuid4().hex}"
+    folder = _RUN.get() or f"{scratch_root(spark)}/obstar"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -73,5 +94,7 @@ def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
     """
     inheriting = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheriting(step)) for step in steps]
+        running = [
+            pool.submit(contextvars.copy_context().run, inheriting(step)) for step in steps
+        ]
         return [step.result() for step in running]

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.operators.dedupe import last_per_key
-from obstar.operators.numbering import highest_id
 from obstar.schemas import RUN_LOG
 
+# fixed values: what a row of the log says of a run
 RUNNING, SUCCESS, FAILED, SKIPPED = "running", "success", "failed", "skipped_empty"
+REPLAYED = "already_published"
 IDLE, FINISHED, ERROR = "idle", "finished", "error"
 
 
@@ -27,6 +28,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], RUN_LOG)
 
 
+def next_id(spark: SparkSession, path: str) -> int:
+    """The id after the highest in the log; of entries only the names are read."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+    )
+    number = F.regexp_extract("path", r"/id=(\d+)-[0-9a-f]+/[^/]*$", 1)
+    try:
+        top = listing.load(path).agg(F.max(F.when(number != "", number).cast("bigint")).alias("top"))
+        return (top.first()["top"] or 0) + 1
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+
+
 def append(
     spark: SparkSession,
     path: str,
@@ -36,15 +54,19 @@ def append(
     end_time: datetime | None = None,
     error_message: str | None = None,
     rows_processed: int | None = None,
+    log_id: int | None = None,
 ) -> None:
-    """Add one row; rows are never changed, the end of a run is another row."""
-    log_id = highest_id(read(spark, path), "log_id") + 1
+    """Add one row; rows are never changed, the end of a run is another row.
+
+    A run that adds several asks for the first id once and counts on from there.
+    """
+    log_id = next_id(spark, path) if log_id is None else log_id
     entry = (
         log_id, process_name, status, start_time, end_time, error_message, rows_processed, None,
     )
     row = spark.createDataFrame([entry], RUN_LOG).withColumn("created_at", F.current_timestamp())
     # a folder per entry: processes that log at the same time do not meet
-    row.write.parquet(f"{path}/{uuid.uuid4().hex}")
+    row.write.parquet(f"{path}/id={log_id}-{uuid.uuid4().hex}")
 
 
 def status(log: DataFrame) -> DataFrame:

@@ -20,8 +20,9 @@ import uuid
 from collections.abc import Collection
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,12 +35,12 @@ FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) fo
 _RECORD = (
     "batch STRING, dims MAP<STRING, STRING>, "
     "months ARRAY<STRUCT<annee: INT, mois: INT, version: STRING, rows: BIGINT>>, "
-    "top_fact_id BIGINT, streams MAP<STRING, BIGINT>"
+    "top_fact_id BIGINT, streams MAP<STRING, BIGINT>, counts MAP<STRING, BIGINT>, token STRING"
 )
 
 
 class ConcurrentLoad(RuntimeError):
-    """Another load published first."""
+    """Another load published first, or two published at once."""
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,7 @@ class Snapshot:
     months: tuple[Month, ...] = ()
     top_fact_id: int = 0
     streams: dict[str, int] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
     def dim(self, name: str) -> DataFrame:
         schema = WAREHOUSE[name]
@@ -95,24 +97,38 @@ class Snapshot:
         return wanted
 
 
-def current(spark: SparkSession, root: str) -> Snapshot:
-    """The latest published snapshot; empty before the first one."""
+def latest_commit(spark: SparkSession, root: str) -> int | None:
+    """The highest number of a commit, None before the first one."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
     )
-    number = F.regexp_extract("path", r"/n=(\d+)/", 1).cast("bigint")
+    number = F.regexp_extract("path", r"/commits/n=(\d+)/[^/]*$", 1).cast("bigint")
     try:
         # only names are read here: records of earlier commits are never opened
-        latest = listing.load(f"{root}/commits").agg(F.max(number).alias("n")).first()["n"]
+        return listing.load(f"{root}/commits").agg(F.max(number).alias("n")).first()["n"]
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        latest = None
+        return None
+
+
+def _record(spark: SparkSession, root: str, number: int) -> Row:
+    """The record of a commit. Two loaders may have written one each where the file
+    system does not refuse the second: neither is followed then."""
+    found = spark.read.schema(_RECORD).json(f"{root}/commits/n={number}").take(2)
+    if len(found) != 1:
+        raise ConcurrentLoad(f"commit {number} of {root} does not have one record")
+    return found[0]
+
+
+def current(spark: SparkSession, root: str) -> Snapshot:
+    """The latest published snapshot; empty before the first one."""
+    latest = latest_commit(spark, root)
     if latest is None:
         return Snapshot(spark, root)
-    row = spark.read.schema(_RECORD).json(f"{root}/commits/n={latest}").first()
+    row = _record(spark, root, latest)
     return Snapshot(
         spark,
         root,
@@ -122,9 +138,17 @@ def current(spark: SparkSession, root: str) -> Snapshot:
         tuple(Month(**m.asDict()) for m in row["months"] or []),
         row["top_fact_id"],
         dict(row["streams"] or {}),
+        dict(row["counts"] or {}),
     )
 
 
+def history(spark: SparkSession, root: str) -> DataFrame:
+    """The commits: number, batch, and the counts of each load."""
+    number = F.regexp_extract("_metadata.file_path", r"/commits/n=(\d+)/[^/]*$", 1).cast("bigint")
+    stored = spark.read.schema(_RECORD).option("recursiveFileLookup", "true").json(f"{root}/commits")
+    return stored.select(number.alias("number"), "batch", "counts")
+
+
 def new_version(base: Snapshot) -> str:
     """A name no other attempt at the next commit uses."""
     return f"{base.number + 1}-{uuid.uuid4().hex[:12]}"
@@ -155,24 +179,33 @@ def write_months(base: Snapshot, rows: DataFrame, version: str, touched: Collect
 def publish(after: Snapshot, batch: str) -> Snapshot:
     """Make `after` the next commit; its number is the one it was built on."""
     number = after.number + 1
+    token = uuid.uuid4().hex
     record = (
         batch,
         after.dims,
         [(m.annee, m.mois, m.version, m.rows) for m in after.months],
         after.top_fact_id,
         after.streams,
+        after.counts,
+        token,
     )
     row = after.spark.createDataFrame([record], _RECORD).coalesce(1)
     try:
         row.write.mode("errorifexists").json(f"{after.root}/commits/n={number}")
-    except AnalysisException as taken:
-        if taken.getCondition() != "PATH_ALREADY_EXISTS":
+    except (AnalysisException, Py4JJavaError) as error:
+        # however the file system says so: a record is there and it is not this one
+        if (latest_commit(after.spark, after.root) or 0) < number:
             raise
-        raise ConcurrentLoad(f"commit {number} was published by another load") from taken
+        raise ConcurrentLoad(f"commit {number} was published by another load") from error
+    if _record(after.spark, after.root, number)["token"] != token:
+        raise ConcurrentLoad(f"commit {number} was published by another load")
     return replace(after, number=number, batch=batch)
 
 
 def reset(spark: SparkSession, root: str) -> Snapshot:
-    """Publish a warehouse without rows; earlier versions stay on disk."""
+    """Publish a warehouse without rows; earlier versions stay on disk.
+
+    Progress of streams goes, too: a batch that is sent again is loaded again.
+    """
     base = current(spark, root)
-    return publish(replace(Snapshot(spark, root), number=base.number, streams=base.streams), "reset")
+    return publish(replace(Snapshot(spark, root), number=base.number), "reset")

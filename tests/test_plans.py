@@ -18,10 +18,13 @@ def physical(df, capsys):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"insert_ignore_pairs", "insert_ignore_conditions"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_by_row_python_and_no_nested_loops(spark, capsys, name):
     plan = physical(QUERIES[name](spark, SF), capsys)
-    for operator in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for operator in (
+        "BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "CartesianProduct",
+        "BroadcastNestedLoopJoin",
+    ):
         assert operator not in plan
 
 

@@ -1,8 +1,7 @@
 """The results of the registered queries in SQL over the same tables.
 
 Columns have the names and types of the Spark results; decimals are compared as
-DOUBLE. `insert_ignore_pairs` has none: stepping through the rows one by one in
-SQL is too slow on whole tables; a test compares it with brute force.
+DOUBLE.
 """
 
 from __future__ import annotations
@@ -376,8 +375,42 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "latest_observations": f"WITH {_keyed('TRUE')} {_SERVED} {_NEWEST}",
     "observations_by_city_period": f"""WITH {_keyed('TRUE')} {_SERVED}
 WHERE l.nom_ville = 'Customer#000000007' AND t.date >= DATE '2024-01-05'
-  AND t.date < DATE '2024-01-25'
-{_NEWEST}""",
+  AND t.date < DATE '2024-01-25'""",
+    "observations_by_period": f"""WITH {_keyed('TRUE')} {_SERVED}
+WHERE t.date >= DATE '2024-01-05' AND t.date < DATE '2024-01-25'""",
+    "ingest_clamped": f"""WITH {_RECORDS},
+clamped AS (
+  SELECT * REPLACE (
+    CASE WHEN k = 35 THEN 2147483647 ELSE condition_code END AS condition_code,
+    CASE WHEN k = 36 THEN 999.99 ELSE wind_kph END AS wind_kph,
+    CASE WHEN k = 37 THEN 'north by n' ELSE wind_dir END AS wind_dir)
+  FROM judged WHERE field IS NULL OR k IN (35, 36, 37))
+SELECT event_id, name AS nom, region, country AS pays, last_updated AS datetime_observation,
+  CAST(CAST(temp_c AS DECIMAL(5,2)) AS DOUBLE) AS temperature_celsius,
+  condition_text AS texte_condition, condition_code AS code_condition,
+  CAST(CAST(wind_kph AS DECIMAL(5,2)) AS DOUBLE) AS vent_kph, wind_degree AS vent_degre,
+  wind_dir AS direction_vent, CAST(CAST(pressure_mb AS DECIMAL(7,2)) AS DOUBLE) AS pression_millibars,
+  CAST(CAST(precip_mm AS DECIMAL(5,2)) AS DOUBLE) AS precipitation_mm,
+  humidity AS humidite_pourcentage, cloud AS nuages_pourcentage,
+  CAST(CAST(vis_km AS DECIMAL(5,2)) AS DOUBLE) AS visibilite_km,
+  CAST(CAST(uv AS DECIMAL(4,1)) AS DOUBLE) AS indice_uv,
+  CAST(CAST(gust_kph AS DECIMAL(5,2)) AS DOUBLE) AS rafales_kph
+FROM clamped""",
+    "insert_ignore_pairs": """WITH RECURSIVE offered AS (
+  SELECT l_orderkey, l_partkey, row_number() OVER (ORDER BY l_orderkey, l_partkey) AS r
+  FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)),
+rounds AS (
+  SELECT l_orderkey, l_partkey, r, FALSE AS won FROM offered
+  UNION ALL
+  SELECT l_orderkey, l_partkey, r, won FROM (
+    SELECT *, bool_or(won) OVER (PARTITION BY l_orderkey) OR bool_or(won) OVER (PARTITION BY l_partkey)
+      AS taken
+    FROM (
+      SELECT l_orderkey, l_partkey, r, r = min(r) OVER (PARTITION BY l_orderkey)
+        AND r = min(r) OVER (PARTITION BY l_partkey) AS won
+      FROM rounds WHERE NOT won))
+  WHERE won OR NOT taken)
+SELECT l_orderkey, l_partkey FROM rounds WHERE won""",
     "star_view": f"""WITH {_keyed('TRUE')}
 SELECT f.id_observation_horaire, l.nom_ville, l.region, l.pays, t.date, t.heure, t.minute,
   t.jour_semaine, t.nom_mois, c.texte_condition, f.temperature_celsius
@@ -404,3 +437,105 @@ SELECT CAST(to_json({{
 }}) AS VARCHAR) AS json
 FROM served""",
 }
+
+# --- whole runs -------------------------------------------------------------------
+
+_RUN = (
+    _RECORDS
+    + f""",
+total AS (SELECT max(event_id) + 1 AS n FROM events),
+landed AS (
+  SELECT flat.* REPLACE (CASE WHEN event_id >= n // 4 AND nom LIKE '%7' THEN 'AAA' ELSE pays END AS pays,
+      strptime(datetime_observation, '%Y-%m-%d %H:%M') AS datetime_observation),
+    event_id // 500 AS file, CASE WHEN event_id < n // 2 THEN 1 ELSE 2 END AS half
+  FROM flat, total),
+lieux_vus AS (
+  SELECT half, nom, region, pays, max(file) AS last FROM landed GROUP BY ALL),
+staged_lieux AS (
+  SELECT *, row_number() OVER (PARTITION BY half ORDER BY last, nom, region, pays) AS id_lieu
+  FROM lieux_vus),
+staged AS (
+  SELECT l.*, s.id_lieu FROM landed l JOIN staged_lieux s USING (half, nom, region, pays)
+  QUALIFY row_number() OVER (PARTITION BY half, id_lieu, datetime_observation
+    ORDER BY file, {_MEASURES}, code_condition) = 1),
+last_lieux AS (
+  SELECT * FROM staged_lieux QUALIFY row_number() OVER (PARTITION BY half, nom ORDER BY id_lieu DESC) = 1),
+dl AS (
+  SELECT *, row_number() OVER (ORDER BY first_half, nom) AS id_dim_lieu
+  FROM (SELECT nom, min(half) AS first_half FROM last_lieux GROUP BY nom)),
+dl_at AS (
+  SELECT 1 AS half, id_dim_lieu, nom, region, pays FROM dl JOIN last_lieux USING (nom) WHERE half = 1
+  UNION ALL
+  SELECT 2, id_dim_lieu, nom, region, pays FROM dl JOIN last_lieux l USING (nom)
+  QUALIFY row_number() OVER (PARTITION BY nom ORDER BY l.half DESC) = 1),
+dt AS (
+  SELECT *, row_number() OVER (ORDER BY first_half, m) AS id_dim_temps
+  FROM (SELECT datetime_observation AS m, min(half) AS first_half FROM staged GROUP BY m)),
+dc AS (
+  SELECT *, row_number() OVER (ORDER BY first_half, code_condition) AS id_dim_condition
+  FROM (SELECT code_condition, texte_condition, min(half) AS first_half
+        FROM landed GROUP BY code_condition, texte_condition)),
+keyed_run AS (
+  SELECT s.*, d.id_dim_lieu, dt.id_dim_temps, dc.id_dim_condition
+  FROM staged s LEFT JOIN dl_at d USING (half, nom, region, pays)
+  JOIN dt ON dt.m = s.datetime_observation JOIN dc USING (code_condition, texte_condition)),
+facts_run AS (
+  SELECT *, min(half) OVER k AS first_half, max(half) OVER k AS last_half FROM keyed_run
+  WHERE id_dim_lieu IS NOT NULL WINDOW k AS (PARTITION BY id_dim_lieu, id_dim_temps)),
+fact_ids AS (
+  SELECT *, row_number() OVER (ORDER BY first_half, id_dim_lieu, id_dim_temps) AS id_observation_horaire
+  FROM facts_run WHERE half = last_half)"""
+)
+
+_PUBLISHED = f"""WITH {_RUN}
+SELECT f.id_observation_horaire, f.id_dim_lieu, f.id_dim_temps, f.id_dim_condition, d.nom AS nom_ville,
+  d.region, d.pays, CAST(f.datetime_observation AS DATE) AS date,
+  CAST(hour(f.datetime_observation) AS INTEGER) AS heure,
+  CAST(minute(f.datetime_observation) AS INTEGER) AS minute, f.texte_condition, {_MEASURES}
+FROM fact_ids f JOIN dl_at d ON d.half = 2 AND d.id_dim_lieu = f.id_dim_lieu"""
+
+ORACLE |= {
+    "pipeline_facts": _PUBLISHED,
+    "stream_facts": _PUBLISHED,
+    "pipeline_second_run": f"""WITH {_RUN}
+SELECT 'DimLieux' AS dimension, id_dim_lieu AS id, concat_ws('|', nom, region, pays) AS value
+FROM dl_at WHERE half = 2
+UNION ALL
+SELECT 'DimTemps', id_dim_temps, concat_ws('|', CAST(m AS DATE), hour(m), minute(m), dayname(m), monthname(m))
+FROM dt
+UNION ALL
+SELECT 'DimConditionsMeteo', id_dim_condition, concat_ws('|', code_condition, texte_condition) FROM dc""",
+    "pipeline_staging": f"""WITH {_RUN}
+SELECT id_lieu, nom, region, pays, datetime_observation, {_MEASURES}, code_condition
+FROM staged WHERE half = 2""",
+    "pipeline_rejects": f"""WITH {_RUN}
+SELECT 'half-' || half AS batch, CAST(half AS BIGINT) AS commit, id_lieu, datetime_observation, {_MEASURES},
+  code_condition, 'id_dim_lieu_fk' AS failed_keys
+FROM keyed_run WHERE id_dim_lieu IS NULL""",
+    "pipeline_record_rejects": f"""WITH {_RECORDS}, total AS (SELECT max(event_id) + 1 AS n FROM events),
+halves AS (SELECT *, CASE WHEN event_id < n // 2 THEN 1 ELSE 2 END AS half FROM judged, total)
+SELECT 'half-' || half AS batch, CAST(half AS BIGINT) AS commit, field, reason, count(*) AS n,
+  count(*) AS with_text
+FROM halves WHERE field IS NOT NULL GROUP BY ALL""",
+    "pipeline_coverage": f"""WITH {_RUN},
+halves AS (
+  SELECT CASE WHEN event_id < n // 2 THEN 1 ELSE 2 END AS half, count(*) AS records,
+    count(*) FILTER (field IS NULL) AS valid
+  FROM judged, total GROUP BY ALL),
+loads AS (
+  SELECT half, count(*) AS observations, count(*) FILTER (id_dim_lieu IS NULL) AS dropped,
+    count(id_dim_lieu) AS facts
+  FROM keyed_run GROUP BY half),
+seen AS (SELECT half, count(DISTINCT nom) AS cities_seen FROM landed GROUP BY half),
+added AS (SELECT first_half AS half, count(*) AS inserted FROM fact_ids GROUP BY first_half)
+SELECT CAST(half AS BIGINT) AS number, 'half-' || half AS batch, records, valid, observations, dropped, facts,
+  (SELECT count(*) FROM customer) AS cities_expected, cities_seen, inserted
+FROM halves JOIN loads USING (half) JOIN seen USING (half) JOIN added USING (half)""",
+    "pipeline_log": f"""WITH {_RUN},
+loads AS (SELECT half, count(id_dim_lieu) AS facts FROM keyed_run GROUP BY half)
+SELECT CAST(3 * (half - 1) + i AS BIGINT) AS log_id,
+  CASE WHEN i = 2 THEN 'transfer_data_to_warehouse' ELSE 'run_etl' END AS process_name,
+  CASE WHEN i = 1 THEN 'running' ELSE 'success' END AS status,
+  CASE WHEN i > 1 THEN facts END AS rows_processed, CAST(NULL AS VARCHAR) AS error_message
+FROM loads, (SELECT unnest([1, 2, 3]) AS i)""",
+}

@@ -18,6 +18,7 @@ from obstar.schemas import MEASURES
 from obstar.session import materialize
 from obstar.sources import runlog
 from workload import mappings as M
+from workload.runs import RUNS
 from workload.mappings import table
 
 CUT_OVER = datetime(1998, 1, 1)
@@ -43,6 +44,12 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.rejects(_parsed(spark, sf_dir), ["event_id"])
 
 
+def ingest_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with values beyond their columns are kept, the values moved to the ends."""
+    parsed = ingest.parse_records(M.records(spark, sf_dir), "text", on_overflow="clamp")
+    return decimals_as_double(ingest.flatten(ingest.valid(parsed), ["event_id"], on_overflow="clamp"))
+
+
 def flatten_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(_flat(spark, sf_dir))
 
@@ -352,6 +359,11 @@ def observations_by_city_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def observations_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cities: more rows than the list without a filter has."""
+    return serving.latest(M.star(spark, sf_dir), start=date(2024, 1, 5), end=date(2024, 1, 25))
+
+
 def star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = serving.star_join(M.star(spark, sf_dir))
     return joined.select(
@@ -372,6 +384,6 @@ QUERIES = {
         upsert_dim_location, upsert_actions, upsert_fact, upsert_all_key, surrogate_keys,
         fk_orphans, fk_audit, quality_not_null, quality_unique, coverage_report, coverage_missing,
         run_status, locations_list, latest_observations, latest_observations_json,
-        observations_by_city_period, star_view,
+        observations_by_city_period, observations_by_period, ingest_clamped, star_view,
     )
-}
+} | RUNS
