@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from obstar.operators import dims, facts
 from obstar.operators.serving import Star
 from obstar.schemas import MEASURES
+from obstar.session import side_by_side
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +84,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed(spark: SparkSession, sf_dir: str, dim_places=outside_africa) -> tuple[DataFrame, Star]:
     """Observations with their keys, and the dimensions (the fact left out)."""
     source, obs = locations(spark, sf_dir), observations(spark, sf_dir)
-    dim_location = dims.dim_location(dim_places(source))
-    dim_condition = dims.dim_condition(conditions(spark, sf_dir))
-    dim_time = dims.dim_time(obs, "datetime_observation")
+    dim_location, dim_condition, dim_time = side_by_side(
+        lambda: dims.dim_location(dim_places(source)),
+        lambda: dims.dim_condition(conditions(spark, sf_dir)),
+        lambda: dims.dim_time(obs, "datetime_observation"),
+    )
     resolved = facts.resolve(obs, source, dim_location, dim_condition, dim_time)
     return resolved, Star(None, dim_location, dim_time, dim_condition)
 

@@ -79,6 +79,12 @@ def _streamed(spark: SparkSession, application: str, sf_dir: str) -> str:
     return f"{folder}/warehouse"
 
 
+def forget() -> None:
+    """Load anew at the next call."""
+    _loaded.cache_clear()
+    _streamed.cache_clear()
+
+
 def loaded(spark: SparkSession, sf_dir: str) -> str:
     return _loaded(spark, spark.sparkContext.applicationId, sf_dir)
 
