@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.llm.common import SPACES, ascii_lower, prepare, scratch
+from obstar.session import materialize
 
 HASH = ["h1", "h2"]
 _NO_ID = -(1 << 63)
@@ -169,7 +170,8 @@ def dedup_lines(
     store = LineRuns(spark, min_docs, fan_in)
     for i in range(batches):
         store.add(lines.where(F.col("batch") == i).select(*HASH, "doc"))
-    repeated = store.repeated()
+    # read back without its bucketing: a join that shuffles both sides can split a hot line
+    repeated = materialize(store.repeated(), "repeated", spark)
     store.forget()
     dropped = (
         lines.join(repeated, HASH)
