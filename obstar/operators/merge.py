@@ -22,16 +22,22 @@ INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
 
 def fresh_rows(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], nullable: Collection[str] = ()
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    nullable: Collection[str] = (),
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Rows of the batch whose key the target does not have.
 
     The target's keys are cut down to those in the batch before they are
     compared: that join can broadcast the batch, where a plain anti-join of the
     batch with the target could only broadcast the target. A key the batch has many
-    times stands once on the right side, which Spark does not split.
+    times stands once on the right side, which Spark does not split; `one_per_key`
+    says that it has none.
     """
-    offered = batch.select(*keys).distinct()
+    offered = batch.select(*keys)
+    offered = offered if one_per_key else offered.distinct()
     known = present_in(target.select(*keys), offered, keys, nullable)
     return absent_from(batch, known, keys, nullable)
 
@@ -65,7 +71,8 @@ def insert_ignore(
 ) -> DataFrame:
     """Add rows with new keys; the first row of a key wins, existing rows stay."""
     batch = first_per_key(source, keys, order_by)
-    fresh = _with_ids(target, fresh_rows(target, batch, keys, nullable), keys, id_column)
+    fresh = fresh_rows(target, batch, keys, nullable, one_per_key=True)
+    fresh = _with_ids(target, fresh, keys, id_column)
     return target.unionByName(_like(target, fresh))
 
 
@@ -92,15 +99,19 @@ def upsert(
         return insert_ignore(target, source, keys, order_by, id_column, nullable)
 
     batch = source if one_per_key else last_per_key(source, keys, order_by)
-    if id_column is not None and not one_per_key:
+    if not one_per_key:
         batch = materialize(batch, "batch")
-    fresh = fresh_rows(target, batch, keys, nullable)
+    start = id_start
+    if id_column is not None and start is None:
+        start = highest_id(target, id_column)
+    if _is_broadcast(batch):
+        merged = target.join(_changes(batch, keys, values), matches(keys, nullable), "left")
+        fresh = fresh_rows(target, batch, keys, nullable, one_per_key=True)
+    else:
+        merged, fresh = _merged_once(target, batch, keys, values, nullable)
     if id_column is not None:
-        start = highest_id(target, id_column) if id_start is None else id_start
         fresh = dense_ids(fresh, keys, id_column, start=start)
 
-    changes = prefixed(batch, keys, [F.struct(*values).alias("_new")])
-    merged = target.join(changes, matches(keys, nullable), "left")
     kept = drop_prefixed(merged, keys).select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new")[f.name])
@@ -115,6 +126,37 @@ def upsert(
     return kept.unionByName(_like(target, fresh))
 
 
+def _is_broadcast(stored: DataFrame) -> bool:
+    """Whether a stored table is small enough for the planner to broadcast it."""
+    plan = stored._jdf.queryExecution()
+    limit = plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
+def _changes(batch: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    return prefixed(batch, keys, [F.struct(*values).alias("_new")])
+
+
+def _merged_once(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    nullable: Collection[str],
+) -> tuple[DataFrame, DataFrame]:
+    """The target with its changes, and the new rows, from one join that shuffles both
+    sides once; its result is written, so that both can be read from it."""
+    known = target.withColumn("_known", F.lit(True))
+    both = known.join(_changes(batch, keys, values), matches(keys, nullable), "full")
+    both = materialize(both, "merged")
+    taken = [F.col(c.name) for c in prefixed(batch, keys).schema.fields]
+    fresh = both.where(F.col("_known").isNull()).select(
+        *[c.alias(k) for c, k in zip(taken, keys)], "_new.*"
+    )
+    return both.where(F.col("_known").isNotNull()).drop("_known"), fresh
+
+
 def upsert_actions(
     target: DataFrame,
     source: DataFrame,

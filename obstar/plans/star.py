@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -17,7 +17,7 @@ from obstar.plans.staging import Staging
 from obstar.schemas import CONDITION_KEY, FACT_KEY, LOCATION_KEY, MEASURES, TIME_KEY
 from obstar.session import materialize, side_by_side
 from obstar.sources import warehouse
-from obstar.sources.warehouse import FACT, MONTH, Snapshot
+from obstar.sources.warehouse import DAY, FACT, DayKey, Snapshot
 
 _ARRIVAL = "id_observation_horaire"
 _TIME = "datetime_observation"
@@ -45,10 +45,10 @@ class Merged:
     did: dict[str, int]
 
 
-def star_of(snapshot: Snapshot, months=None) -> Star:
+def star_of(snapshot: Snapshot, days: Collection[DayKey] | None = None) -> Star:
     """The tables of a snapshot, the fact without its storage columns."""
     return Star(
-        snapshot.fact(months).drop(*MONTH),
+        snapshot.fact(days).drop(*DAY),
         snapshot.dim("DimLieux"),
         snapshot.dim("DimTemps"),
         snapshot.dim("DimConditionsMeteo"),
@@ -56,7 +56,7 @@ def star_of(snapshot: Snapshot, months=None) -> Star:
 
 
 def load(staging: Staging, base: Snapshot) -> Loaded:
-    """Write the dimensions and touched months of the next snapshot.
+    """Write the dimensions and touched days of the next snapshot.
 
     Dimensions take every staged row, also of observations that will be dropped.
     Keys are looked up in the merged dimensions, so rows of earlier runs count. A
@@ -82,7 +82,7 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
     def merge_times() -> tuple[DataFrame, Merged]:
         minutes = materialize(dims.time_rows(observations, _TIME), "minutes")
         target = base.dim("DimTemps")
-        fresh = materialize(merge.fresh_rows(target, minutes, TIME_KEY), "fresh-minutes")
+        fresh = materialize(merge.fresh_rows(target, minutes, TIME_KEY, one_per_key=True), "fresh-minutes")
         new = fresh.count()
         did = {merge.INSERTED: new, merge.UPDATED: 0, merge.UNCHANGED: minutes.count() - new}
         did["affected"] = new
@@ -107,15 +107,15 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
         facts.resolve(observations, staging.locations, locations.rows, conditions.rows, batch_times),
         "keyed",
     )
-    stored_by = keyed.withColumns({"annee": F.year(_TIME), "mois": F.month(_TIME)})
+    stored_by = keyed.withColumns({"annee": F.year(_TIME), "mois": F.month(_TIME), "jour": F.dayofmonth(_TIME)})
     rows = materialize(
         # staging has one row per location and minute
-        facts.fact_rows(stored_by, MEASURES, [], extra=MONTH, one_per_key=True),
+        facts.fact_rows(stored_by, MEASURES, [], extra=DAY, one_per_key=True),
         "facts",
     )
     rejects = facts.unresolved(keyed, observations.columns)
 
-    touched = {(r["annee"], r["mois"]) for r in rows.select(*MONTH).distinct().collect()}
+    touched = {tuple(r) for r in rows.select(*DAY).distinct().collect()}
     merged = merge.upsert(
         base.fact(touched),
         rows,
@@ -128,13 +128,13 @@ def load(staging: Staging, base: Snapshot) -> Loaded:
     actions = merge.upsert_actions(base.fact(touched), rows, FACT_KEY, [], one_per_key=True)
     did, written = side_by_side(
         lambda: merge.count_actions(actions).first().asDict(),
-        lambda: warehouse.write_months(base, merged, version, touched),
+        lambda: warehouse.write_days(base, merged, version, touched),
     )
-    untouched = [m for m in base.months if m.key not in touched]
+    untouched = [d for d in base.days if d.key not in touched]
     after = replace(
         base,
         dims={m.name: m.version for m in (times, locations, conditions)},
-        months=(*untouched, *written),
+        days=(*untouched, *written),
     )
     top = max(base.top_fact_id, highest_id(after.fact(touched), _ARRIVAL))
     return Loaded(

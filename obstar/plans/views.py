@@ -9,28 +9,28 @@ from pyspark.sql import functions as F
 
 from obstar.operators import serving
 from obstar.plans.star import star_of
-from obstar.sources.warehouse import Snapshot
+from obstar.sources.warehouse import DayKey, Snapshot
 
 
-def _in_period(snapshot: Snapshot, start: date | None, end: date | None) -> set[tuple[int, int]]:
+def _in_period(snapshot: Snapshot, start: date | None, end: date | None) -> set[DayKey]:
     return {
-        m.key
-        for m in snapshot.months
-        if (start is None or m.key >= (start.year, start.month))
-        and (end is None or m.key <= (end.year, end.month))
+        d.key
+        for d in snapshot.days
+        if (start is None or d.key >= (start.year, start.month, start.day))
+        and (end is None or d.key <= (end.year, end.month, end.day))
     }
 
 
-def _newest_with(snapshot: Snapshot, months: set, n: int, city: str | None) -> set[tuple[int, int]]:
-    """The latest of the months that together have n facts, of the city if one is given."""
+def _newest_with(snapshot: Snapshot, days: set, n: int, city: str | None) -> set[DayKey]:
+    """The latest of the days that together have n facts, of the city if one is given."""
     if city is None:
-        return months & snapshot.newest_months(n) if len(months) == len(snapshot.months) else months
-    wanted: set[tuple[int, int]] = set()
+        return days & snapshot.newest_days(n) if len(days) == len(snapshot.days) else days
+    wanted: set[DayKey] = set()
     found, step = 0, 1
-    left = sorted(months, reverse=True)
+    left = sorted(days, reverse=True)
     ids = [r["id_dim_lieu"] for r in snapshot.dim("DimLieux").where(F.col("nom_ville") == city).collect()]
     while left and found < n:
-        # twice as many months each time: few passes, and at most twice the months needed
+        # twice as many days each time: few passes, and at most twice the days needed
         some, left = set(left[:step]), left[step:]
         found += snapshot.fact(some).where(F.col("id_dim_lieu_fk").isin(ids)).count()
         wanted |= some
@@ -45,19 +45,19 @@ def latest(
     start: date | None = None,
     end: date | None = None,
 ) -> DataFrame:
-    """The newest n facts, reading only the months that can hold them.
+    """The newest n facts, reading only the days that can hold them.
 
     Without n, a city or period has all its facts, and the list without a filter 1000.
-    Without a filter the last months that have n facts between them are read; with
-    a period, the months of the period; with a city and n, months from the newest
+    Without a filter the last days that have n facts between them are read; with
+    a period, the days of the period; with a city and n, days from the newest
     on until the city has n facts. Published facts have all their parents, so the
     dimensions need not be asked before the cut.
     """
     n = serving.newest_of(n, city, start, end)
-    months = _in_period(snapshot, start, end)
+    days = _in_period(snapshot, start, end)
     if n is not None:
-        months = _newest_with(snapshot, months, n, city)
-    return serving.latest(star_of(snapshot, months), n, city, start, end, checked_keys=True)
+        days = _newest_with(snapshot, days, n, city)
+    return serving.latest(star_of(snapshot, days), n, city, start, end, checked_keys=True)
 
 
 def latest_records(snapshot: Snapshot, n: int | None = serving.DEFAULT, **filters) -> DataFrame:

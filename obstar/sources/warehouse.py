@@ -7,11 +7,11 @@ its record leaves everything as it was.
 
     <root>/commits/n=<number>/…json              the commit records
     <root>/<dimension>/<version>/…parquet        a dimension, whole
-    <root>/FaitDonneesMeteo/version=<version>/annee=/mois=/…parquet
+    <root>/FaitDonneesMeteo/version=<version>/annee=/mois=/jour=/…parquet
 
 Each load writes to folders of its own name, so two loads never share an output
-folder. The fact is kept by month. A commit record lists the version of each month: a load
-rewrites the months it touches and carries the others over by name.
+folder. The fact is kept by day. A commit record lists the version of each day: a load
+rewrites the days it touches and carries the others over by name.
 """
 
 from __future__ import annotations
@@ -29,30 +29,34 @@ from pyspark.sql import types as T
 from obstar.schemas import FAIT, WAREHOUSE
 
 FACT = "FaitDonneesMeteo"
-MONTH = ["annee", "mois"]
-FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) for c in MONTH]])
+DAY = ["annee", "mois", "jour"]
+FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) for c in DAY]])
 
 _RECORD = (
     "batch STRING, dims MAP<STRING, STRING>, "
-    "months ARRAY<STRUCT<annee: INT, mois: INT, version: STRING, rows: BIGINT>>, "
+    "days ARRAY<STRUCT<annee: INT, mois: INT, jour: INT, version: STRING, rows: BIGINT>>, "
     "top_fact_id BIGINT, streams MAP<STRING, BIGINT>, counts MAP<STRING, BIGINT>, token STRING"
 )
 
 
+DayKey = tuple[int, int, int]
+
+
 class ConcurrentLoad(RuntimeError):
     """Another load published first, or two published at once."""
 
 
 @dataclass(frozen=True)
-class Month:
+class Day:
     annee: int
     mois: int
+    jour: int
     version: str
     rows: int
 
     @property
-    def key(self) -> tuple[int, int]:
-        return self.annee, self.mois
+    def key(self) -> DayKey:
+        return self.annee, self.mois, self.jour
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ class Snapshot:
     number: int = 0
     batch: str | None = None
     dims: dict[str, str] = field(default_factory=dict)
-    months: tuple[Month, ...] = ()
+    days: tuple[Day, ...] = ()
     top_fact_id: int = 0
     streams: dict[str, int] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
@@ -75,25 +79,27 @@ class Snapshot:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{self.dims[name]}")
 
-    def fact(self, months: Collection[tuple[int, int]] | None = None) -> DataFrame:
-        """The fact with its storage columns, of the given months or of all."""
-        kept = [m for m in self.months if months is None or m.key in months]
+    def fact(self, days: Collection[DayKey] | None = None) -> DataFrame:
+        """The fact with its storage columns, of the given days or of all."""
+        kept = [d for d in self.days if days is None or d.key in days]
         if not kept:
             return self.spark.createDataFrame([], FACT_STORED)
         base = f"{self.root}/{FACT}"
-        paths = [f"{base}/version={m.version}/annee={m.annee}/mois={m.mois}" for m in kept]
+        paths = [
+            f"{base}/version={d.version}/annee={d.annee}/mois={d.mois}/jour={d.jour}" for d in kept
+        ]
         stored = self.spark.read.schema(FACT_STORED).option("basePath", base).parquet(*paths)
         return stored.select(*FACT_STORED.names)
 
-    def newest_months(self, n: int) -> set[tuple[int, int]]:
-        """The latest months that together hold at least n facts."""
-        wanted: set[tuple[int, int]] = set()
+    def newest_days(self, n: int) -> set[DayKey]:
+        """The latest days that together hold at least n facts."""
+        wanted: set[DayKey] = set()
         found = 0
-        for month in sorted(self.months, key=lambda m: m.key, reverse=True):
+        for day in sorted(self.days, key=lambda d: d.key, reverse=True):
             if found >= n:
                 break
-            wanted.add(month.key)
-            found += month.rows
+            wanted.add(day.key)
+            found += day.rows
         return wanted
 
 
@@ -135,7 +141,7 @@ def current(spark: SparkSession, root: str) -> Snapshot:
         latest,
         row["batch"],
         dict(row["dims"] or {}),
-        tuple(Month(**m.asDict()) for m in row["months"] or []),
+        tuple(Day(**d.asDict()) for d in row["days"] or []),
         row["top_fact_id"],
         dict(row["streams"] or {}),
         dict(row["counts"] or {}),
@@ -162,18 +168,20 @@ def write_dim(base: Snapshot, name: str, rows: DataFrame, version: str) -> DataF
     return base.spark.read.schema(schema).parquet(path)
 
 
-def write_months(base: Snapshot, rows: DataFrame, version: str, touched: Collection) -> list[Month]:
-    """Store the whole content of the touched months."""
+def write_days(
+    base: Snapshot, rows: DataFrame, version: str, touched: Collection[DayKey]
+) -> list[Day]:
+    """Store the whole content of the touched days."""
     if not touched:
         return []
     stored = rows.select(*FACT_STORED.names)
     if len(touched) > 1:
-        # files of a reasonable size per month; large months are split
-        stored = stored.hint("rebalance", *MONTH)
-    stored.write.partitionBy(*MONTH).parquet(f"{base.root}/{FACT}/version={version}")
-    written = replace(base, months=tuple(Month(a, m, version, 0) for a, m in touched))
-    counted = written.fact().groupBy(*MONTH).agg(F.count("*").alias("rows")).collect()
-    return [Month(r["annee"], r["mois"], version, r["rows"]) for r in counted]
+        # files of a reasonable size per day; large days are split
+        stored = stored.hint("rebalance", *DAY)
+    stored.write.partitionBy(*DAY).parquet(f"{base.root}/{FACT}/version={version}")
+    written = replace(base, days=tuple(Day(*key, version, 0) for key in touched))
+    counted = written.fact().groupBy(*DAY).agg(F.count("*").alias("rows")).collect()
+    return [Day(*(r[c] for c in DAY), version, r["rows"]) for r in counted]
 
 
 def publish(after: Snapshot, batch: str) -> Snapshot:
@@ -183,7 +191,7 @@ def publish(after: Snapshot, batch: str) -> Snapshot:
     record = (
         batch,
         after.dims,
-        [(m.annee, m.mois, m.version, m.rows) for m in after.months],
+        [(*d.key, d.version, d.rows) for d in after.days],
         after.top_fact_id,
         after.streams,
         after.counts,

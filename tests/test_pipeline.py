@@ -56,7 +56,7 @@ def test_first_run(spark, root, land):
     assert rows(result.record_rejects, "field", "reason") == [("$", "malformed"), ("uv", "missing")]
     snapshot = warehouse.current(spark, root)
     assert snapshot.number == 1
-    assert [m.key for m in sorted(snapshot.months, key=lambda m: m.key)] == [(2024, 2), (2024, 3)]
+    assert [d.key for d in sorted(snapshot.days, key=lambda d: d.key)] == [(2024, 2, 28), (2024, 3, 9)]
     assert rows(snapshot.dim("DimLieux"), "id_dim_lieu", "nom_ville") == [(1, "Dakar"), (2, "Lome"), (3, "Thies")]
     assert rows(snapshot.dim("DimTemps"), "id_dim_temps", "mois", "heure", "minute") == [
         (1, 2, 10, 0), (2, 3, 7, 30), (3, 3, 13, 5),
@@ -89,9 +89,9 @@ def test_second_run_updates_and_adds(spark, root, land):
         root,
     )
     second = warehouse.current(spark, root)
-    # February was not touched and is carried over by name
-    untouched = [m for m in second.months if m.key == (2024, 2)]
-    assert untouched == [m for m in first.months if m.key == (2024, 2)]
+    # only the day of the late row and the new day are written; others are carried over by name
+    kept = {d.key for d in second.days if d in first.days}
+    assert kept == {(2024, 2, 28)} and {d.key for d in second.days} - kept == {(2024, 3, 9), (2024, 3, 10)}
     assert rows(second.dim("DimConditionsMeteo")) == [(1, 1000, "Clear"), (2, 1003, "Cloudy"), (3, 1009, "Mist")]
     assert rows(second.dim("DimLieux"), "id_dim_lieu", "nom_ville")[-1] == (4, "Bamako")
     got = {r["id_observation_horaire"]: r["temperature_celsius"] for r in second.fact().collect()}
@@ -140,7 +140,7 @@ def test_failure_between_writes_leaves_the_old_version(spark, root, land, monkey
         raise OSError("disk full")
 
     with monkeypatch.context() as patched:
-        patched.setattr(warehouse, "write_months", fail)
+        patched.setattr(warehouse, "write_days", fail)
         with pytest.raises(OSError, match="disk full"):
             batch.run(spark, land("b", record("Kara", "Kara", "Togo")), root)
     assert warehouse.current(spark, root) == before
@@ -217,6 +217,16 @@ def test_rejects_coverage_and_actions_are_kept(spark, root, land):
     assert warehouse.current(spark, root).counts["FaitDonneesMeteo.updated"] == 1
 
 
+def test_one_late_row_rewrites_one_day(spark, root, land):
+    days = [record(time=f"2024-03-{d:02} 10:00") for d in range(1, 11)]
+    batch.run(spark, land("a", *days), root)
+    before = warehouse.current(spark, root)
+    batch.run(spark, land("b", record(time="2024-03-04 11:00")), root)
+    after = warehouse.current(spark, root)
+    assert [d.key for d in after.days if d not in before.days] == [(2024, 3, 4)]
+    assert after.fact().count() == 11
+
+
 def test_unchanged_dimensions_keep_their_version(spark, root, land):
     batch.run(spark, land("a", *FIRST), root)
     before = warehouse.current(spark, root).dims
@@ -250,7 +260,7 @@ def test_filtered_view_is_not_cut(spark, root, land):
     assert views.latest(snapshot, city="Dakar", n=7).count() == 7
 
 
-def test_city_view_reads_the_newest_months_first(spark, root, land):
+def test_city_view_reads_the_newest_days_first(spark, root, land):
     texts = [record(time=f"2024-{m:02}-01 10:00") for m in range(1, 9)]
     batch.run(spark, land("a", *texts), root)
     newest = views.latest(warehouse.current(spark, root), n=2, city="Dakar")
@@ -304,10 +314,10 @@ def test_status_follows_the_latest_row(spark, root):
     assert runlog.current_state(runlog.read(spark, log), "p") == "running"
 
 
-def test_views_read_only_the_months_they_need(spark, root, land, tmp_path):
+def test_views_read_only_the_days_they_need(spark, root, land, tmp_path):
     batch.run(spark, land("a", *FIRST), root)
     snapshot = warehouse.current(spark, root)
-    assert snapshot.newest_months(1) == {(2024, 3)}
+    assert snapshot.newest_days(1) == {(2024, 3, 9)}
     newest = views.latest(snapshot, n=2)
     assert [r["nom_ville"] for r in newest.collect()] == ["Dakar", "Thies"]
     assert [r["nom_ville"] for r in views.latest(snapshot).collect()] == ["Dakar", "Thies", "Lome"]

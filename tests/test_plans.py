@@ -69,6 +69,27 @@ def test_large_batch_is_not_broadcast(spark, capsys, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_large_batch_shuffles_the_target_once(spark, capsys, tmp_path, monkeypatch):
+    target, batch = str(tmp_path / "target"), str(tmp_path / "batch")
+    spark.range(1000).select("id", (F.col("id") * 2).alias("v"), (F.col("id") + 1).alias("n")).write.parquet(target)
+    spark.range(500, 1500).select("id", F.lit(1).cast("bigint").alias("v")).write.parquet(batch)
+    plans, write = [], merge.materialize
+    monkeypatch.setattr(merge, "materialize", lambda df, label: plans.append(physical(df, capsys)) or write(df, label))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        stored = [spark.read.parquet(p) for p in (target, batch)]
+        df = merge.upsert(*stored, ["id"], ["v"], id_column="n", one_per_key=True)
+        tree = plans[0].split("\n\n")[0]
+        assert tree.count("Exchange") == 2 and tree.count("Scan parquet") == 2
+        # what follows reads the stored join
+        assert "target" not in re.sub("Location:.*merged.*", "", physical(df, capsys).split("\n\n", 1)[1])
+        got = {r["id"]: (r["v"], r["n"]) for r in df.collect()}
+        assert len(got) == 1500 and got[0] == (0, 1) and got[500] == (1, 501) and got[1499] == (1, 1500)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_null_safe_lookup_is_an_equi_join(spark, capsys):
     places = M.asia_unnamed(M.locations(spark, SF))
     dim = places.select(F.col("nom").alias("nom_ville"), "region", "pays", F.lit(1).alias("id_dim_lieu"))
