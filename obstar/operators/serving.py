@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from obstar.functions.measures import decimals_as_double
 
 NEWEST = ["date", "heure", "minute", "id_observation_horaire"]
+# fixed values: the names of the served record
 GROUPS = {
     "lieu": ["id_dim_lieu", "nom_ville", "region", "pays"],
     "temps": [
