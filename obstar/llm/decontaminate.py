@@ -307,6 +307,11 @@ def contaminated(
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item of the benchmark, all columns as they are."""
+    """The documents that hold no item of the benchmark, all columns as they are.
+
+    Their ids are written first: the planner then knows how many they are, and shuffles
+    the documents only if they are too many to broadcast.
+    """
     found = contaminated(documents, benchmark).select(F.col("doc_id").alias("_found")).distinct()
+    found = materialize(found, "contaminated", documents.sparkSession)
     return documents.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
