@@ -7,10 +7,10 @@ pair) is merged first, and queue entries whose pair has changed meanwhile are sk
 when they surface. Decoding joins the vocabulary strings of the ids with one space,
 as the file names no decoder.
 
-White space never belongs to a piece, so a text is cut at white space first and the ids
-of each such chunk are kept in a dictionary of bounded size in the worker; only chunks
-not seen lately go through the queue. No shuffle, one pass; memory is that of one batch
-of texts and the dictionary.
+White space never belongs to a piece, so a text is cut at white space first. Workers keep
+the ids of such chunks, and of the pieces they are made of, in dictionaries of bounded
+size; only pieces not seen lately go through the queue. No shuffle, one pass; memory is
+that of one batch of texts and the dictionaries.
 
 Null or empty texts have no ids and decode to the empty text; texts of any length are
 encoded whole; repeated rows give repeated results; other columns are not touched.
@@ -25,6 +25,7 @@ import json
 import re
 import struct
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -33,10 +34,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import prepare
+from obstar.llm.common import Remembered, only, prepare
 
-#: Chunks whose ids a worker remembers; at the limit it starts afresh.
-REMEMBERED = 800_000
+#: Half the number of chunks, and half that of pieces, whose ids a worker remembers.
+CHUNKS, PIECES_KEPT = 150_000, 350_000
 
 # Pieces of a text, as the vocabulary file states them.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -67,9 +68,10 @@ class Vocabulary:
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
-        self.strings = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
-        longest_first = sorted(self.special, key=len, reverse=True)
-        self.split_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+        strings = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
+        self.strings = np.full(max(strings) + 1, None, dtype=object)
+        for i, s in strings.items():
+            self.strings[i] = s
 
     def piece(self, text: str) -> list[int]:
         """Ids of one piece: merges in the order of their ranks."""
@@ -105,23 +107,15 @@ class Vocabulary:
                     heapq.heappush(queue, (found[0], left, found[1]))
         return [i for i in ids if i >= 0]
 
-    def plain(self, text: str) -> list[int]:
-        """Ids of a text without special tokens."""
-        if not text.isascii():
-            # letter by letter: no rule for the last letter of a word
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return [i for piece in PIECES.findall(text.lower()) for i in self.piece(piece)]
-
-    def encode(self, text: str) -> list[int]:
-        if "<|" not in text:
-            return self.plain(text)
-        out: list[int] = []
-        for part in self.split_special.split(text):
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                out.extend(self.plain(part))
-        return out
+    def decode(self, packed: bytes | None) -> str:
+        """The strings of packed ids, joined; ids beyond the vocabulary add nothing."""
+        ids = np.frombuffer(packed or b"", "<u4")
+        found = self.strings[ids[ids < len(self.strings)]].tolist()
+        return " ".join([s for s in found if s is not None])
+
+    def packed(self, piece: str) -> bytes:
+        ids = self.piece(piece)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def chunks(text: str) -> list[str]:
@@ -131,29 +125,50 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
-class Encoder(dict):
-    """Chunk of text -> its ids, packed."""
+def normal(text: str) -> str:
+    if not text.isascii():
+        # letter by letter: no rule for the last letter of a word
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
 
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
+class Encoder:
+    """Texts to packed ids, by chunks between white space and by pieces of these.
+
+    `piece` gives the packed ids of a piece, `special` the packed id of each special token.
+    """
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.vocabulary.encode(chunk)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(chunk) <= 100:
-            self[chunk] = packed
-        return packed
+    def __init__(self, piece: Callable[[str], bytes], special: dict[str, bytes]):
+        self.special = special
+        self.pieces = Remembered(piece, PIECES_KEPT)
+        self.chunks = Remembered(self.chunk, CHUNKS)
+        longest_first = sorted(special, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
+
+    def chunk(self, text: str) -> bytes:
+        if self.parts is not None and self.parts.search(text):
+            parts = [p for p in self.parts.split(text) if p]
+            return b"".join(self.special.get(p) or self.plain(p) for p in parts)
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(normal(text))))
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, chunks(text))) if text else b""
+        return b"".join(map(self.chunks.__getitem__, chunks(text))) if text else b""
+
+
+@lru_cache(maxsize=1)
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    return Encoder(Vocabulary(path))
+    def made() -> Encoder:
+        known = vocabulary_of(path)
+        return Encoder(known.packed, {s: struct.pack("<I", i) for s, i in known.special.items()})
+
+    return only(("bpe", path), made)
 
 
 def encode(text: Column, vocabulary: str) -> Column:
@@ -175,26 +190,32 @@ def decode(ids: Column, vocabulary: str) -> Column:
 
     @F.arrow_udf("string")
     def bpe_text(packed: pa.Array) -> pa.Array:
-        strings = encoder(vocabulary).vocabulary.strings
-        known = np.empty(max(strings) + 1, dtype=object)
-        for i, s in strings.items():
-            known[i] = s
-
-        def one(data: bytes | None) -> str:
-            found = np.frombuffer(data or b"", "<u4")
-            found = known[found[found < len(known)]]
-            return " ".join([s for s in found.tolist() if s is not None])
-
+        one = vocabulary_of(vocabulary).decode
         return pa.array([one(p.as_py()) for p in packed], pa.string())
 
     return bpe_text(ids)
 
 
+def round_trip(text: Column, vocabulary: str) -> Column:
+    """A struct of the packed ids and the text they decode to, in one pass of a worker."""
+
+    @F.arrow_udf("ids binary, decoded string")
+    def bpe_round_trip(texts: pa.Array) -> pa.Array:
+        one, back = encoder(vocabulary).encode, vocabulary_of(vocabulary).decode
+        ids = [one(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array([back(i) for i in ids], pa.string())],
+            names=["ids", "decoded"],
+        )
+
+    return bpe_round_trip(text)
+
+
 def encoded_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids and decoded text of each document."""
     prepare(documents.sparkSession)
-    ids = documents.select("doc_id", encode(F.col("text"), vocabulary).alias("ids"))
-    return ids.select("doc_id", "ids", decode(F.col("ids"), vocabulary).alias("decoded"))
+    found = documents.select("doc_id", round_trip(F.col("text"), vocabulary).alias("found"))
+    return found.select("doc_id", "found.ids", "found.decoded")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

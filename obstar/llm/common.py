@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,43 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+class Remembered(dict):
+    """key -> make(key), for the keys used of late: at most twice `limit` of them.
+
+    Keys move from the older half to the newer when they are used; when the newer half is
+    full it becomes the older one, and what was there is forgotten.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= 100:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+_HELD: dict = {}
+
+
+def only(key: tuple, make: Callable[[], Any]) -> Any:
+    """What `make` gives, kept in the worker until another operator keeps something.
+
+    Workers serve one stage after the other; a stage needs no dictionaries but its own.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def let(value: Column, use) -> Column:
     """`use(value)` with the value worked out once per row."""
     return F.transform(F.array(value), use)[0]

@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import prepare
+from obstar.llm.common import Remembered, only, prepare
 from obstar.session import materialize
 
 WINDOW, LEAST, SHORTEST = 8, 13, 5
 FILTER_BITS = 1 << 23
-REMEMBERED = 800_000
+REMEMBERED = 350_000
 
 # Units of measure.
 UNITS = frozenset(
@@ -58,6 +57,7 @@ UNITS = frozenset(
 
 EMPTY, NUMBER, CAPITAL, UNIT, STOP, GLUED = 1, 2, 4, 8, 16, 32
 _FLAGS = np.uint64(0xFF)
+STOPS = frozenset(".!?:…")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _GLUED = re.compile(r"(?<=\d)(?=[^\W\d_]|%)|(?<=[$€£])(?=\d)")
 _SLOTS = {1: "<num>", 2: "<name>", 3: "<unit>"}
@@ -69,34 +69,26 @@ def normal(word: str) -> str:
     return low if low == "%" else _EDGES.sub("", low)
 
 
-class Codes(dict):
-    """Word -> 8 bytes: what it may be in the lowest, a hash of its normal form in the others."""
-
-    def __missing__(self, word: str) -> bytes:
-        low = normal(word)
-        bare = _EDGES.sub("", word)
-        flags = 0 if low else EMPTY
-        if low[:1].isdigit():
-            flags |= NUMBER
-        elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
-            flags |= CAPITAL
-        if low in UNITS:
-            flags |= UNIT
-        if word.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":", "…"):
-            flags |= STOP
-        if _GLUED.search(word):
-            flags |= GLUED
-        code = bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 100:
-            self[word] = code
-        return code
-
-
-@lru_cache(maxsize=1)
-def codes() -> Codes:
-    return Codes()
+def code(word: str) -> bytes:
+    """8 bytes: what the word may be in the lowest, a hash of its normal form in the others."""
+    low = normal(word)
+    bare = _EDGES.sub("", word)
+    flags = 0 if low else EMPTY
+    if low[:1].isdigit():
+        flags |= NUMBER
+    elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+        flags |= CAPITAL
+    if low in UNITS:
+        flags |= UNIT
+    if word.rstrip("\"')]»”’")[-1:] in STOPS:
+        flags |= STOP
+    if _GLUED.search(word):
+        flags |= GLUED
+    return bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
+
+
+def codes() -> Remembered:
+    return only(("codes",), lambda: Remembered(code, REMEMBERED))
 
 
 class Tokens:

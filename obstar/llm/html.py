@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import prepare
+from obstar.llm.common import Remembered, only, prepare
 
 PATH, WORDS, SIZES = 256, 64, 7
 INPUT = PATH + WORDS + SIZES
 HIDDEN = 12
 SAMPLE_PAGES, SAMPLE_CHARS, EPOCHS = 240, 200_000, 7
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 # What HTML says of its tags.
 BLOCK = frozenset(
@@ -172,21 +172,13 @@ def page_blocks(html: str | None) -> list[Block]:
 # --- vectors -------------------------------------------------------------------------
 
 
-class WordPlaces(dict):
-    """Word -> the place of its hash, as a byte."""
+def word_place(word: str) -> bytes:
+    """The place of a word's hash, as a byte."""
+    return bytes([zlib.crc32(word.lower().encode("utf-8", "replace")) % WORDS])
 
-    def __missing__(self, word: str) -> bytes:
-        place = bytes([zlib.crc32(word.lower().encode("utf-8", "replace")) % WORDS])
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 100:
-            self[word] = place
-        return place
 
-
-@lru_cache(maxsize=1)
-def word_places() -> WordPlaces:
-    return WordPlaces()
+def word_places() -> Remembered:
+    return only(("places",), lambda: Remembered(word_place, REMEMBERED))
 
 
 @lru_cache(maxsize=20_000)

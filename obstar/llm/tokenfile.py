@@ -15,8 +15,9 @@ and streams its rows into blocks of about `BLOCK_IDS` ids: a task holds one bloc
 batch. Where a block starts in the whole array is known from the ranges' totals, one
 number per range.
 
-Texts are encoded by the tokenizers library; white space never belongs to a token, so each
-worker keeps the ids of chunks between white space in a dictionary of bounded size.
+Pieces of text are encoded by the tokenizers library; as white space never belongs to a
+piece, each worker keeps the ids of pieces, and of the chunks between white space, in
+dictionaries of bounded size.
 
 Defined results: a null or empty text has just the end id; null doc_ids come first;
 repeated doc_ids follow each other, ordered by their ids; a document longer than a block
@@ -37,11 +38,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from obstar.llm.bpe import chunks
-from obstar.llm.common import prepare, scratch
+from obstar.llm.bpe import Encoder
+from obstar.llm.common import only, prepare, scratch
 
 BLOCK_IDS = 1 << 18
-REMEMBERED = 800_000
 _CHUNK = 64  # bytes of the unary part to a directory entry
 
 
@@ -104,35 +104,34 @@ class EliasFano:
 # --- encoding ------------------------------------------------------------------------
 
 
-class LibraryEncoder(dict):
-    """Chunk of text -> its ids, packed; encoded by the tokenizers library."""
+@lru_cache(maxsize=1)
+def library(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
 
-    def __init__(self, path: str):
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        most = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
-        self.width = 2 if most < 1 << 16 else 4
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        packed = np.array(ids, f"<u{self.width}").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(chunk) <= 100:
-            self[chunk] = packed
-        return packed
+def id_width(path: str) -> int:
+    """Bytes that hold every id of the vocabulary."""
+    most = max(library(path).get_vocab(with_added_tokens=True).values(), default=0)
+    return 2 if most < 1 << 16 else 4
 
-    def encode(self, text: str | None, end: bytes) -> bytes:
-        found = b"".join(map(self.__getitem__, chunks(text))) if text else b""
-        return found + end
 
+def library_encoder(path: str) -> Encoder:
+    """Encodes pieces with the tokenizers library."""
+    return only(("library", path), lambda: _library_encoder(path))
 
-@lru_cache(maxsize=4)
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+
+def _library_encoder(path: str) -> Encoder:
+    tokenizer, kind = library(path), f"<u{id_width(path)}"
+
+    def packed(ids: list[int]) -> bytes:
+        return np.array(ids, kind).tobytes()
+
+    special = {t.content: packed([i]) for i, t in tokenizer.get_added_tokens_decoder().items()}
+    return Encoder(lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids), special)
 
 
 def packed_ids(text: Column, vocabulary: str, end_id: int) -> Column:
@@ -140,9 +139,9 @@ def packed_ids(text: Column, vocabulary: str, end_id: int) -> Column:
 
     @F.arrow_udf("binary")
     def token_ids(texts: pa.Array) -> pa.Array:
-        encoder = library_encoder(vocabulary)
-        end = np.array([end_id], f"<u{encoder.width}").tobytes()
-        return pa.array([encoder.encode(t.as_py(), end) for t in texts], pa.binary())
+        encode = library_encoder(vocabulary).encode
+        end = np.array([end_id], f"<u{id_width(vocabulary)}").tobytes()
+        return pa.array([encode(t.as_py()) + end for t in texts], pa.binary())
 
     return token_ids(text)
 
@@ -234,7 +233,7 @@ def write(
         found = np.searchsorted(cuts, ids.fill_null(least).to_numpy(zero_copy_only=False))
         return pa.array(found.astype(np.int32))
 
-    width = library_encoder(vocabulary).width
+    width = id_width(vocabulary)
     encoded = documents.select(
         range_of(doc).alias("part"),
         doc.alias("doc_id"),

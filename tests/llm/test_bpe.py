@@ -3,6 +3,7 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from obstar.llm import bpe
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -37,13 +38,25 @@ def test_column(docs):
         want = LIBRARY.encode(text or "", add_special_tokens=False).ids
         assert row["doc_id"] == doc
         assert np.frombuffer(row["ids"], "<u4").tolist() == want
+        assert bpe.vocabulary_of(PATH).decode(bytes(row["ids"])) == row["decoded"]
         assert row["decoded"] == LIBRARY.decode(want, skip_special_tokens=False)
     assert bpe.digests(bpe.encoded_documents(docs(), PATH)).count() == 0
 
 
-def test_dictionary_stays_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
-    one = bpe.Encoder(bpe.encoder(PATH).vocabulary)
-    text = " ".join(f"w{i}" for i in range(100))
+def test_encode_and_decode_one_after_the_other(docs):
+    df = docs(*enumerate(TEXTS))
+    ids = df.select("doc_id", bpe.encode(F.col("text"), PATH).alias("ids"))
+    found = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), PATH).alias("decoded")).collect()
+    assert found == bpe.encoded_documents(df, PATH).collect()
+    strange = df.limit(1).select(F.lit(b"\xff\xff\xff\x7f\x01\0\0\0").alias("ids"))
+    assert strange.select(bpe.decode(F.col("ids"), PATH).alias("t")).first()["t"] == '"'
+
+
+def test_dictionaries_stay_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNKS", 10)
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 10)
+    one = bpe.Encoder(bpe.vocabulary_of(PATH).packed, {})
+    text = " ".join(f"w{i % 37},v{i % 3}" for i in range(200))
     assert one.encode(text) == bpe.encoder(PATH).encode(text)
-    assert len(one) <= 10
+    for held in (one.chunks, one.pieces):
+        assert len(held) <= 10 and len(held.older) <= 10
