@@ -71,19 +71,24 @@ def normal(word: str) -> str:
 
 def code(word: str) -> bytes:
     """8 bytes: what the word may be in the lowest, a hash of its normal form in the others."""
-    low = normal(word)
-    bare = _EDGES.sub("", word)
-    flags = 0 if low else EMPTY
-    if low[:1].isdigit():
-        flags |= NUMBER
-    elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+    # most words are letters, with one mark after them at most
+    bare, mark = (word, "") if word.isalpha() else (word[:-1], word[-1:])
+    low = bare.lower()
+    if bare.isalpha() and low.isalpha() and not mark.isalnum():
+        flags = STOP if mark in STOPS else 0
+    else:
+        low, bare = normal(word), _EDGES.sub("", word)
+        flags = 0 if low else EMPTY
+        if low[:1].isdigit():
+            flags |= NUMBER
+        if word.rstrip("\"')]»”’")[-1:] in STOPS:
+            flags |= STOP
+        if _GLUED.search(word):
+            flags |= GLUED
+    if len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
         flags |= CAPITAL
     if low in UNITS:
         flags |= UNIT
-    if word.rstrip("\"')]»”’")[-1:] in STOPS:
-        flags |= STOP
-    if _GLUED.search(word):
-        flags |= GLUED
     return bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
 
 
