@@ -138,10 +138,16 @@ class Encoder:
     `piece` gives the packed ids of a piece, `special` the packed id of each special token.
     """
 
-    def __init__(self, piece: Callable[[str], bytes], special: dict[str, bytes]):
+    def __init__(
+        self,
+        piece: Callable[[str], bytes],
+        special: dict[str, bytes],
+        chunks: int | None = None,
+        pieces: int | None = None,
+    ):
         self.special = special
-        self.pieces = Remembered(piece, PIECES_KEPT)
-        self.chunks = Remembered(self.chunk, CHUNKS)
+        self.pieces = Remembered(piece, pieces or PIECES_KEPT)
+        self.chunks = Remembered(self.chunk, chunks or CHUNKS)
         longest_first = sorted(special, key=len, reverse=True)
         self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 

@@ -42,6 +42,9 @@ from obstar.llm.bpe import Encoder
 from obstar.llm.common import only, prepare, scratch
 
 BLOCK_IDS = 1 << 18
+#: Half the number of chunks, and half that of pieces, whose ids a worker remembers: more
+#: than for decoding too, as the library takes longer for a piece.
+CHUNKS, PIECES_KEPT = 400_000, 500_000
 _CHUNK = 64  # bytes of the unary part to a directory entry
 
 
@@ -131,7 +134,12 @@ def _library_encoder(path: str) -> Encoder:
         return np.array(ids, kind).tobytes()
 
     special = {t.content: packed([i]) for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return Encoder(lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids), special)
+    return Encoder(
+        lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids),
+        special,
+        CHUNKS,
+        PIECES_KEPT,
+    )
 
 
 def packed_ids(text: Column, vocabulary: str, end_id: int) -> Column:
