@@ -15,8 +15,8 @@ more windows through; the join that follows is an ordinary one.
 
 Slot consistency: windows of a document and an item that have the same offset belong to
 one alignment. In it, each value of an item's slot must stand for one value in the
-document, and the other way round; an alignment where Anna is once Mary and once Tom is
-dropped as coincidence. What is left catches items word for word, and items asked again
+document, and the other way round; the templates of an alignment where Anna is once Mary
+and once Tom are dropped as coincidence, its windows word for word stay. What is left catches items word for word, and items asked again
 with other numbers, names and units. A document is contaminated by an item if consistent
 alignments cover at least `least` of the item's tokens (all, if it has fewer).
 
@@ -277,8 +277,11 @@ def contaminated(
         )
         .where("n_pairs > n_item OR n_pairs > n_doc")
     )
-    clash = [aligned[c].eqNullSafe(unsound[c]) for c in alignment]
-    sound = aligned.join(unsound, clash, "left_anti")
+    # only open windows may be coincidence; what stands there word for word is kept
+    is_open = F.array_size("item_slots") > 0
+    templates = aligned.where(is_open)
+    clash = [templates[c].eqNullSafe(unsound[c]) for c in alignment]
+    sound = templates.join(unsound, clash, "left_anti").unionByName(aligned.where(~is_open))
     covered = sound.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("tokens").alias("item_tokens"),
         F.array_size(

@@ -35,6 +35,17 @@ def test_slots_of_numbers_alone_keep_their_values(spark, docs):
     assert {doc for doc, _ in found(df, items(spark, (1, table)))} == {2}
 
 
+def test_an_altered_repeat_leaves_the_words_around_it(spark, docs):
+    words = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz")
+    item = f"in 2019 the report says {words} and again in 2019 it was 7 to 8 that they agreed on this and on nothing else"
+    changed = item.replace("again in 2019", "again in 2020")
+    merged = item.replace("7 to 8", "2019 to 8")
+    df = docs((1, changed), (2, merged), (3, item))
+    got = found(df, items(spark, (1, item)))
+    assert {doc for doc, _ in got} == {1, 2, 3}
+    assert not got[1, 1][2] and got[3, 1][0] == got[3, 1][1]
+
+
 def test_against_brute_force(spark, docs):
     draw = random.Random(6)
     words = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
