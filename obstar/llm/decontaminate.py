@@ -1,11 +1,17 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text is cut into words; a word loses the punctuation about it and its case. Numbers,
-names and units become typed slots: a number is a word that begins with a digit, a unit is
-a listed word after a number, a name is a capitalised word that does not begin a sentence.
-A window is `window` tokens in a row; it is looked for word for word, and as a template
-with its slots left open. Templates with more slots than words would match too much, and
-are not looked for.
+names and units become typed slots: a number is a word that begins with a digit or is a
+listed number word, a unit is a listed word after a number, a name is a word of two
+letters or more with a capital among them. A capital at the start of a sentence may be a
+name's or not, and case may differ, so there are three templates: with numbers and units
+left open, with names inside sentences too, and with all names.
+
+A window is `window` tokens in a row; it is looked for word for word, and as each template
+that differs. A template with more slots than words would match too much: such a window is
+made longer, to its right and to its left, until it holds half a window of words. Texts
+with fewer words than that, and items shorter than a window with more slots than words,
+are found word for word only.
 
 The windows of documents are hash-joined with those of the benchmark and compared as
 text. All documents' windows need not be shuffled for that: a bitmap of the benchmark's
@@ -14,7 +20,7 @@ tasks, and windows that it rules out are not sent. A larger benchmark only makes
 more windows through; the join that follows is an ordinary one.
 
 Slot consistency: windows of a document and an item that have the same offset belong to
-one alignment. In it, each value of an item's slot must stand for one value in the
+one alignment. In it, and for each kind of template with the kinds before it, each value of an item's slot must stand for one value in the
 document, and the other way round; the templates of an alignment where Anna is once Mary
 and once Tom are dropped as coincidence, its windows word for word stay. What is left catches items word for word, and items asked again
 with other numbers, names and units. A document is contaminated by an item if consistent
@@ -43,6 +49,7 @@ from obstar.llm.common import Remembered, only, prepare
 from obstar.session import materialize
 
 WINDOW, LEAST, SHORTEST = 8, 13, 5
+TEMPLATES = 3
 FILTER_BITS = 1 << 23
 REMEMBERED = 350_000
 
@@ -55,6 +62,14 @@ UNITS = frozenset(
     kcal pa kpa bar k c f degree degrees byte bytes kb mb gb tb bit bits kmh mph""".split()
 )
 
+# Words for numbers.
+NUMBER_WORDS = frozenset(
+    """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
+    sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
+    thousand million billion trillion dozen half""".split()
+)
+_TENS = frozenset("twenty thirty forty fifty sixty seventy eighty ninety".split())
+
 EMPTY, NUMBER, CAPITAL, UNIT, STOP, GLUED = 1, 2, 4, 8, 16, 32
 _FLAGS = np.uint64(0xFF)
 STOPS = frozenset(".!?:…")
@@ -85,8 +100,10 @@ def code(word: str) -> bytes:
             flags |= STOP
         if _GLUED.search(word):
             flags |= GLUED
-    if len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+    if len(bare) > 1 and bare != bare.lower():
         flags |= CAPITAL
+    if low in NUMBER_WORDS or ("-" in low and low.partition("-")[0] in _TENS):
+        flags |= NUMBER
     if low in UNITS:
         flags |= UNIT
     return bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
@@ -97,7 +114,7 @@ def codes() -> Remembered:
 
 
 class Tokens:
-    """The tokens of a text: words, literal hashes, template hashes, slot types (0: none)."""
+    """The tokens of a text: words, literal hashes, slot types (0: none) of each template."""
 
     def __init__(self, text: str | None):
         self.words = (text or "").split()
@@ -113,10 +130,12 @@ class Tokens:
         after = np.zeros(len(found), bool)
         after[1:] = number[:-1]
         unit = ((found & np.uint64(UNIT)) > 0) & after & ~number
-        name = ((found & np.uint64(CAPITAL)) > 0) & ~starts & ~unit
-        self.kind = np.where(number, 1, np.where(unit, 3, np.where(name, 2, 0))).astype(np.int8)
+        name = ((found & np.uint64(CAPITAL)) > 0) & ~number & ~unit
+        numbers = np.where(number, 1, np.where(unit, 3, 0)).astype(np.int8)
+        inside = np.where(name & ~starts, np.int8(2), numbers)
+        self.kinds = [np.zeros(len(found), np.int8), numbers, inside, np.where(name, np.int8(2), numbers)]
         self.literal = found & ~_FLAGS
-        self.template = np.where(self.kind > 0, self.kind.astype(np.uint64), self.literal)
+        self.sums: dict[int, np.ndarray] = {}
 
     def coded(self) -> np.ndarray:
         return np.frombuffer(b"".join(map(codes().__getitem__, self.words)), "<u8")
@@ -124,43 +143,98 @@ class Tokens:
     def __len__(self) -> int:
         return len(self.used)
 
-    def windows(self, size: int) -> list[tuple[bool, np.ndarray, np.ndarray]]:
-        """Where windows of `size` tokens are, with their hashes: as they are, and as templates.
+    def windows(self, size: int, longer: bool) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Where windows begin and end, with their hashes: as they are (0), and by template.
 
-        A window without slots has no template of its own.
+        They are of `size` tokens; with `longer`, those of too few words are longer. A
+        window is there for a template only if it differs from that of the one before.
         """
         n = len(self) - size + 1
         if n < 1:
             return []
-        found = [(False, np.arange(n), self.rolled(self.literal, size))]
-        if self.kind.any():
-            before = np.concatenate(([0], np.cumsum(self.kind > 0)))
-            slots = before[size:] - before[:-size]
-            places = np.flatnonzero((slots > 0) & (2 * slots <= size))
-            found.append((True, places, self.rolled(self.template, size)[places]))
+        begin = np.arange(n)
+        end = begin + size
+        found = [(0, begin, end, self.hashed(0, begin, end))]
+        for level in range(1, len(self.kinds)):
+            is_open = self.kinds[level] > 0
+            new = self.kinds[level] != self.kinds[level - 1]
+            if not new.any():
+                continue
+            before = np.concatenate(([0], np.cumsum(is_open)))
+            added = np.concatenate(([0], np.cumsum(new)))
+            few = 2 * (before[size:] - before[:-size]) > size
+            first, last = begin[~few], end[~few]
+            if longer and few.any():
+                more = self.lengthened(np.flatnonzero(~is_open), begin[few], end[few], size - size // 2)
+                first, last = np.concatenate((first, more[0])), np.concatenate((last, more[1]))
+            kept = added[last] > added[first]
+            first, last = first[kept], last[kept]
+            if len(first):
+                found.append((level, first, last, self.hashed(level, first, last)))
         return found
 
     @staticmethod
-    def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
-        n = len(hashes) - size + 1
-        total = np.full(n, size, np.uint64)
+    def lengthened(
+        plain: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The windows with as many plain words as asked for that begin, or end, where these do."""
+        if len(plain) < least:
+            return begin[:0], end[:0]
+        right = np.searchsorted(plain, begin) + least - 1
+        fits = right < len(plain)
+        left = np.searchsorted(plain, end) - least
+        reaches = left >= 0
+        return (
+            np.concatenate((begin[fits], plain[left[reaches]])),
+            np.concatenate((plain[right[fits]] + 1, end[reaches])),
+        )
+
+    def hashed(self, level: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hashes of windows of any size, from running sums of the tokens' hashes."""
+        powers, inverse = _powers(len(self))
         with np.errstate(over="ignore"):
-            for i in range(size):
-                total = total * _BASE + hashes[i : i + n]
+            if level not in self.sums:
+                kind = self.kinds[level]
+                tokens = np.where(kind > 0, kind.astype(np.uint64), self.literal) if level else self.literal
+                sums = np.zeros(len(tokens) + 1, np.uint64)
+                np.cumsum(tokens * powers[: len(tokens)], out=sums[1:])
+                self.sums[level] = sums
+            sums = self.sums[level]
+            total = (sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64)
             return ((total ^ (total >> np.uint64(31))) * _BASE).view(np.int64)
 
-    def shown(self, at: int, size: int, is_open: bool) -> tuple[str, list[str]]:
+    def shown(self, at: int, end: int, level: int) -> tuple[str, list[str]]:
         """The window as text, and its open slots as type and value."""
-        plain = [normal(self.words[i]) for i in self.used[at : at + size].tolist()]
-        if not is_open:
+        plain = [normal(self.words[i]) for i in self.used[at:end].tolist()]
+        if not level:
             return " ".join(plain), []
-        kinds = self.kind[at : at + size].tolist()
+        kinds = self.kinds[level][at:end].tolist()
         slots = [f"{_SLOTS[k]}{w}" for k, w in zip(kinds, plain) if k]
         return " ".join(_SLOTS[k] if k else w for k, w in zip(kinds, plain)), slots
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """At least n powers of the base, and of its inverse, modulo 2^64."""
+    size = len(_POWERS[0])
+    if size < n:
+        # those of a text of a usual size are kept, of longer ones not
+        grown = []
+        for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+            one = np.full(max(n, 1 << 14), base, np.uint64)
+            one[0] = 1
+            with np.errstate(over="ignore"):
+                grown.append(np.cumprod(one))
+        if n > 1 << 20:
+            return grown
+        _POWERS[:] = grown
+    return _POWERS
+
+
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(h, size, shown, item_id, item_at, item_slots, tokens) of every item's windows."""
+    """(h, size, shown, item_id, item_at, item_level, item_slots, tokens) of every item's windows."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,11 +246,11 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 size = min(window, len(tokens))
                 whole = " ".join(normal(tokens.words[i]) for i in tokens.used.tolist())
                 key = xxhash.xxh64_intdigest(whole.encode(), 1) >> 1
-                for is_open, places, hashes in tokens.windows(size):
-                    for at, h in zip(places.tolist(), hashes.tolist()):
-                        shown, slots = tokens.shown(at, size, is_open)
-                        out.append((h, size, shown, item, key, at, slots, len(tokens)))
-            names = ["h", "size", "shown", "item_id", "same", "item_at", "item_slots", "tokens"]
+                for level, begin, ends, hashes in tokens.windows(size, size == window):
+                    for at, end, h in zip(begin.tolist(), ends.tolist(), hashes.tolist()):
+                        shown, slots = tokens.shown(at, end, level)
+                        out.append((h, end - at, shown, item, key, at, level, slots, len(tokens)))
+            names = ["h", "size", "shown", "item_id", "same", "item_at", "item_level", "item_slots", "tokens"]
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(columns, _ITEM_TYPES)], names=names
@@ -185,18 +259,18 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     found = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(
         rows,
         "h long, size int, shown string, item_id long, same long, item_at int, "
-        "item_slots array<string>, tokens int",
+        "item_level int, item_slots array<string>, tokens int",
     )
     return (
         found.groupBy("h", "size", "shown", "same", "item_at", "item_slots", "tokens")
-        .agg(F.min("item_id").alias("item_id"))
+        .agg(F.min("item_id").alias("item_id"), F.min("item_level").alias("item_level"))
         .drop("same")
     )
 
 
 _ITEM_TYPES = [
     pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(),
-    pa.list_(pa.string()), pa.int32(),
+    pa.int32(), pa.list_(pa.string()), pa.int32(),
 ]
 
 
@@ -217,8 +291,10 @@ def window_filter(items: DataFrame, bits: int = FILTER_BITS) -> bytes:
     return bytes(found)
 
 
-def document_windows(documents: DataFrame, sizes: list[int], passing: bytes) -> DataFrame:
-    """(doc_id, text_hash, h, size, shown, at, slots) of the windows the filter lets through."""
+def document_windows(
+    documents: DataFrame, sizes: list[int], passing: bytes, window: int = WINDOW
+) -> DataFrame:
+    """(doc_id, text_hash, h, size, shown, at, level, slots) of the windows the filter lets through."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(passing, np.uint8)
@@ -229,17 +305,18 @@ def document_windows(documents: DataFrame, sizes: list[int], passing: bytes) ->
             for i, text in enumerate(texts):
                 tokens = Tokens(text.as_py())
                 for size in sizes:
-                    for is_open, places, found in tokens.windows(size):
+                    for level, begin, ends, found in tokens.windows(size, size == window):
                         bit = found % most
                         hits = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                        for at, h in zip(places[hits].tolist(), found[hits].tolist()):
-                            shown, slots = tokens.shown(at, size, is_open)
-                            out.append((ids[i].as_py(), hashes[i].as_py(), h, size, shown, at, slots))
-            names = ["doc_id", "text_hash", "h", "size", "shown", "at", "slots"]
+                        passed = zip(begin[hits].tolist(), ends[hits].tolist(), found[hits].tolist())
+                        for at, end, h in passed:
+                            shown, slots = tokens.shown(at, end, level)
+                            out.append((ids[i].as_py(), hashes[i].as_py(), h, end - at, shown, at, level, slots))
+            names = ["doc_id", "text_hash", "h", "size", "shown", "at", "level", "slots"]
             columns = list(zip(*out)) or [[]] * len(names)
             types = [
                 pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32(),
-                pa.list_(pa.string()),
+                pa.int32(), pa.list_(pa.string()),
             ]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -248,7 +325,7 @@ def document_windows(documents: DataFrame, sizes: list[int], passing: bytes) ->
     )
     return plain.mapInArrow(
         rows,
-        "doc_id long, text_hash long, h long, size int, shown string, at int, slots array<string>",
+        "doc_id long, text_hash long, h long, size int, shown string, at int, level int, slots array<string>",
     )
 
 
@@ -259,17 +336,26 @@ def contaminated(
     spark = prepare(documents.sparkSession)
     items = materialize(item_windows(benchmark, window), "items", spark)
     # a few window sizes: the usual one, and those of items shorter than it
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
-    passing = document_windows(documents, sizes, window_filter(items))
+    sizes = sorted(r["size"] for r in items.select("size").where(F.col("size") <= window).distinct().collect())
+    passing = document_windows(documents, sizes, window_filter(items), window)
     met = materialize(passing.join(items, ["h", "size", "shown"]).drop("h", "shown"), "met", spark)
 
     alignment = ["doc_id", "text_hash", "item_id", "shift"]
-    aligned = met.withColumn("shift", F.col("at") - F.col("item_at"))
-    pairs = aligned.select(
-        *alignment, F.explode(F.arrays_zip("item_slots", "slots")).alias("slot")
-    ).select(*alignment, "slot.item_slots", "slot.slots")
+    kind = [*alignment, "level"]
+    aligned = met.withColumn("shift", F.col("at") - F.col("item_at")).withColumn(
+        "level", F.greatest("level", "item_level")
+    )
+    is_open = F.array_size("item_slots") > 0
+    # the slots of a kind of template count for those with more slots, too
+    pairs = (
+        aligned.where(is_open)
+        .select(*kind, F.explode(F.arrays_zip("item_slots", "slots")).alias("slot"))
+        .select(*kind, "slot.item_slots", "slot.slots")
+        .distinct()
+        .withColumn("level", F.explode(F.sequence("level", F.lit(TEMPLATES))))
+    )
     unsound = (
-        pairs.groupBy(*alignment)
+        pairs.groupBy(*kind)
         .agg(
             F.count_distinct("item_slots").alias("n_item"),
             F.count_distinct("slots").alias("n_doc"),
@@ -278,9 +364,8 @@ def contaminated(
         .where("n_pairs > n_item OR n_pairs > n_doc")
     )
     # only open windows may be coincidence; what stands there word for word is kept
-    is_open = F.array_size("item_slots") > 0
     templates = aligned.where(is_open)
-    clash = [templates[c].eqNullSafe(unsound[c]) for c in alignment]
+    clash = [templates[c].eqNullSafe(unsound[c]) for c in kind]
     sound = templates.join(unsound, clash, "left_anti").unionByName(aligned.where(~is_open))
     covered = sound.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("tokens").alias("item_tokens"),

@@ -46,6 +46,38 @@ def test_an_altered_repeat_leaves_the_words_around_it(spark, docs):
     assert not got[1, 1][2] and got[3, 1][0] == got[3, 1][1]
 
 
+def test_names_and_numbers_of_many_kinds(spark, docs):
+    asked = {
+        1: ("Tom has 12 apples. Tom gives Anna 5. How many apples does Tom have?",
+            "Mary has 9 apples. Mary gives Ben 4. How many apples does Mary have?"),
+        2: ("In the yard NASA and McDonald built three rockets with Jean-Luc before seven of them left for good",
+            "In the yard ESA and O'Neill built 14 rockets with Anne-Marie before twenty-two of them left for good"),
+        3: ("The scores were 3 4 5 6 7 8 9 10 11 12 13 14 15 and then 16 17 18 19 20 at last",
+            "The scores were 31 42 53 64 75 86 97 108 119 120 131 142 153 and then 164 175 186 197 208 at last"),
+        4: ("The train to Paris left the old station with 9 people and came back with 8 of them",
+            "She said that the train to London left the old station with 31 people and came back with 27 of them"),
+    }
+    clash = "Mary has 9 apples. Sue gives Ben 4. How many apples does Joe have?"
+    rows = [(i, f"It was late. {other}") for i, (_, other) in asked.items()]
+    rows += [(11, f"It was late. {clash}"), (14, asked[4][1].lower().replace("london", "paris"))]
+    got = found(docs(*rows), items(spark, *((i, item) for i, (item, _) in asked.items())))
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (14, 4)}
+    assert all(got[i, i][2] for i in asked)
+
+
+def test_windows_of_any_size_hash_alike(spark):
+    filler = "and so the long story goes on without an end "
+    dense = "Tom paid 1 2 3 4 5 6 7 8 9 10 11 for it at noon with Anna"
+    one = d.Tokens(dense)
+    two = d.Tokens(f"{filler * 3}. {dense}. {filler * 2000}")
+    for level, begin, end, hashes in one.windows(d.WINDOW, True):
+        shown = {one.shown(a, b, level)[0]: h for a, b, h in zip(begin.tolist(), end.tolist(), hashes.tolist())}
+        other = next(w for w in two.windows(d.WINDOW, True) if w[0] == level)
+        there = {two.shown(a, b, level)[0]: h for a, b, h in zip(*(x[:60].tolist() for x in other[1:]))}
+        assert shown and all(there.get(k, h) == h for k, h in shown.items())
+        assert len(shown.keys() & there.keys()) == len(shown) if level else True
+
+
 def test_against_brute_force(spark, docs):
     draw = random.Random(6)
     words = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
