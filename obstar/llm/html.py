@@ -18,7 +18,9 @@ through the network together, so memory is that of one batch.
 
 Defined results: null or empty html: empty text; a page without blocks of main text:
 empty text; blocks of any length and pages of any number of blocks are read whole; tags
-that are never closed end where their container ends; repeated rows give repeated
+that are never closed end where their container ends, those of raw text (scripts, styles,
+titles, text areas, inline frames) with the page; a quote in a tag counts after an equals
+sign only; the text of a template is not part of a page; repeated rows give repeated
 results; other columns are not looked at; nothing to learn from: learned from built-in
 layouts of no words.
 """
@@ -53,7 +55,10 @@ BLOCK = frozenset(
     thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript iframe object svg math title textarea".split())
+#: Their text is no markup, and ends with their end tag only.
+RAW = frozenset("script style iframe title textarea".split())
+#: Their end tag ends the blocks inside too, and a block inside ends none outside.
+SCOPES = frozenset("object svg math noscript template".split())
 #: A start tag of the first kind ends an open one of the second, up to the containers after it.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -74,9 +79,12 @@ cookie-notice cookie-banner consent gdpr alert modal popup share social tags pag
 disclaimer legal""".split()
 PLAIN = "wrapper container row col inner outer block box section page site layout grid left center".split()
 
+# possessive: a tag is read once, from left to right
+_ATTRIBUTES = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+"""
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[!?][^>]*>", re.S
 )
+_TEMPLATE = re.compile("<template", re.I)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -105,6 +113,7 @@ def page_blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     linked, at, end = 0, 0, len(html)
+    templates = _TEMPLATE.search(html) is not None
 
     def close_block() -> None:
         nonlocal linked
@@ -120,7 +129,7 @@ def page_blocks(html: str | None) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not (templates and any(name == "template" for name, _ in stack)):
             pieces.append(text)
             if any(name == "a" for name, _ in stack[-4:]):
                 linked += len(text)
@@ -136,18 +145,18 @@ def page_blocks(html: str | None) -> list[Block]:
         if not tag:
             continue
         if found[1]:
-            if tag in BLOCK:
+            if tag in BLOCK or tag in SCOPES and any(name in BLOCK for name, _ in stack[-1:]):
                 close_block()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     pop_to(i)
                     break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
+                if tag not in BLOCK and tag not in SCOPES and stack[i][0] in BLOCK:
                     break  # an inline end tag does not end a block
             continue
-        if tag in UNSEEN:
+        if tag in RAW:
             if not found[3].rstrip().endswith("/"):
-                ending = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+                ending = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = ending.end() if ending else end
             continue
         if tag == "br":
@@ -161,7 +170,7 @@ def page_blocks(html: str | None) -> list[Block]:
                 if stack[i][0] == "p" or stack[i][0] in ended:
                     pop_to(i)
                     break
-                if stack[i][0] in BLOCK and (not ended or stack[i][0] in within):
+                if stack[i][0] in SCOPES or stack[i][0] in BLOCK and (not ended or stack[i][0] in within):
                     break
         if tag not in VOID and not found[3].endswith("/"):
             stack.append((tag, names_of(tag, found[3])))

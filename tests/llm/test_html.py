@@ -27,6 +27,20 @@ def test_blocks():
     assert paths == [("article #a .x .y", "h1"), ("article #a .x .y", "p")]
 
 
+def test_nothing_is_lost_to_open_tags_and_stray_quotes():
+    assert texts("<p title=it's>First paragraph.</p><p>Second, it's here.</p>") == ["First paragraph.", "Second, it's here."]
+    assert [(b.path, b.text) for b in html.page_blocks('<p class="x"">one</p>')] == [(("p .x",), "one")]
+    assert texts("<p a='>' b=\">\" c = '>' d=x>one</p><p e=>two</p><p f=\"open>three</p>") == ["one", "two", "three"]
+    for tag in ("object", "svg", "math", "noscript"):
+        assert texts(f"<div><p>one <{tag}>two</p></div><p>three</p>") == ["one two", "three"]
+        assert texts(f"<p>one <{tag}>two</{tag}> three</p>") == ["one two three"]
+    assert texts("<p>a</p><object><p>b</p></object><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a <template><b>no</b></template>b</p>") == ["a b"]
+    assert texts("<div><template><p>no</p></div><p>b</p>") == ["b"]
+    assert texts("<script>x</script data-x><p>a</p><style>b") == ["a"]
+    assert len(html._TAG.findall("<a " * 2000)) == 0
+
+
 def test_gradients():
     draw = np.random.default_rng(0)
     network = html.Labeller(1)
