@@ -8,7 +8,8 @@ page before and after it in view, as main text or not. The main text is the bloc
 it labels so, in page order.
 
 The weights are fitted here, on a bounded sample of pages (`sample_pages`, taken by a
-hash of page_id). Labels of the sample come from the names of tags that say what a block
+hash of page_id; pages of more than `sample_blocks` blocks are left out of it, and the
+others are learned whole). Labels of the sample come from the names of tags that say what a block
 is; the same pages are also learned with other names, places and kinds of notices,
 comments, forms and menus, and without any container, so that what is learned does not
 hang on one layout. Names say nothing when pages are labelled: only the network does.
@@ -44,7 +45,7 @@ from obstar.llm.common import Remembered, only, prepare
 PATH, WORDS, SIZES = 256, 64, 7
 INPUT = PATH + WORDS + SIZES
 HIDDEN = 12
-SAMPLE_PAGES, SAMPLE_CHARS, EPOCHS = 240, 200_000, 7
+SAMPLE_PAGES, SAMPLE_CHARS, SAMPLE_BLOCKS, EPOCHS = 240, 200_000, 400, 7
 REMEMBERED = 200_000
 
 # What HTML says of its tags.
@@ -401,20 +402,26 @@ def relaid(blocks: list[Block], draw: np.random.Generator) -> tuple[list[Block],
     return out, labels
 
 
-def train(pages: Iterable[str], epochs: int = EPOCHS, seed: int = 7) -> Labeller:
-    """Fit a labeller to a bounded list of pages."""
+def train(
+    pages: Iterable[str], epochs: int = EPOCHS, seed: int = 7, sample_blocks: int = SAMPLE_BLOCKS
+) -> Labeller:
+    """Fit a labeller to a bounded list of pages, those of at most `sample_blocks` blocks.
+
+    A page that is learned is learned to its end, as the ends of pages are not like their
+    beginnings.
+    """
     draw = np.random.default_rng(seed)
     examples: list[tuple[np.ndarray, np.ndarray]] = []
     for page in pages:
-        blocks = page_blocks(page)[:300]
-        if not blocks:
+        blocks = page_blocks(page)
+        if not 0 < len(blocks) <= sample_blocks:
             continue
         plain = np.array([named_label(b.path) for b in blocks], np.float32)
         if plain.any():
             examples.append((vectors(blocks), plain))
             for _ in range(3):
                 changed, labels = relaid(blocks, draw)
-                examples.append((vectors(changed[:400]), np.array(labels[:400], np.float32)))
+                examples.append((vectors(changed), np.array(labels, np.float32)))
     if not examples:
         layout = [Block(("html", "body", h, "p"), "text", 0) for h in (*HOLDS, *NOT_PART)]
         labels = np.array([named_label(b.path) for b in layout], np.float32)
@@ -442,9 +449,13 @@ def train(pages: Iterable[str], epochs: int = EPOCHS, seed: int = 7) -> Labeller
     return network
 
 
-def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
+def fit(
+    pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_blocks: int = SAMPLE_BLOCKS
+) -> Labeller:
     """Learn from at most `sample_pages` pages, of at most SAMPLE_CHARS characters each.
 
+    Of these, pages of more than `sample_blocks` blocks are left out.
+
     The sample is bounded, so one task can learn from it; only the weights come back.
     """
     usable = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", "html")
@@ -455,7 +466,8 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
     sample = usable.where(F.col("page_id").isin(ids)).orderBy(*order, "html").limit(sample_pages)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = train([page for batch in batches for page in batch.column("html").to_pylist()])
+        held = [page for batch in batches for page in batch.column("html").to_pylist()]
+        network = train(held, sample_blocks=sample_blocks)
         names, values = zip(*network.weights.items())
         shapes = [list(v.shape) for v in values]
         columns = [list(names), [v.tobytes() for v in values], shapes]

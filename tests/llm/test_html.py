@@ -67,6 +67,18 @@ def test_gradients():
             assert abs((up - down) / 2e-4 - found[name][at]) < 1e-4, name
 
 
+def test_sampled_pages_are_learned_to_their_end(monkeypatch):
+    page = "<article>" + "<p>Some words of the story.</p>" * 350 + "</article><footer><p>the end</p></footer>"
+    too_long = "<article>" + "<p>x</p>" * 401 + "</article>"
+    seen = []
+    vectors = html.vectors
+    monkeypatch.setattr(html, "vectors", lambda blocks: seen.append(blocks) or vectors(blocks))
+    html.train([page, too_long], epochs=0)
+    assert len(seen) == 4 and len(seen[0]) == 351
+    assert all(any(b.text == "the end" for b in blocks) for blocks in seen)
+    assert max(map(len, seen)) > 400
+
+
 def test_held_out_pages_of_the_table(spark, network):
     pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
     good = 0
