@@ -7,7 +7,8 @@ document ends in the array, and the doc_ids. Elias-Fano keeps the low bits of ea
 as they are and the high bits in unary: about 2 + log2(ids / documents) bits a boundary,
 where a plain table takes 64. A directory with the number of ones before each 512 bits of
 the unary part lets `select` find the i-th boundary by a search in the directory and a
-look at 64 bytes.
+look at 64 bytes. Reading goes by slices of 1024 documents: select finds where a slice
+begins and ends, and the values between are decoded together.
 
 Doc_ids are cut into ranges of about as many documents each (from percentiles of the
 doc_id column alone), one task per range encodes after a single shuffle of packed ids,
@@ -77,32 +78,45 @@ class EliasFano:
             n, low_bits, np.packbits(low.ravel(), bitorder="little").tobytes(), high.tobytes(), before.tobytes()
         )
 
-    def select(self, i: int) -> int:
-        """The i-th value."""
+    def _one(self, i: int) -> int:
+        """Where the i-th one of the unary part is."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         before = np.frombuffer(self.directory, "<u4")
         part = int(np.searchsorted(before, i, side="right")) - 1
         window = np.frombuffer(self.high, np.uint8)[part * _CHUNK : (part + 1) * _CHUNK]
         ones = np.flatnonzero(np.unpackbits(window, bitorder="little"))
-        high = part * _CHUNK * 8 + int(ones[i - int(before[part])]) - i
+        return part * _CHUNK * 8 + int(ones[i - int(before[part])])
+
+    def select(self, i: int) -> int:
+        """The i-th value."""
+        high = self._one(i) - i
         first = i * self.low_bits
         data = np.frombuffer(self.low, np.uint8)[first // 8 : (first + self.low_bits + 7) // 8]
         low = int.from_bytes(data.tobytes(), "little") >> (first % 8) & ((1 << self.low_bits) - 1)
         return high << self.low_bits | low
 
-    def all(self) -> np.ndarray:
-        """Every value, in order."""
-        if not self.n:
+    def between(self, i: int, j: int) -> np.ndarray:
+        """The i-th value to the one before the j-th: select at the bounds, decoded between."""
+        if i >= j:
             return np.empty(0, np.uint64)
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))
-        found = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+        first, last = self._one(i), self._one(j - 1)
+        window = np.frombuffer(self.high, np.uint8)[first // 8 : last // 8 + 1]
+        start = first // 8 * 8
+        bits = np.unpackbits(window, bitorder="little")[first - start : last - start + 1]
+        found = (np.flatnonzero(bits) + first - np.arange(i, j)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            low = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")
-            low = low[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.uint64)
+            begin, end = i * self.low_bits, j * self.low_bits
+            low = np.frombuffer(self.low, np.uint8)[begin // 8 : (end + 7) // 8]
+            low = np.unpackbits(low, bitorder="little")[begin % 8 : begin % 8 + end - begin]
+            low = low.reshape(j - i, self.low_bits).astype(np.uint64)
             found |= (low << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
         return found
 
+    def all(self) -> np.ndarray:
+        """Every value, in order."""
+        return self.between(0, self.n)
+
 
 # --- encoding ------------------------------------------------------------------------
 
@@ -277,15 +291,17 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 ends, docs = _sequences(row)
-                until = ends.all().astype(np.int64)
-                begin = np.concatenate(([0], until[:-1]))
                 ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")
-                names = [None] * row["n_null"] + (docs.all().astype(np.int64) + row["base"]).tolist()
-                for at in range(0, len(names), 1024):
-                    a, b = begin[at : at + 1024], until[at : at + 1024]
+                n_null = row["n_null"]
+                for at in range(0, ends.n, 1024):
+                    to = min(at + 1024, ends.n)
+                    b = ends.between(at, to).astype(np.int64)
+                    a = np.concatenate(([ends.select(at - 1) if at else 0], b[:-1]))
+                    known = docs.between(max(at - n_null, 0), max(to - n_null, 0)).astype(np.int64)
+                    names = [None] * (to - at - len(known)) + (known + row["base"]).tolist()
                     yield pa.record_batch(
                         [
-                            pa.array(names[at : at + 1024], pa.int64()),
+                            pa.array(names, pa.int64()),
                             pa.array(a + (row["first"] + row["offset"])),
                             pa.array(b - a),
                             pa.array([ids[x:y].tobytes() for x, y in zip(a, b)], pa.binary()),

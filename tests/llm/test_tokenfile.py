@@ -22,6 +22,24 @@ def test_elias_fano_round_trip(values, small):
         one.select(len(values))
 
 
+@given(st.lists(st.integers(0, 1 << 40), max_size=2000), st.booleans(), st.integers(0, 2000), st.integers(0, 2000))
+def test_values_between_two_selects(values, small, i, j):
+    values = sorted(v % 50 if small else v for v in values)
+    one = tokenfile.EliasFano.of(np.array(values, np.uint64))
+    i, j = min(i, len(values)), min(j, len(values))
+    assert one.between(i, j).tolist() == values[i:j]
+
+
+def test_slices_of_a_block(spark, docs):
+    rows = [(None, f"no id {i}") for i in range(1500)] + [(i, f"text {i}") for i in range(2000)]
+    found = tokenfile.written(docs(*rows).repartition(3), PATH).collect()
+    assert sorted(repr(r["doc_id"]) for r in found) == sorted(repr(d) for d, _ in rows)
+    start = 0
+    for row in sorted(found, key=lambda r: r["start"]):
+        assert row["start"] == start and len(row["ids"]) == 4 * row["n_tokens"]
+        start += row["n_tokens"]
+
+
 def test_elias_fano_is_small():
     values = np.cumsum(np.random.default_rng(1).integers(1, 2000, 20_000)).astype(np.uint64)
     one = tokenfile.EliasFano.of(values)
