@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from obstar.operators.conflicts import TooManyRounds, insert_ignore_all
 

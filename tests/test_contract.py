@@ -4,7 +4,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import record, rows
+from helpers import record, rows
 
 from obstar.operators import ingest
 from obstar.schemas import OBSERVATION

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import record, rows
+from helpers import record, rows
 from pyspark.errors import PySparkException
 
 from obstar.operators import serving
