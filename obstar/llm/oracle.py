@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from obstar.llm.licenses import NOTICES
+from obstar.llm.shards import PRIMES, ROUNDS, round_keys
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -59,6 +60,30 @@ def canonical_sql(url: str) -> str:
     return f"{host} || {path} || {query}"
 
 
+def crc32_sql(hexed: str) -> str:
+    """The unsigned CRC-32 of bytes given as hexadecimal text; `crc_table` must be in scope."""
+    byte = f"('0x' || ({hexed})[2 * i - 1 : 2 * i])::BIGINT"
+    steps = f"list_prepend(4294967295, list_transform(range(1, length({hexed}) // 2 + 1), lambda i: {byte}))"
+    entry = "('0x' || digits[8 * xor(a & 255, x) + 1 : 8 * xor(a & 255, x) + 8])::BIGINT"
+    return f"xor(list_reduce({steps}, lambda a, x: xor(a >> 8, {entry})), 4294967295)"
+
+
+CRC_TABLE = """
+crc_table AS (
+    SELECT string_agg(printf('%08x', list_reduce(list_prepend(i, range(8)),
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), '' ORDER BY i) AS digits
+    FROM range(256) t(i)
+)"""
+
+
+def mixed_sql(x: str) -> str:
+    a, b, c = PRIMES
+    low = 4294967295
+    return f"""(SELECT xor(z, z >> 16) FROM (SELECT (xor(y, y >> 13) * {c}) & {low} AS z FROM (
+        SELECT (xor(x, x >> 15) * {b}) & {low} AS y FROM (
+        SELECT (({x}) * {a} + key) & {low} AS x))))"""
+
+
 NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
 
 ORACLE: dict[str, str] = {
@@ -106,4 +131,26 @@ SELECT id AS revisit_id, url_key, r.id AS response_id,
             'content-type: text/html' || chr(10) || 'date: ' || time || chr(10) || 'etag: ' || r.tag || chr(10) ||
             'expires: ' || time || chr(10) || 'vary: accept' END AS headers
 FROM joined WHERE kind = 0""",
+    "op12_shards": f"""
+WITH RECURSIVE {CRC_TABLE},
+numbered AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
+           row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS r, count(*) OVER () AS n
+    FROM documents
+),
+wide AS (SELECT r, n, greatest(2, length(to_base(n - 1, 2))) AS bits FROM numbered),
+halves AS (SELECT r, n, bits - bits // 2 AS low, (1 << (bits // 2)) - 1 AS lmask, (1 << (bits - bits // 2)) - 1 AS rmask FROM wide),
+walk AS (
+    SELECT r, n, low, lmask, rmask, 0 AS k, (r >> low)::HUGEINT AS l, (r & rmask)::HUGEINT AS q FROM halves
+    UNION ALL
+    SELECT r, n, low, lmask, rmask, k % {ROUNDS} + 1,
+           CASE WHEN k % 2 = 0 THEN xor(l, {mixed_sql("q")} & lmask) ELSE l END,
+           CASE WHEN k % 2 = 1 THEN xor(q, {mixed_sql("l")} & rmask) ELSE q END
+    FROM (SELECT *, ({round_keys(0)})[k % {ROUNDS} + 1] AS key FROM walk)
+    WHERE k < {ROUNDS} OR l * (rmask + 1) + q >= n
+),
+placed AS (SELECT r, (l * (rmask + 1) + q)::BIGINT AS place FROM walk WHERE k = {ROUNDS} AND l * (rmask + 1) + q < n)
+SELECT doc_id, length(h) // 2 + 8 AS size, {crc32_sql("h")} AS text_crc32, 'rows' AS law,
+       (place % 24)::INTEGER AS shard, place // 24 AS slot, NULL::INTEGER AS grown_shard
+FROM numbered JOIN placed USING (r) CROSS JOIN crc_table""",
 }

@@ -16,6 +16,7 @@ from obstar.llm import (
     licenses,
     lines,
     quality,
+    shards,
     simhash,
     tokenfile,
     warc,
@@ -94,6 +95,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_licenses": op2_licenses,
@@ -105,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_html": op10_html,
+    "op12_shards": op12_shards,
 }
