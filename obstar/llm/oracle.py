@@ -153,4 +153,60 @@ placed AS (SELECT r, (l * (rmask + 1) + q)::BIGINT AS place FROM walk WHERE k =
 SELECT doc_id, length(h) // 2 + 8 AS size, {crc32_sql("h")} AS text_crc32, 'rows' AS law,
        (place % 24)::INTEGER AS shard, place // 24 AS slot, NULL::INTEGER AS grown_shard
 FROM numbered JOIN placed USING (r) CROSS JOIN crc_table""",
+    "op13_trie": f"""
+WITH {CRC_TABLE},
+given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+known AS (SELECT *, md5(octet_length(encode(role)) || ':' || role || text) AS token FROM given),
+own AS (
+    SELECT conv_id, token, octet_length(encode(text)) AS size,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, token) - 1 AS pos
+    FROM known
+),
+counted AS (SELECT conv_id, count(*) AS n, hex(encode(conv_id::VARCHAR)) AS digits_of FROM own GROUP BY conv_id),
+convs AS (
+    SELECT c.conv_id, c.conv_id - c.conv_id % 5 AS source, {crc32_sql("digits_of")} % 9 AS h
+    FROM counted c CROSS JOIN crc_table
+),
+sized AS (
+    SELECT c.*, least(c.h, coalesce(s.n, 0)) AS taken FROM convs c LEFT JOIN counted s ON s.conv_id = c.source
+),
+rebuilt AS (
+    SELECT c.conv_id, o.pos, o.token, o.size FROM sized c JOIN own o ON o.conv_id = c.source WHERE o.pos < c.taken
+    UNION ALL
+    SELECT c.conv_id, o.pos - c.h + c.taken, o.token, o.size FROM sized c JOIN own o ON o.conv_id = c.conv_id WHERE o.pos >= c.h
+),
+paths AS (
+    SELECT conv_id, pos + 1 AS depth, size,
+           md5(string_agg(token, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS node
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, 0, 0, 'root' FROM convs
+),
+trie AS (
+    SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(size) AS size, count(*) AS n
+    FROM paths GROUP BY node
+),
+hung AS (
+    SELECT t.*, up.node AS parent, up_node.conv_id AS parent_conv_id
+    FROM trie t LEFT JOIN paths up ON up.conv_id = t.conv_id AND up.depth = t.depth - 1
+    LEFT JOIN trie up_node ON up_node.node = up.node
+),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM hung WHERE parent IS NOT NULL GROUP BY parent),
+totals AS (
+    SELECT p.node, count(*) FILTER (k.node IS NULL) AS n_leaves, sum((t.n - 1) * t.size)::BIGINT AS saved_tokens
+    FROM trie t JOIN paths p ON p.conv_id = t.conv_id AND p.depth <= t.depth
+    LEFT JOIN kids k ON k.node = t.node
+    GROUP BY p.node
+),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ended AS (
+    SELECT p.node, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids
+    FROM lengths l JOIN paths p USING (conv_id, depth) GROUP BY p.node
+)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM hung JOIN totals USING (node) LEFT JOIN kids USING (node) LEFT JOIN ended USING (node)""",
 }

@@ -19,6 +19,7 @@ from obstar.llm import (
     shards,
     simhash,
     tokenfile,
+    trie,
     warc,
 )
 from obstar.llm.common import table
@@ -100,6 +101,11 @@ def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of the rebuilt conversations."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_licenses": op2_licenses,
@@ -112,4 +118,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_html": op10_html,
     "op12_shards": op12_shards,
+    "op13_trie": op13_trie,
 }
