@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.llm import (
+    align,
     bpe,
     decontaminate,
     html,
@@ -25,6 +26,8 @@ from obstar.llm import (
 from obstar.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +99,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document."""
+    return align.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
 def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of every document."""
     return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
@@ -117,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_html": op10_html,
+    "op11_align": op11_align,
     "op12_shards": op12_shards,
     "op13_trie": op13_trie,
 }
