@@ -132,6 +132,7 @@ def _load(
     if stream and stream[1] <= base.streams.get(stream[0], -1):
         return Result(runlog.REPLAYED)
 
+    records = landing.placed(records)
     parsed = ingest.parse_records(records, landing.TEXT, on_overflow=on_overflow, keep_rejected=True)
     if on_bad_time == "reject":
         # the text of all records is needed to tell the rejected ones
@@ -153,7 +154,7 @@ def _load(
         staging.replace(staging.empty(spark), root)
         return skipped()
 
-    flat = ingest.flatten(ingest.valid(parsed), [landing.SOURCE], on_overflow=on_overflow)
+    flat = ingest.flatten(ingest.valid(parsed), landing.ARRIVAL, on_overflow=on_overflow)
     staged = staging.replace(staging.build(flat), root)
     if staged.is_empty():
         return skipped()

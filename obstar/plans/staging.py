@@ -18,7 +18,7 @@ from obstar.operators.keys import lookup, present_in
 from obstar.operators.numbering import dense_ids
 from obstar.schemas import CONDITIONS_METEO, DONNEES_METEO, LIEUX, MEASURES, STAGING
 from obstar.session import remove, side_by_side
-from obstar.sources.landing import SOURCE
+from obstar.sources.landing import ARRIVAL
 
 _NAME = ["nom", "region", "pays"]
 _LAST = "last_seen"
@@ -36,10 +36,9 @@ class Staging:
 
 
 def build(flat: DataFrame) -> Staging:
-    """From flattened records (with their source file) to the three relations.
+    """From flattened records (with their position) to the three relations.
 
-    First come, first kept, in the order of the source files; within a file by
-    the records' own values, since a text file's lines have no number. A time
+    First come, first kept, in the order of the files and of the lines in them. A time
     that cannot be read fails the run. Observations whose condition was not kept
     are left out, as a foreign key would do. Locations are numbered in the order
     in which they were last seen, so of two the higher number came later.
@@ -48,20 +47,20 @@ def build(flat: DataFrame) -> Staging:
     conditions, locations = side_by_side(
         lambda: conflicts.insert_ignore_all(
             spark.createDataFrame([], CONDITIONS_METEO),
-            flat.select("code_condition", "texte_condition", SOURCE),
+            flat.select("code_condition", "texte_condition", *ARRIVAL),
             [["code_condition"], ["texte_condition"]],
-            [SOURCE],
+            ARRIVAL,
         ),
         lambda: dense_ids(
-            flat.groupBy(*_NAME).agg(F.max(SOURCE).alias(_LAST)), [_LAST, *_NAME], "id_lieu"
+            flat.groupBy(*_NAME).agg(F.max(F.struct(*ARRIVAL)).alias(_LAST)), [_LAST, *_NAME], "id_lieu"
         ).select(*LIEUX.names),
     )
     placed = lookup(flat, locations, _NAME, ["id_lieu"], nullable=["region"])
     timed = placed.withColumn("datetime_observation", times.parse_strict(F.col("datetime_observation")))
     known = present_in(timed, conditions, ["code_condition"]).select(
-        SOURCE, "id_lieu", "datetime_observation", *MEASURES, "code_condition"
+        *ARRIVAL, "id_lieu", "datetime_observation", *MEASURES, "code_condition"
     )
-    kept = first_per_key(known, ["id_lieu", "datetime_observation"], [SOURCE])
+    kept = first_per_key(known, ["id_lieu", "datetime_observation"], ARRIVAL)
     # nobody refers to these ids: unique is enough, and needs no sort
     numbered = kept.withColumn("id_observation_horaire", F.monotonically_increasing_id() + 1)
     return Staging(locations, conditions, numbered.select(*DONNEES_METEO.names))

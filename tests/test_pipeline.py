@@ -113,6 +113,53 @@ def test_city_in_two_countries_keeps_the_last(spark, root, land, first, last):
     assert [r[-1] for r in served(snapshot)] == [Decimal("20.00")]
 
 
+@pytest.mark.parametrize("countries", [("Mali", "Togo"), ("Togo", "Mali")])
+def test_lines_of_one_file_have_an_order(spark, root, land, countries):
+    """First come, first kept within a file; a city keeps the country it was last seen in."""
+    first, last = countries
+    path = land(
+        "a",
+        record("San", "r", first),
+        record("Dakar", temp_c=9.0), record("Dakar", temp_c=5.0), record("Dakar", temp_c=7.0),
+        record("San", "r", last),
+        record("Kara", "k", "Togo", code=1000, text="Another text for 1000"),
+        record("Lome", "m", "Togo", code=1001, text="Sunny"),  # the text is taken: its observation goes
+    )
+    batch.run(spark, path, root)
+    snapshot = warehouse.current(spark, root)
+    assert rows(snapshot.dim("DimLieux"), "nom_ville", "pays")[-1] == ("San", last)
+    assert {r[0]: r[-1] for r in served(snapshot)}["Dakar"] == Decimal("9.00")
+    assert rows(snapshot.dim("DimConditionsMeteo"), "code_condition", "texte_condition") == [(1000, "Sunny")]
+    assert "Lome" not in {r[0] for r in served(snapshot)}
+
+
+def test_order_of_a_file_that_is_read_in_parts(spark, root, land):
+    """Descending values, read in many parts: the first line of each minute stays."""
+    texts = [
+        record("Dakar", time=f"2024-03-09 10:{m:02}", temp_c=float(90 - n)) for n in range(40) for m in range(20)
+    ]
+    path = land("a", *texts)
+    sizes = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        lines = landing.read(spark, path)
+        assert lines.rdd.getNumPartitions() > 10
+        found = lines.orderBy(*landing.ARRIVAL).select("text").collect()
+        batch.run(spark, path, root)
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert [r["text"] for r in found] == texts
+    assert rows(warehouse.current(spark, root).fact(), "temperature_celsius") == [(Decimal("90.00"),)] * 20
+
+
+def test_lines_of_a_stream_have_an_order(spark, root, land, tmp_path):
+    path = land("stream", *[record("Dakar", temp_c=t) for t in (3.0, 1.0, 2.0)])
+    incremental.start(spark, path, root, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r[-1] for r in served(warehouse.current(spark, root))] == [Decimal("3.00")]
+
+
 def test_nothing_valid_changes_nothing(spark, root, land):
     batch.run(spark, land("a", *FIRST), root)
     before = warehouse.current(spark, root)

@@ -447,17 +447,17 @@ total AS (SELECT max(event_id) + 1 AS n FROM events),
 landed AS (
   SELECT flat.* REPLACE (CASE WHEN event_id >= n // 4 AND nom LIKE '%7' THEN 'AAA' ELSE pays END AS pays,
       strptime(datetime_observation, '%Y-%m-%d %H:%M') AS datetime_observation),
-    event_id // 500 AS file, CASE WHEN event_id < n // 2 THEN 1 ELSE 2 END AS half
+    CASE WHEN event_id < n // 2 THEN 1 ELSE 2 END AS half
   FROM flat, total),
 lieux_vus AS (
-  SELECT half, nom, region, pays, max(file) AS last FROM landed GROUP BY ALL),
+  SELECT half, nom, region, pays, max(event_id) AS last FROM landed GROUP BY ALL),
 staged_lieux AS (
   SELECT *, row_number() OVER (PARTITION BY half ORDER BY last, nom, region, pays) AS id_lieu
   FROM lieux_vus),
 staged AS (
   SELECT l.*, s.id_lieu FROM landed l JOIN staged_lieux s USING (half, nom, region, pays)
   QUALIFY row_number() OVER (PARTITION BY half, id_lieu, datetime_observation
-    ORDER BY file, {_MEASURES}, code_condition) = 1),
+    ORDER BY event_id) = 1),
 last_lieux AS (
   SELECT * FROM staged_lieux QUALIFY row_number() OVER (PARTITION BY half, nom ORDER BY id_lieu DESC) = 1),
 dl AS (
@@ -495,6 +495,16 @@ SELECT f.id_observation_horaire, f.id_dim_lieu, f.id_dim_temps, f.id_dim_conditi
 FROM fact_ids f JOIN dl_at d ON d.half = 2 AND d.id_dim_lieu = f.id_dim_lieu"""
 
 ORACLE |= {
+    "landing_order": f"""WITH {_RECORDS},
+ends AS (
+  SELECT nom, row_number() OVER (PARTITION BY nom ORDER BY event_id // 4000, event_id DESC) AS first,
+    row_number() OVER (PARTITION BY nom ORDER BY event_id // 4000 DESC, event_id) AS last,
+    datetime_observation, temperature_celsius
+  FROM flat)
+SELECT nom, f.datetime_observation AS first_datetime_observation,
+  f.temperature_celsius AS first_temperature_celsius, l.datetime_observation AS last_datetime_observation,
+  l.temperature_celsius AS last_temperature_celsius
+FROM ends f JOIN ends l USING (nom) WHERE f.first = 1 AND l.last = 1""",
     "pipeline_facts": _PUBLISHED,
     "stream_facts": _PUBLISHED,
     "pipeline_second_run": f"""WITH {_RUN}

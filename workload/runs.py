@@ -15,31 +15,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.functions.measures import decimals_as_double
-from obstar.operators import serving
+from obstar.operators import ingest, serving
+from obstar.operators.dedupe import first_per_key, last_per_key
 from obstar.plans import batch, staging
 from obstar.plans.star import star_of
 from obstar.schemas import MEASURES
-from obstar.session import scratch_root
-from obstar.sources import rejects, runlog, warehouse
+from obstar.session import materialize, scratch_root
+from obstar.sources import landing, rejects, runlog, warehouse
 from obstar.streaming import incremental
 from workload import mappings as M
 
-EVENTS_PER_FILE, ELSEWHERE = 500, "AAA"
+EVENTS_PER_FILE, FIRST_FILE, ELSEWHERE = 500, 10**9, "AAA"
 
 
 def landing_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """One folder per half; files follow each other by name as the events do."""
+    """One folder per half; files follow each other by name, and lines in them, as the events do."""
     total = M.table(spark, sf_dir, "events").agg(F.max("event_id") + 1).first()[0] or 0
     event = F.col("event_id")
     moved = (event >= total // 4) & F.col("text").rlike('"name":"[^"]*7"')
     elsewhere = F.regexp_replace("text", '"country":"[^"]*"', f'"country":"{ELSEWHERE}"')
-    file = F.lpad(F.floor(event / EVENTS_PER_FILE).cast("string"), 9, "0")
     rows = M.records(spark, sf_dir).select(
-        F.when(event < total // 2, "1").otherwise("2").alias("half"),
-        file.alias("file"),
+        F.when(event < total // 2, 1).otherwise(2).alias("half"),
+        (F.floor(event / EVENTS_PER_FILE) + FIRST_FILE).alias("file"),  # as many digits each
+        "event_id",
         F.when(moved, elsewhere).otherwise(F.col("text")).alias("text"),
     )
-    rows.repartition("half", "file").write.partitionBy("half", "file").text(folder)
+    _in_order(rows, ["half", "file"], ["event_id"], folder)
+
+
+def _in_order(rows: DataFrame, files: list[str], order: list[str], folder: str) -> None:
+    """Add a text file per value of `files`, its lines in order."""
+    # numbers as folders: text would be looked at once more and sorted again
+    ordered = rows.repartition(*files).sortWithinPartitions(*files, *order)
+    ordered.select(*files, "text").write.mode("append").partitionBy(*files).text(folder)
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +59,7 @@ def _new_folder(spark: SparkSession) -> str:
 
 
 @lru_cache(maxsize=8)
-def _loaded(spark: SparkSession, application: str, sf_dir: str) -> str:
+def _loaded(spark: SparkSession, application: str, sf_dir: str, tables: tuple) -> str:
     """The root of a warehouse after both loads."""
     folder = _new_folder(spark)
     landing_files(spark, sf_dir, f"{folder}/landing")
@@ -64,14 +72,15 @@ def _loaded(spark: SparkSession, application: str, sf_dir: str) -> str:
 
 
 @lru_cache(maxsize=8)
-def _streamed(spark: SparkSession, application: str, sf_dir: str) -> str:
+def _streamed(spark: SparkSession, application: str, sf_dir: str, tables: tuple) -> str:
     """The same by a stream: the second half arrives after the first was loaded."""
     folder = _new_folder(spark)
     landing_files(spark, sf_dir, f"{folder}/landing")
     for half in "12":
-        arrived = spark.read.text(f"{folder}/landing/half={half}")
-        # the file's number is in its path: order is kept in the stream's own folder
-        arrived.repartition("file").write.mode("append").partitionBy("file").text(f"{folder}/stream")
+        arrived = spark.read.text(f"{folder}/landing/half={half}").select(
+            F.col("value").alias("text"), "file", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n")
+        )
+        _in_order(arrived, ["file"], ["file_block_start", "n"], f"{folder}/stream")
         incremental.start(
             spark, f"{folder}/stream", f"{folder}/warehouse", f"{folder}/checkpoint",
             expected=cities(spark, sf_dir),
@@ -85,12 +94,19 @@ def forget() -> None:
     _streamed.cache_clear()
 
 
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """The files that the runs read: changed tables are loaded anew."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    found = listing.load([f"{sf_dir}/{t}.parquet" for t in ("events", "customer", "nation", "region")])
+    return tuple(map(tuple, found.select("path", "modificationTime", "length").sort("path").collect()))
+
+
 def loaded(spark: SparkSession, sf_dir: str) -> str:
-    return _loaded(spark, spark.sparkContext.applicationId, sf_dir)
+    return _loaded(spark, spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir))
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> str:
-    return _streamed(spark, spark.sparkContext.applicationId, sf_dir)
+    return _streamed(spark, spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir))
 
 
 def _served(spark: SparkSession, root: str) -> DataFrame:
@@ -171,10 +187,34 @@ def pipeline_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("log_id", "process_name", "status", "rows_processed", "error_message")
 
 
+def landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the last line of each city, whose records meet in the same files."""
+    folder = f"{_new_folder(spark)}/landing"
+    event = F.col("event_id")
+    rows = M.records(spark, sf_dir).select(
+        "event_id", (F.floor(event / (8 * EVENTS_PER_FILE)) + FIRST_FILE).alias("file"), "text"
+    )
+    # the newest event comes first in a file: the values say nothing of the order
+    _in_order(rows.withColumn("back", -event), ["file"], ["back"], folder)
+    parsed = ingest.parse_records(landing.read(spark, folder), landing.TEXT)
+    flat = materialize(ingest.flatten(ingest.valid(parsed), landing.ARRIVAL), "flat")
+    first, last = (
+        one(flat.select("nom", *landing.ARRIVAL, "datetime_observation", "temperature_celsius"), ["nom"], landing.ARRIVAL)
+        for one in (first_per_key, last_per_key)
+    )
+    return decimals_as_double(
+        first.alias("f").join(last.alias("l"), "nom").select(
+            "nom",
+            *[F.col(f"{side}.{c}").alias(f"{name}_{c}") for side, name in (("f", "first"), ("l", "last"))
+              for c in ("datetime_observation", "temperature_celsius")],
+        )
+    )
+
+
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         pipeline_facts, stream_facts, pipeline_second_run, pipeline_staging, pipeline_rejects,
-        pipeline_record_rejects, pipeline_coverage, pipeline_log,
+        pipeline_record_rejects, pipeline_coverage, pipeline_log, landing_order,
     )
 }
