@@ -9,16 +9,18 @@ never makes Spark shuffle the target.
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from obstar.operators.dedupe import first_per_key, last_per_key
-from obstar.operators.keys import absent_from, drop_prefixed, matches, prefixed, present_in
+from obstar.operators.keys import absent_from, matches, prefixed, present_in
 from obstar.operators.numbering import dense_ids, highest_id
 from obstar.session import materialize
 
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
+_ACTION = "_action"
 
 
 def fresh_rows(
@@ -101,18 +103,48 @@ def upsert(
     batch = source if one_per_key else last_per_key(source, keys, order_by)
     if not one_per_key:
         batch = materialize(batch, "batch")
-    start = id_start
-    if id_column is not None and start is None:
-        start = highest_id(target, id_column)
-    if _is_broadcast(batch):
-        merged = target.join(_changes(batch, keys, values), matches(keys, nullable), "left")
-        fresh = fresh_rows(target, batch, keys, nullable, one_per_key=True)
-    else:
-        merged, fresh = _merged_once(target, batch, keys, values, nullable)
+    if id_column is not None and id_start is None:
+        id_start = highest_id(target, id_column)
+    done = apply(target, batch, keys, values, nullable)
+    fresh = done.fresh
     if id_column is not None:
-        fresh = dense_ids(fresh, keys, id_column, start=start)
+        fresh = dense_ids(fresh, keys, id_column, start=id_start)
+    return done.kept.unionByName(_like(target, fresh))
 
-    kept = drop_prefixed(merged, keys).select(
+
+@dataclass(frozen=True)
+class Applied:
+    """A target with the changes of a batch, the batch's new rows, and what was done.
+
+    Both frames are stored. `did` has the counts by action and the affected rows as an
+    upserting database reports them: 1 for an insert, 2 for an update, 0 for a row that
+    stays as it is. `matched` counts the rows of the target that the batch met.
+    """
+
+    kept: DataFrame
+    fresh: DataFrame
+    did: dict[str, int]
+    matched: int
+
+
+def apply(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    nullable: Collection[str] = (),
+) -> Applied:
+    """Merge a stored batch with one row per key into a target.
+
+    The target is read once, for one join whose result is stored: changed rows, what the
+    batch met, and the counts all come from it, the counts as it is written. New rows are
+    what is left of the batch without the keys that were met.
+    """
+    old = F.struct(*[F.col(c) for c in values])
+    new = F.struct(*[F.col("_new")[c].cast(target.schema[c].dataType).alias(c) for c in values])
+    action = F.when(F.col("_new").isNotNull(), F.when(old.eqNullSafe(new), UNCHANGED).otherwise(UPDATED))
+    joined = target.join(_changes(batch, keys, values), matches(keys, nullable), "left")
+    changed = joined.withColumn(_ACTION, action).select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new")[f.name])
             .otherwise(F.col(f.name))
@@ -121,42 +153,30 @@ def upsert(
             if f.name in values
             else F.col(f.name)
             for f in target.schema.fields
-        ]
+        ],
+        _ACTION,
     )
-    return kept.unionByName(_like(target, fresh))
+    seen, added = Observation(), Observation()
+    counts = [F.count_if(F.col(_ACTION) == a).alias(a) for a in (UPDATED, UNCHANGED)]
+    stored = materialize(changed.observe(seen, *counts), "merged")
+    met = stored.where(F.col(_ACTION).isNotNull()).select(*keys)
+    fresh = absent_from(batch, met, keys, nullable).observe(added, F.count(F.lit(1)).alias(INSERTED))
+    fresh = materialize(fresh, "fresh")
+    did = {INSERTED: added.get[INSERTED], **{a: seen.get[a] for a in (UPDATED, UNCHANGED)}}
+    matched = did[UPDATED] + did[UNCHANGED]
+    did["affected"] = did[INSERTED] + 2 * did[UPDATED]
+    return Applied(stored.drop(_ACTION), fresh, did, matched)
 
 
-def _is_broadcast(stored: DataFrame) -> bool:
-    """Whether a stored table is small enough for the planner to broadcast it."""
-    plan = stored._jdf.queryExecution()
-    limit = plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+def numbered(done: Applied, target: DataFrame, keys: Sequence[str], id_column: str, start: int) -> DataFrame:
+    """The target's new content, its new rows with ids after `start`."""
+    return done.kept.unionByName(_like(target, dense_ids(done.fresh, keys, id_column, start=start)))
 
 
 def _changes(batch: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     return prefixed(batch, keys, [F.struct(*values).alias("_new")])
 
 
-def _merged_once(
-    target: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    values: Sequence[str],
-    nullable: Collection[str],
-) -> tuple[DataFrame, DataFrame]:
-    """The target with its changes, and the new rows, from one join that shuffles both
-    sides once; its result is written, so that both can be read from it."""
-    known = target.withColumn("_known", F.lit(True))
-    both = known.join(_changes(batch, keys, values), matches(keys, nullable), "full")
-    both = materialize(both, "merged")
-    taken = [F.col(c.name) for c in prefixed(batch, keys).schema.fields]
-    fresh = both.where(F.col("_known").isNull()).select(
-        *[c.alias(k) for c, k in zip(taken, keys)], "_new.*"
-    )
-    return both.where(F.col("_known").isNotNull()).drop("_known"), fresh
-
-
 def upsert_actions(
     target: DataFrame,
     source: DataFrame,

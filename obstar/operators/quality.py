@@ -6,13 +6,59 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.operators.keys import absent_from
 from obstar.schemas import EXPECTED_CITIES
 
 
+class ConstraintViolation(RuntimeError):
+    """Rows that must not be published."""
+
+
+class Guard:
+    """Constraints of rows, counted as they are written.
+
+    `rows` are the rows with the counters in their plan: writing them fills the counters,
+    nothing is read for the checks alone. `parents` is as for `orphans`.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        not_null: Sequence[str] = (),
+        parents: Mapping[str, tuple[DataFrame, str]] | None = None,
+    ):
+        parents = parents or {}
+        self._seen = Observation()
+        counters = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in not_null]
+        counters += [F.count_if(_orphan(fk)).alias(f"orphan {fk}") for fk in parents]
+        flagged = _with_parents(df, parents)
+        self.rows = flagged.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counters).select(*df.columns)
+
+    def checked(self) -> int:
+        """The number of rows that were written; fails if a constraint does not hold."""
+        counts = self._seen.get
+        broken = {k: n for k, n in counts.items() if k != "rows" and n}
+        if broken:
+            raise ConstraintViolation(", ".join(f"{k}: {n}" for k, n in sorted(broken.items())))
+        return counts["rows"]
+
+
+def check_unique(batch: DataFrame, keys: Sequence[str], offered: int, met: int, added: int) -> None:
+    """Uniqueness, asked of the keys that a batch brings only.
+
+    `batch` is the batch, which must not have a key twice; of `offered` keys `met` were
+    found in the target and `added` were not: more in all means that the target had one
+    twice.
+    """
+    twice = duplicate_keys(batch, keys).agg(F.count("*").alias("n")).first()["n"]
+    if twice or met + added != offered:
+        told = f"{twice} twice in the batch, {met + added - offered} more in the table"
+        raise ConstraintViolation(f"unique {', '.join(keys)}: {told}")
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column that must not have any, in one pass."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

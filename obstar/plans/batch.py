@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from dataclasses import replace as changed
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.functions import times
@@ -17,7 +17,7 @@ from obstar.operators.ingest import ERRORS
 from obstar.plans import staging, star
 from obstar.schemas import EXPECTED_CITIES
 from obstar.session import configure, materialize, run_folder
-from obstar.sources import landing, rejects, runlog, warehouse
+from obstar.sources import landing, lease, rejects, runlog, warehouse
 
 # fixed values: the processes of the log
 RUN, TRANSFER = "run_etl", "transfer_data_to_warehouse"
@@ -52,25 +52,34 @@ def run(
     batch: str | None = None,
     on_bad_time: str = "fail",
     expected: DataFrame | Sequence[str] | None = None,
+    lease_seconds: float = lease.SECONDS,
 ) -> Result:
     """Load all files of a landing folder."""
     configure(spark)
-    records = landing.read(spark, landing_path)
-    return load(spark, records, root, on_overflow, batch, None, on_bad_time, expected)
+
+    def records() -> DataFrame:
+        return landing.read(spark, landing_path)
+
+    return load(spark, records, root, on_overflow, batch, None, on_bad_time, expected, lease_seconds)
 
 
 def load(
     spark: SparkSession,
-    records: DataFrame,
+    records: DataFrame | Callable[[], DataFrame],
     root: str,
     on_overflow: str = "reject",
     batch: str | None = None,
     stream: tuple[str, int] | None = None,
     on_bad_time: str = "fail",
     expected: DataFrame | Sequence[str] | None = None,
+    lease_seconds: float = lease.SECONDS,
 ) -> Result:
     """Load landing records; logs the start and the end, also of a failure.
 
+    A load that starts while another one has the lease of the warehouse is refused before
+    it looks at its records (LeaseHeld, and a row in the log). The lease of a load that
+    died runs out after `lease_seconds`.
+
     `stream` is the identity of a stream, as its checkpoint keeps it, and the number
     of one of its batches; a batch that has been published already is skipped, so a
     replay changes nothing. `on_bad_time` says what a time that cannot be read does:
@@ -78,30 +87,38 @@ def load(
     complete run has (a list, or a frame with the column `nom`), by default those of
     the contract.
     """
-    started = datetime.now(timezone.utc)
+    started, batch = datetime.now(timezone.utc), batch or uuid.uuid4().hex
     log = log_path(root)
-    ids = iter(range(runlog.next_id(spark, log), 1 << 62))
 
     def record(process: str, status: str, **more) -> None:
-        runlog.append(spark, log, process, status, started, log_id=next(ids), **more)
+        runlog.append(spark, log, process, status, started, **more)
 
-    record(RUN, runlog.RUNNING)
-    steps: list[str] = []
     try:
-        with run_folder(spark, "load"):
-            result = _load(
-                spark, records, root, on_overflow, batch or uuid.uuid4().hex, stream, on_bad_time,
-                expected, steps,
-            )
-    except Exception as error:
-        ended = {"end_time": datetime.now(timezone.utc), "error_message": str(error)}
-        for process in [*steps, RUN]:
-            record(process, runlog.FAILED, **ended)
+        held = lease.take(spark, root, batch, lease_seconds)
+    except lease.LeaseHeld as refusal:
+        record(RUN, runlog.REFUSED, end_time=datetime.now(timezone.utc), error_message=str(refusal))
         raise
-    ended = {"end_time": datetime.now(timezone.utc), "rows_processed": result.counts.get("facts", 0)}
-    if result.status == runlog.SUCCESS:
-        record(TRANSFER, result.status, **ended)
-    record(RUN, result.status, **ended)
+    steps: list[str] = []
+    try:
+        record(RUN, runlog.RUNNING)
+        try:
+            with run_folder(spark, "load"):
+                result = _load(
+                    spark, records() if callable(records) else records, root, on_overflow, batch,
+                    stream, on_bad_time, expected, steps, held,
+                )
+        except Exception as error:
+            ended = {"end_time": datetime.now(timezone.utc), "error_message": str(error)}
+            for process in [*steps, RUN]:
+                record(process, runlog.FAILED, **ended)
+            raise
+        ended = {"end_time": datetime.now(timezone.utc), "rows_processed": result.counts.get("facts", 0)}
+        if result.status == runlog.SUCCESS:
+            record(TRANSFER, result.status, **ended)
+        record(RUN, result.status, **ended)
+        runlog.compact(spark, log)
+    finally:
+        held.release()
     return result
 
 
@@ -127,6 +144,7 @@ def _load(
     on_bad_time: str,
     expected: DataFrame | Sequence[str] | None,
     steps: list[str],
+    held: lease.Lease,
 ) -> Result:
     base = warehouse.current(spark, root)
     if stream and stream[1] <= base.streams.get(stream[0], -1):
@@ -139,11 +157,11 @@ def _load(
         parsed = _timed(materialize(_with_text(records, on_overflow), "read", spark)).withColumn(
             landing.TEXT, F.when(F.size(ERRORS) > 0, F.col(landing.TEXT))
         )
-    parsed = materialize(parsed, "parsed", spark)
-    counts = parsed.agg(
-        F.count("*").alias("records"), F.count_if(F.size(ERRORS) == 0).alias("valid")
-    ).first()
-    counts = counts.asDict()
+    seen = Observation()
+    counted = [F.count(F.lit(1)).alias("records"), F.count_if(F.size(ERRORS) == 0).alias("valid")]
+    parsed = materialize(parsed.observe(seen, *counted), "parsed", spark)
+    counts = dict(seen.get)
+    held.renew()
     refused = ingest.rejects(parsed, [landing.SOURCE, landing.TEXT])
 
     def skipped() -> Result:
@@ -164,6 +182,7 @@ def _load(
     coverage = quality.coverage(expected, staged.locations, "nom").first().asDict()
 
     steps.append(TRANSFER)
+    held.renew()
     loaded = star.load(staged, base)
     told = rejects.write(refused, root, rejects.RECORDS, batch, base.number + 1)
     unkeyed = rejects.write(loaded.rejects, root, rejects.OBSERVATIONS, batch, base.number + 1)
@@ -177,6 +196,7 @@ def _load(
     after = changed(loaded.snapshot, counts=counts | flat_coverage | flat_actions)
     if stream:
         after = changed(after, streams={**after.streams, stream[0]: stream[1]})
+    held.renew()
     warehouse.publish(after, batch)
     return Result(runlog.SUCCESS, counts, told, unkeyed, coverage, loaded.actions)
 

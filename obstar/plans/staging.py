@@ -6,7 +6,6 @@ import uuid
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,10 +17,12 @@ from obstar.operators.keys import lookup, present_in
 from obstar.operators.numbering import dense_ids
 from obstar.schemas import CONDITIONS_METEO, DONNEES_METEO, LIEUX, MEASURES, STAGING
 from obstar.session import remove, side_by_side
+from obstar.sources import numbered
 from obstar.sources.landing import ARRIVAL
 
 _NAME = ["nom", "region", "pays"]
 _LAST = "last_seen"
+_POINTERS, _POINTER = "current", "token STRING"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,9 @@ def empty(spark: SparkSession) -> Staging:
 def replace(staging: Staging, root: str) -> Staging:
     """Write the relations to a new folder, make it the current one, and return them.
 
-    A file names the current folder; earlier ones are removed once it does.
+    Numbered records name the folders; the highest one is the current. A load that dies
+    between its writes leaves the record before it in force. The folder before the current
+    one is removed once there is a new record.
     """
     run = uuid.uuid4().hex
     spark = staging.locations.sparkSession
@@ -84,27 +87,28 @@ def replace(staging: Staging, root: str) -> Staging:
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.parquet(path)
 
     side_by_side(*[partial(store, *table, df) for table, df in zip(STAGING.items(), frames)])
-    before = _current_run(spark, root)
-    pointer = spark.createDataFrame([(run,)], "value string").coalesce(1)
-    pointer.write.mode("overwrite").text(f"{root}/staging/current")
+    number, before = _current_run(spark, root)
+    numbered.append(spark, f"{root}/staging/{_POINTERS}", number + 1, (run,), _POINTER, run)
     if before is not None:
         remove(spark, f"{root}/staging/{before}")
     return read(spark, root)
 
 
-def _current_run(spark: SparkSession, root: str) -> str | None:
-    try:
-        row = spark.read.text(f"{root}/staging/current").first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return row["value"] if row else None
+def _current_run(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """The number of the current record and the folder it names."""
+    folder = f"{root}/staging/{_POINTERS}"
+    number = numbered.latest(spark, folder)
+    if not number:
+        return 0, None
+    row = numbered.read(spark, folder, number, _POINTER)
+    if row is None:
+        raise numbered.Taken(f"record {number} of {folder} is not one record")
+    return number, row["token"]
 
 
 def read(spark: SparkSession, root: str) -> Staging:
     """The current staging, empty before the first run."""
-    run = _current_run(spark, root)
+    _, run = _current_run(spark, root)
     if run is None:
         return empty(spark)
     base = f"{root}/staging/{run}"

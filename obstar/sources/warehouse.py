@@ -7,11 +7,14 @@ its record leaves everything as it was.
 
     <root>/commits/n=<number>/…json              the commit records
     <root>/<dimension>/<version>/…parquet        a dimension, whole
-    <root>/FaitDonneesMeteo/version=<version>/annee=/mois=/jour=/…parquet
+    <root>/FaitDonneesMeteo/version=<version>/annee=/mois=/jour=/seau=/…parquet
+    <root>/presence/version=<version>/…parquet   the locations of each part, as bitmaps
 
 Each load writes to folders of its own name, so two loads never share an output
-folder. The fact is kept by day. A commit record lists the version of each day: a load
-rewrites the days it touches and carries the others over by name.
+folder. The fact is kept in parts, by day and by bucket of the location's key. A commit
+record lists the version of each part: a load rewrites the parts its keys fall into and
+carries the others over by name. Keys are dense, so buckets are alike in size; a location
+that holds much of a day is written as several files of its part.
 """
 
 from __future__ import annotations
@@ -20,26 +23,40 @@ import uuid
 from collections.abc import Collection
 from dataclasses import dataclass, field, replace
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obstar.operators import presence
 from obstar.schemas import FAIT, WAREHOUSE
+from obstar.sources import numbered
 
 FACT = "FaitDonneesMeteo"
 DAY = ["annee", "mois", "jour"]
-FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) for c in DAY]])
+BUCKET = "seau"
+PART = [*DAY, BUCKET]
+LOCATION = "id_dim_lieu_fk"
+#: Buckets of a new warehouse; its commits keep the number.
+BUCKETS = 16
+FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) for c in PART]])
+PRESENCE_STORED = T.StructType(
+    [
+        *[T.StructField(c, T.IntegerType()) for c in PART],
+        T.StructField(presence.BLOCK, T.LongType()),
+        T.StructField(presence.BITS, T.BinaryType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
 
 _RECORD = (
     "batch STRING, dims MAP<STRING, STRING>, "
-    "days ARRAY<STRUCT<annee: INT, mois: INT, jour: INT, version: STRING, rows: BIGINT>>, "
-    "top_fact_id BIGINT, streams MAP<STRING, BIGINT>, counts MAP<STRING, BIGINT>, token STRING"
+    "parts ARRAY<STRUCT<annee: INT, mois: INT, jour: INT, seau: INT, version: STRING, rows: BIGINT>>, "
+    "buckets INT, top_fact_id BIGINT, streams MAP<STRING, BIGINT>, counts MAP<STRING, BIGINT>, token STRING"
 )
 
 
 DayKey = tuple[int, int, int]
+PartKey = tuple[int, int, int, int]
 
 
 class ConcurrentLoad(RuntimeError):
@@ -47,15 +64,20 @@ class ConcurrentLoad(RuntimeError):
 
 
 @dataclass(frozen=True)
-class Day:
+class Part:
     annee: int
     mois: int
     jour: int
+    seau: int
     version: str
     rows: int
 
     @property
-    def key(self) -> DayKey:
+    def key(self) -> PartKey:
+        return self.annee, self.mois, self.jour, self.seau
+
+    @property
+    def day(self) -> DayKey:
         return self.annee, self.mois, self.jour
 
 
@@ -68,80 +90,90 @@ class Snapshot:
     number: int = 0
     batch: str | None = None
     dims: dict[str, str] = field(default_factory=dict)
-    days: tuple[Day, ...] = ()
+    parts: tuple[Part, ...] = ()
+    buckets: int = BUCKETS
     top_fact_id: int = 0
     streams: dict[str, int] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def days(self) -> set[DayKey]:
+        return {p.day for p in self.parts}
+
+    def bucket_of(self, location: Column) -> Column:
+        """The bucket of a location's key."""
+        return F.pmod(location, F.lit(self.buckets)).cast("int")
+
     def dim(self, name: str) -> DataFrame:
         schema = WAREHOUSE[name]
         if name not in self.dims:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{self.dims[name]}")
 
-    def fact(self, days: Collection[DayKey] | None = None) -> DataFrame:
-        """The fact with its storage columns, of the given days or of all."""
-        kept = [d for d in self.days if days is None or d.key in days]
+    def fact(self, parts: Collection[PartKey] | None = None) -> DataFrame:
+        """The fact with its storage columns, of the given parts or of all."""
+        kept = [p for p in self.parts if parts is None or p.key in parts]
         if not kept:
             return self.spark.createDataFrame([], FACT_STORED)
         base = f"{self.root}/{FACT}"
         paths = [
-            f"{base}/version={d.version}/annee={d.annee}/mois={d.mois}/jour={d.jour}" for d in kept
+            f"{base}/version={p.version}/annee={p.annee}/mois={p.mois}/jour={p.jour}/seau={p.seau}"
+            for p in kept
         ]
         stored = self.spark.read.schema(FACT_STORED).option("basePath", base).parquet(*paths)
         return stored.select(*FACT_STORED.names)
 
+    def parts_of(self, days: Collection[DayKey]) -> set[PartKey]:
+        return {p.key for p in self.parts if p.day in days}
+
+    def presence(self, days: Collection[DayKey] | None = None) -> DataFrame:
+        """The bitmaps of the locations that have facts, by part."""
+        kept = [p for p in self.parts if days is None or p.day in days]
+        if not kept:
+            return self.spark.createDataFrame([], PRESENCE_STORED)
+        base = f"{self.root}/presence"
+        paths = sorted({f"{base}/version={p.version}" for p in kept})
+        version = T.StructType([*PRESENCE_STORED.fields, T.StructField("version", T.StringType())])
+        stored = self.spark.read.schema(version).option("basePath", base).parquet(*paths)
+        # a version has parts that later ones replaced
+        names = self.spark.createDataFrame([(*p.key, p.version) for p in kept], ", ".join(f"{c} int" for c in PART) + ", version string")
+        return stored.join(names, [*PART, "version"], "left_semi").select(*PRESENCE_STORED.names)
+
     def newest_days(self, n: int) -> set[DayKey]:
         """The latest days that together hold at least n facts."""
+        rows: dict[DayKey, int] = {}
+        for part in self.parts:
+            rows[part.day] = rows.get(part.day, 0) + part.rows
         wanted: set[DayKey] = set()
         found = 0
-        for day in sorted(self.days, key=lambda d: d.key, reverse=True):
+        for day in sorted(rows, reverse=True):
             if found >= n:
                 break
-            wanted.add(day.key)
-            found += day.rows
+            wanted.add(day)
+            found += rows[day]
         return wanted
 
 
-def latest_commit(spark: SparkSession, root: str) -> int | None:
-    """The highest number of a commit, None before the first one."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-    )
-    number = F.regexp_extract("path", r"/commits/n=(\d+)/[^/]*$", 1).cast("bigint")
-    try:
-        # only names are read here: records of earlier commits are never opened
-        return listing.load(f"{root}/commits").agg(F.max(number).alias("n")).first()["n"]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _record(spark: SparkSession, root: str, number: int) -> Row:
-    """The record of a commit. Two loaders may have written one each where the file
-    system does not refuse the second: neither is followed then."""
-    found = spark.read.schema(_RECORD).json(f"{root}/commits/n={number}").take(2)
-    if len(found) != 1:
-        raise ConcurrentLoad(f"commit {number} of {root} does not have one record")
-    return found[0]
+def _folder(root: str) -> str:
+    return f"{root}/commits"
 
 
 def current(spark: SparkSession, root: str) -> Snapshot:
     """The latest published snapshot; empty before the first one."""
-    latest = latest_commit(spark, root)
-    if latest is None:
+    latest = numbered.latest(spark, _folder(root))
+    if not latest:
         return Snapshot(spark, root)
-    row = _record(spark, root, latest)
+    row = numbered.read(spark, _folder(root), latest, _RECORD)
+    if row is None:
+        raise ConcurrentLoad(f"commit {latest} of {root} does not have one record")
     return Snapshot(
         spark,
         root,
         latest,
         row["batch"],
         dict(row["dims"] or {}),
-        tuple(Day(**d.asDict()) for d in row["days"] or []),
+        tuple(Part(**p.asDict()) for p in row["parts"] or []),
+        row["buckets"],
         row["top_fact_id"],
         dict(row["streams"] or {}),
         dict(row["counts"] or {}),
@@ -168,20 +200,24 @@ def write_dim(base: Snapshot, name: str, rows: DataFrame, version: str) -> DataF
     return base.spark.read.schema(schema).parquet(path)
 
 
-def write_days(
-    base: Snapshot, rows: DataFrame, version: str, touched: Collection[DayKey]
-) -> list[Day]:
-    """Store the whole content of the touched days."""
+def write_parts(
+    base: Snapshot, rows: DataFrame, version: str, touched: Collection[PartKey]
+) -> list[Part]:
+    """Store the whole content of the touched parts, and which locations they have."""
     if not touched:
         return []
     stored = rows.select(*FACT_STORED.names)
     if len(touched) > 1:
-        # files of a reasonable size per day; large days are split
-        stored = stored.hint("rebalance", *DAY)
-    stored.write.partitionBy(*DAY).parquet(f"{base.root}/{FACT}/version={version}")
-    written = replace(base, days=tuple(Day(*key, version, 0) for key in touched))
-    counted = written.fact().groupBy(*DAY).agg(F.count("*").alias("rows")).collect()
-    return [Day(*(r[c] for c in DAY), version, r["rows"]) for r in counted]
+        # files of a reasonable size per part; large parts are split
+        stored = stored.hint("rebalance", *PART)
+    stored.write.partitionBy(*PART).parquet(f"{base.root}/{FACT}/version={version}")
+    written = replace(base, parts=tuple(Part(*key, version, 0) for key in touched))
+    # of what was written, one column is read again
+    presence.by(written.fact(), PART, LOCATION).select(*PRESENCE_STORED.names).write.parquet(
+        f"{base.root}/presence/version={version}"
+    )
+    counted = written.presence().groupBy(*PART).agg(F.sum("rows").alias("rows")).collect()
+    return [Part(*(r[c] for c in PART), version, r["rows"]) for r in counted]
 
 
 def publish(after: Snapshot, batch: str) -> Snapshot:
@@ -191,22 +227,17 @@ def publish(after: Snapshot, batch: str) -> Snapshot:
     record = (
         batch,
         after.dims,
-        [(*d.key, d.version, d.rows) for d in after.days],
+        [(*p.key, p.version, p.rows) for p in after.parts],
+        after.buckets,
         after.top_fact_id,
         after.streams,
         after.counts,
         token,
     )
-    row = after.spark.createDataFrame([record], _RECORD).coalesce(1)
     try:
-        row.write.mode("errorifexists").json(f"{after.root}/commits/n={number}")
-    except (AnalysisException, Py4JJavaError) as error:
-        # however the file system says so: a record is there and it is not this one
-        if (latest_commit(after.spark, after.root) or 0) < number:
-            raise
-        raise ConcurrentLoad(f"commit {number} was published by another load") from error
-    if _record(after.spark, after.root, number)["token"] != token:
-        raise ConcurrentLoad(f"commit {number} was published by another load")
+        numbered.append(after.spark, _folder(after.root), number, record, _RECORD, token)
+    except numbered.Taken as taken:
+        raise ConcurrentLoad(f"commit {number} was published by another load") from taken
     return replace(after, number=number, batch=batch)
 
 
@@ -216,4 +247,4 @@ def reset(spark: SparkSession, root: str) -> Snapshot:
     Progress of streams goes, too: a batch that is sent again is loaded again.
     """
     base = current(spark, root)
-    return publish(replace(Snapshot(spark, root), number=base.number), "reset")
+    return publish(replace(Snapshot(spark, root), number=base.number, buckets=base.buckets), "reset")

@@ -56,7 +56,7 @@ def test_first_run(spark, root, land):
     assert rows(result.record_rejects, "field", "reason") == [("$", "malformed"), ("uv", "missing")]
     snapshot = warehouse.current(spark, root)
     assert snapshot.number == 1
-    assert [d.key for d in sorted(snapshot.days, key=lambda d: d.key)] == [(2024, 2, 28), (2024, 3, 9)]
+    assert sorted(snapshot.days) == [(2024, 2, 28), (2024, 3, 9)]
     assert rows(snapshot.dim("DimLieux"), "id_dim_lieu", "nom_ville") == [(1, "Dakar"), (2, "Lome"), (3, "Thies")]
     assert rows(snapshot.dim("DimTemps"), "id_dim_temps", "mois", "heure", "minute") == [
         (1, 2, 10, 0), (2, 3, 7, 30), (3, 3, 13, 5),
@@ -89,9 +89,10 @@ def test_second_run_updates_and_adds(spark, root, land):
         root,
     )
     second = warehouse.current(spark, root)
-    # only the day of the late row and the new day are written; others are carried over by name
-    kept = {d.key for d in second.days if d in first.days}
-    assert kept == {(2024, 2, 28)} and {d.key for d in second.days} - kept == {(2024, 3, 9), (2024, 3, 10)}
+    # only the part of the late row and the new part are written; others are carried over by name
+    kept = {p.key for p in second.parts if p in first.parts}
+    assert {p.key for p in second.parts} - kept == {(2024, 3, 9, 1), (2024, 3, 10, 4)}
+    assert kept == {(2024, 2, 28, 2), (2024, 3, 9, 3)}
     assert rows(second.dim("DimConditionsMeteo")) == [(1, 1000, "Clear"), (2, 1003, "Cloudy"), (3, 1009, "Mist")]
     assert rows(second.dim("DimLieux"), "id_dim_lieu", "nom_ville")[-1] == (4, "Bamako")
     got = {r["id_observation_horaire"]: r["temperature_celsius"] for r in second.fact().collect()}
@@ -187,7 +188,7 @@ def test_failure_between_writes_leaves_the_old_version(spark, root, land, monkey
         raise OSError("disk full")
 
     with monkeypatch.context() as patched:
-        patched.setattr(warehouse, "write_days", fail)
+        patched.setattr(warehouse, "write_parts", fail)
         with pytest.raises(OSError, match="disk full"):
             batch.run(spark, land("b", record("Kara", "Kara", "Togo")), root)
     assert warehouse.current(spark, root) == before
@@ -270,7 +271,7 @@ def test_one_late_row_rewrites_one_day(spark, root, land):
     before = warehouse.current(spark, root)
     batch.run(spark, land("b", record(time="2024-03-04 11:00")), root)
     after = warehouse.current(spark, root)
-    assert [d.key for d in after.days if d not in before.days] == [(2024, 3, 4)]
+    assert [p.day for p in after.parts if p not in before.parts] == [(2024, 3, 4)]
     assert after.fact().count() == 11
 
 
