@@ -53,6 +53,7 @@ def run(
     on_bad_time: str = "fail",
     expected: DataFrame | Sequence[str] | None = None,
     lease_seconds: float = lease.SECONDS,
+    buckets: int | None = None,
 ) -> Result:
     """Load all files of a landing folder."""
     configure(spark)
@@ -60,7 +61,9 @@ def run(
     def records() -> DataFrame:
         return landing.read(spark, landing_path)
 
-    return load(spark, records, root, on_overflow, batch, None, on_bad_time, expected, lease_seconds)
+    return load(
+        spark, records, root, on_overflow, batch, None, on_bad_time, expected, lease_seconds, buckets
+    )
 
 
 def load(
@@ -73,12 +76,15 @@ def load(
     on_bad_time: str = "fail",
     expected: DataFrame | Sequence[str] | None = None,
     lease_seconds: float = lease.SECONDS,
+    buckets: int | None = None,
 ) -> Result:
     """Load landing records; logs the start and the end, also of a failure.
 
     A load that starts while another one has the lease of the warehouse is refused before
     it looks at its records (LeaseHeld, and a row in the log). The lease of a load that
-    died runs out after `lease_seconds`.
+    died runs out after `lease_seconds`. The first load of a warehouse may say into how many
+    `buckets` of locations a day is cut: what a late record makes a load rewrite is one of
+    them, so a day should have as many as its files of a good size.
 
     `stream` is the identity of a stream, as its checkpoint keeps it, and the number
     of one of its batches; a batch that has been published already is skipped, so a
@@ -105,7 +111,7 @@ def load(
             with run_folder(spark, "load"):
                 result = _load(
                     spark, records() if callable(records) else records, root, on_overflow, batch,
-                    stream, on_bad_time, expected, steps, held,
+                    stream, on_bad_time, expected, steps, held, buckets,
                 )
         except Exception as error:
             ended = {"end_time": datetime.now(timezone.utc), "error_message": str(error)}
@@ -145,8 +151,11 @@ def _load(
     expected: DataFrame | Sequence[str] | None,
     steps: list[str],
     held: lease.Lease,
+    buckets: int | None,
 ) -> Result:
     base = warehouse.current(spark, root)
+    if buckets and not base.parts:
+        base = changed(base, buckets=buckets)
     if stream and stream[1] <= base.streams.get(stream[0], -1):
         return Result(runlog.REPLAYED)
 

@@ -51,6 +51,13 @@ def scratch_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+def listed(spark: SparkSession, path: str) -> list[str] | None:
+    """The names in one folder, wherever Spark can read; None if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else None
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder, wherever Spark can write."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

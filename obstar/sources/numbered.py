@@ -12,7 +12,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row, SparkSession
 
-from obstar.session import remove
+from obstar.session import listed, remove
 
 
 class Taken(RuntimeError):
@@ -29,12 +29,10 @@ def _path(folder: str, number: int) -> str:
 
 def _there(spark: SparkSession, path: str) -> bool | None:
     """Whether a record is there; None for a folder that a writer left without one."""
-    try:
-        return bool(spark.read.schema("token STRING").json(path).inputFiles()) or None
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    names = listed(spark, path)
+    if names is None:
         return False
+    return any(n.endswith(".json") for n in names) or None
 
 
 def latest(spark: SparkSession, folder: str) -> int:

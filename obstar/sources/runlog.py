@@ -5,14 +5,13 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obstar.operators.dedupe import last_per_key
 from obstar.schemas import RUN_LOG
-from obstar.session import remove
+from obstar.session import listed, remove
 
 # fixed values: what a row of the log says of a run
 RUNNING, SUCCESS, FAILED, SKIPPED = "running", "success", "failed", "skipped_empty"
@@ -28,12 +27,9 @@ WIDTH = 16
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     """All rows, some of them twice: a file stays for a while after it was put together."""
-    try:
-        return spark.read.schema(_STORED).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if listed(spark, path) is None:
         return spark.createDataFrame([], _STORED)
+    return spark.read.schema(_STORED).option("recursiveFileLookup", "true").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -70,20 +66,12 @@ def append(
 
 def _level(spark: SparkSession, path: str, level: int) -> dict[str, set[str]]:
     """The folders of a level with the entries in them."""
-    try:
-        rows = (
-            spark.read.schema(_STORED)
-            .option("recursiveFileLookup", "true")
-            .parquet(f"{path}/{_LEVEL}={level}")
-            .select(F.regexp_extract("_metadata.file_path", r"/([0-9a-f]+)/[^/]*$", 1).alias("folder"), _ENTRY)
-            .collect()
-        )
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if listed(spark, f"{path}/{_LEVEL}={level}") is None:
         return {}
+    stored = spark.read.schema(_STORED).option("recursiveFileLookup", "true").parquet(f"{path}/{_LEVEL}={level}")
+    folder = F.regexp_extract("_metadata.file_path", r"/([0-9a-f]+)/[^/]*$", 1)
     folders: dict[str, set[str]] = {}
-    for row in rows:
+    for row in stored.select(folder.alias("folder"), _ENTRY).collect():
         folders.setdefault(row["folder"], set()).add(row[_ENTRY])
     return folders
 
@@ -96,6 +84,8 @@ def compact(spark: SparkSession, path: str, width: int = WIDTH) -> None:
     at most some 2 * `width` files, and the log's files grow with the logarithm of its
     rows. Only a level that has enough files makes the next one be looked at.
     """
+    if len(listed(spark, f"{path}/{_LEVEL}=0") or ()) < width:
+        return
     level, below = 0, _level(spark, path, 0)
     while len(below) >= width:
         above = _level(spark, path, level + 1)

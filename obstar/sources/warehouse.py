@@ -36,8 +36,8 @@ DAY = ["annee", "mois", "jour"]
 BUCKET = "seau"
 PART = [*DAY, BUCKET]
 LOCATION = "id_dim_lieu_fk"
-#: Buckets of a new warehouse; its commits keep the number.
-BUCKETS = 16
+#: Buckets of a new warehouse, unless its first load says otherwise; its commits keep the number.
+BUCKETS = 4
 FACT_STORED = T.StructType([*FAIT.fields, *[T.StructField(c, T.IntegerType()) for c in PART]])
 PRESENCE_STORED = T.StructType(
     [

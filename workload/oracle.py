@@ -487,6 +487,13 @@ fact_ids AS (
   FROM facts_run WHERE half = last_half)"""
 )
 
+_PARTS = """
+parted AS (
+  SELECT f.*, CAST(year(datetime_observation) AS INTEGER) AS annee,
+    CAST(month(datetime_observation) AS INTEGER) AS mois, CAST(day(datetime_observation) AS INTEGER) AS jour,
+    CAST(id_dim_lieu % 4 AS INTEGER) AS seau
+  FROM fact_ids f)"""
+
 _PUBLISHED = f"""WITH {_RUN}
 SELECT f.id_observation_horaire, f.id_dim_lieu, f.id_dim_temps, f.id_dim_condition, d.nom AS nom_ville,
   d.region, d.pays, CAST(f.datetime_observation AS DATE) AS date,
@@ -505,6 +512,53 @@ SELECT nom, f.datetime_observation AS first_datetime_observation,
   f.temperature_celsius AS first_temperature_celsius, l.datetime_observation AS last_datetime_observation,
   l.temperature_celsius AS last_temperature_celsius
 FROM ends f JOIN ends l USING (nom) WHERE f.first = 1 AND l.last = 1""",
+    "pipeline_parts": f"""WITH {_RUN}, {_PARTS}
+SELECT annee, mois, jour, seau, max(last_half)::BIGINT AS wrote, count(*) AS facts
+FROM parted GROUP BY annee, mois, jour, seau""",
+    "pipeline_city_parts": f"""WITH {_RUN}, {_PARTS}
+SELECT annee, mois, jour, seau, count(*) AS facts, count(*) FILTER (nom = 'Customer#000000007') AS of_city
+FROM parted GROUP BY annee, mois, jour, seau HAVING of_city > 0""",
+    "pipeline_day_coverage": f"""WITH {_RUN}, {_PARTS},
+wanted AS (SELECT count(DISTINCT c_name) AS expected FROM customer)
+SELECT annee, mois, jour, expected, count(DISTINCT id_dim_lieu) AS seen,
+  expected - count(DISTINCT id_dim_lieu) AS missing
+FROM parted, wanted GROUP BY annee, mois, jour, expected""",
+    "guarded_log": f"""WITH {_RUN},
+loads AS (SELECT half, count(id_dim_lieu) AS facts FROM keyed_run GROUP BY half),
+told(log_id, process_name, status, half, error) AS (VALUES
+  (1, 'run_etl', 'refused', 0, 'holds the lease'),
+  (2, 'run_etl', 'running', 0, ''),
+  (3, 'transfer_data_to_warehouse', 'success', 1, ''),
+  (4, 'run_etl', 'success', 1, ''),
+  (5, 'run_etl', 'running', 0, ''),
+  (6, 'run_etl', 'skipped_empty', -1, ''),
+  (7, 'run_etl', 'running', 0, ''),
+  (8, 'transfer_data_to_warehouse', 'failed', 0, 'orphan id_dim_lieu_fk'),
+  (9, 'run_etl', 'failed', 0, 'orphan id_dim_lieu_fk'),
+  (10, 'run_etl', 'running', 0, ''),
+  (11, 'transfer_data_to_warehouse', 'success', 2, ''),
+  (12, 'run_etl', 'success', 2, ''))
+SELECT CAST(log_id AS BIGINT) AS log_id, process_name, status,
+  CASE WHEN t.half = -1 THEN 0 ELSE facts END AS rows_processed, error
+FROM told t LEFT JOIN loads l ON t.half = l.half""",
+    "guarded_commits": """
+SELECT number, batch
+FROM (VALUES (1::BIGINT, 'load'), (2, 'lost rows'), (3, 'reset'), (4, 'load')) t(number, batch)
+WHERE (SELECT count(*) FROM events) > 0""",
+    "reset_facts": f"""WITH {_RUN},
+late AS (
+  SELECT k.*, dense_rank() OVER (ORDER BY nom) AS id_l FROM last_lieux k WHERE half = 2),
+late_minutes AS (SELECT m, row_number() OVER (ORDER BY m) AS id_t FROM (
+  SELECT DISTINCT datetime_observation AS m FROM staged WHERE half = 2)),
+late_conditions AS (SELECT code_condition, row_number() OVER (ORDER BY code_condition) AS id_c FROM (
+  SELECT DISTINCT code_condition FROM landed WHERE half = 2))
+SELECT row_number() OVER (ORDER BY id_l, id_t) AS id_observation_horaire, id_l AS id_dim_lieu,
+  id_t AS id_dim_temps, id_c AS id_dim_condition, nom AS nom_ville, region, pays,
+  CAST(datetime_observation AS DATE) AS date, CAST(hour(datetime_observation) AS INTEGER) AS heure,
+  CAST(minute(datetime_observation) AS INTEGER) AS minute, texte_condition, {_MEASURES}
+FROM (SELECT * FROM staged WHERE half = 2) s
+JOIN (SELECT nom, region, pays, id_l FROM late) USING (nom, region, pays)
+JOIN late_minutes ON m = datetime_observation JOIN late_conditions USING (code_condition)""",
     "pipeline_facts": _PUBLISHED,
     "stream_facts": _PUBLISHED,
     "pipeline_second_run": f"""WITH {_RUN}

@@ -9,23 +9,26 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.functions.measures import decimals_as_double
-from obstar.operators import ingest, serving
+from obstar.operators import ingest, quality, serving
 from obstar.operators.dedupe import first_per_key, last_per_key
-from obstar.plans import batch, staging
+from obstar.plans import batch, staging, views
 from obstar.plans.star import star_of
 from obstar.schemas import MEASURES
 from obstar.session import materialize, scratch_root
-from obstar.sources import landing, rejects, runlog, warehouse
+from obstar.sources import landing, lease, rejects, runlog, warehouse
+from obstar.sources.warehouse import DAY, LOCATION, PART
 from obstar.streaming import incremental
 from workload import mappings as M
 
 EVENTS_PER_FILE, FIRST_FILE, ELSEWHERE = 500, 10**9, "AAA"
+CITY = "Customer#000000007"
 
 
 def landing_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
@@ -92,6 +95,7 @@ def forget() -> None:
     """Load anew at the next call."""
     _loaded.cache_clear()
     _streamed.cache_clear()
+    _guarded.cache_clear()
 
 
 def _files(spark: SparkSession, sf_dir: str) -> tuple:
@@ -187,6 +191,90 @@ def pipeline_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("log_id", "process_name", "status", "rows_processed", "error_message")
 
 
+def pipeline_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of the fact, with the load that wrote each, as its files' names tell."""
+    snapshot = warehouse.current(spark, loaded(spark, sf_dir))
+    wrote = F.regexp_extract(F.input_file_name(), r"/version=(\d+)-", 1).cast("bigint")
+    return snapshot.fact().groupBy(*PART, wrote.alias("wrote")).agg(F.count("*").alias("facts"))
+
+
+def pipeline_city_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts that are read for the facts of one city, and how many of its facts they hold."""
+    snapshot = warehouse.current(spark, loaded(spark, sf_dir))
+    dim = snapshot.dim("DimLieux").where(F.col("nom_ville") == CITY).select(F.col("id_dim_lieu").alias(LOCATION))
+    read = snapshot.fact(views.parts_with(snapshot, CITY))
+    mine = read.join(dim.withColumn("mine", F.lit(1)), LOCATION, "left")
+    return mine.groupBy(*PART).agg(F.count("*").alias("facts"), F.count("mine").alias("of_city"))
+
+
+def pipeline_day_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the expected cities have facts on each day, from the bitmaps."""
+    snapshot = warehouse.current(spark, loaded(spark, sf_dir))
+    return views.coverage(snapshot, cities(spark, sf_dir), DAY)
+
+
+@lru_cache(maxsize=8)
+def _guarded(spark: SparkSession, application: str, sf_dir: str, tables: tuple) -> str:
+    """A warehouse that loads were kept from, or that was taken back.
+
+    A load while another holds the lease; the first half once that lease has run out; a
+    landing folder without a valid record; the second half while cities are missing in the
+    dimension; a reset; the second half.
+    """
+    folder = _new_folder(spark)
+    root, landed = f"{folder}/warehouse", f"{folder}/landing"
+    landing_files(spark, sf_dir, landed)
+
+    def run(path: str, refused: type[Exception] | None = None) -> None:
+        try:
+            batch.run(spark, path, root, expected=cities(spark, sf_dir))
+        except Exception as error:
+            if refused is None or not isinstance(error, refused):
+                raise
+
+    held = lease.take(spark, root, "a load that died", 3600)
+    run(f"{landed}/half=1", lease.LeaseHeld)
+    held.end()
+    run(f"{landed}/half=1")
+
+    rejects.read(spark, root, rejects.RECORDS).select("text").write.text(f"{landed}/refused")
+    run(f"{landed}/refused")
+
+    base = warehouse.current(spark, root)
+    version = warehouse.new_version(base)
+    half = base.dim("DimLieux").where(F.col("id_dim_lieu") % 2 == 0)
+    warehouse.write_dim(base, "DimLieux", half, version)
+    warehouse.publish(replace(base, dims={**base.dims, "DimLieux": version}), "lost rows")
+    run(f"{landed}/half=2", quality.ConstraintViolation)
+
+    warehouse.reset(spark, root)
+    run(f"{landed}/half=2")
+    return root
+
+
+def guarded(spark: SparkSession, sf_dir: str) -> str:
+    return _guarded(spark, spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir))
+
+
+def guarded_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of loads that were refused, had nothing to load, or failed a check."""
+    log = runlog.read(spark, batch.log_path(guarded(spark, sf_dir)))
+    what = F.regexp_extract("error_message", r"(holds the lease|orphan \w+)", 1)
+    return log.select("log_id", "process_name", "status", "rows_processed", F.coalesce(what, F.lit("")).alias("error"))
+
+
+def guarded_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commits of the same loads: those that were kept from it have none."""
+    told = warehouse.history(spark, guarded(spark, sf_dir))
+    named = F.when(F.col("batch").isin("lost rows", "reset"), F.col("batch")).otherwise("load")
+    return told.select("number", named.alias("batch"))
+
+
+def reset_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star join after a reset and one load: nothing from before it is left."""
+    return _served(spark, guarded(spark, sf_dir))
+
+
 def landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first and the last line of each city, whose records meet in the same files."""
     folder = f"{_new_folder(spark)}/landing"
@@ -215,6 +303,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         pipeline_facts, stream_facts, pipeline_second_run, pipeline_staging, pipeline_rejects,
-        pipeline_record_rejects, pipeline_coverage, pipeline_log, landing_order,
+        pipeline_record_rejects, pipeline_coverage, pipeline_log, landing_order, pipeline_parts,
+        pipeline_city_parts, pipeline_day_coverage, guarded_log, guarded_commits, reset_facts,
     )
 }
