@@ -4,36 +4,105 @@ Rows are offered one after the other in a stated order; a row is kept if none of
 its keys has been taken. Deduplicating by one key and then by the other gives a
 different answer: of (1,A), (2,A), (2,B) the first and the last are kept.
 
-Each round accepts the rows that come first under every one of their keys and
+A round accepts the rows that come first under every one of their keys and
 drops the rows that share a key with an accepted row. This gives the sequential
 answer (see Blelloch, Fineman, Shun: Greedy sequential maximal independent set
-and matching are parallel on average, SPAA 2012), usually in a few rounds. A chain
-of conflicts, each row in the way of the next, takes a round per link; `max_rounds`
-says when that is no longer worth it.
+and matching are parallel on average, SPAA 2012), usually in a few rounds, each of which
+settles a good part of what is left.
+
+Where conflicts form chains, each row in the way of the next, a round settles a link. A
+round that settles less than a tenth of the rows is therefore followed by another step: the
+components of the conflicts are found, and the first rows of each, in the stated order and
+at most `GROUP` of them, are settled one after the other in a task of their own. Rows
+depend on earlier rows of their component only, so this is exact; a component of more rows
+is settled `GROUP` rows at a time. So the steps grow with the longest chain divided by
+`GROUP`, and a task never holds more than that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import functions as F
 
+from obstar.operators import components
 from obstar.operators.dedupe import first_per_key, total_order
-from obstar.operators.keys import absent_from, present_in
+from obstar.operators.keys import absent_from
 from obstar.operators.merge import fresh_rows
+from obstar.operators.numbering import dense_ids
 from obstar.session import materialize
 
+#: Rows of a component that one task settles at a time.
+GROUP = 100_000
+#: Share of the undecided rows that a round must settle to be followed by another one.
+LEAST = 0.1
+_RANK, _COMPONENT, _PLACE = "_rank", "_component", "_place"
+
 
 class TooManyRounds(RuntimeError):
     """Rows were still undecided after the last round that was allowed."""
 
 
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A frame as stored, and the number of its rows."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return stored, seen.get["n"]
+
+
+def _first_under_all(left: DataFrame, unique_keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows that come first under every key: their number is the least of each."""
+    winners = None
+    for key in unique_keys:
+        first = left.groupBy(*key).agg(F.min(_RANK).alias(_RANK)).select(_RANK)
+        winners = first if winners is None else winners.join(first, _RANK, "left_semi")
+    return left.join(winners, _RANK, "left_semi")
+
+
+def _settled(unique_keys: Sequence[Sequence[str]]):
+    """Rows of one component to the ranks of those that are kept, one after the other."""
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        ordered = rows.sort_values(_RANK)
+        taken: list[set] = [set() for _ in unique_keys]
+        kept = []
+        offered: Iterator = zip(ordered[_RANK], *[zip(*[ordered[c] for c in key]) for key in unique_keys])
+        for rank, *values in offered:
+            if any(v in seen for v, seen in zip(values, taken)):
+                continue
+            kept.append(rank)
+            for v, seen in zip(values, taken):
+                seen.add(v)
+        return pd.DataFrame({_RANK: pd.Series(kept, dtype="int64")})
+
+    return settle
+
+
+def _first_of_components(left: DataFrame, unique_keys: Sequence[Sequence[str]], group: int) -> tuple[DataFrame, DataFrame]:
+    """The first rows of each component, and the ranks of those that are kept.
+
+    Rows that share no key with another are in no component: they are kept.
+    """
+    identity = list(dict.fromkeys(c for key in unique_keys for c in key))
+    found = components.of_rows(left, _RANK, unique_keys, _COMPONENT)
+    in_order = Window.partitionBy(_COMPONENT).orderBy(_RANK)
+    # only the first rows of a component leave the tasks that read it
+    placed = found.withColumn(_PLACE, F.row_number().over(in_order)).where(F.col(_PLACE) <= group)
+    first = materialize(left.select(_RANK, *identity).join(placed.drop(_PLACE), _RANK), "first-of-components")
+    kept = first.groupBy(_COMPONENT).applyInPandas(_settled(unique_keys), f"{_RANK} bigint")
+    alone = left.select(_RANK).join(found.select(_RANK), _RANK, "left_anti")
+    return first, kept.unionByName(alone)
+
+
 def insert_ignore_all(
     target: DataFrame,
     source: DataFrame,
     unique_keys: Sequence[Sequence[str]],
     order_by: Sequence[str],
     max_rounds: int | None = None,
+    group: int = GROUP,
 ) -> DataFrame:
     """Add the rows of `source` that conflict with nothing before them.
 
@@ -45,20 +114,26 @@ def insert_ignore_all(
     left = first_per_key(source, identity, order)
     for key in unique_keys:
         left = fresh_rows(target, left, key)
-    left = materialize(left, "unsettled")
+    left, remaining = _stored(dense_ids(left, order, _RANK), "unsettled")
 
     accepted: list[DataFrame] = []
-    while (remaining := left.count()) > 0:
+    chained = False
+    while remaining:
         if max_rounds is not None and len(accepted) >= max_rounds:
             raise TooManyRounds(f"{remaining} rows undecided after {max_rounds} rounds")
-        winners = first_per_key(left, unique_keys[0], order)
-        for key in unique_keys[1:]:
-            winners = present_in(winners, first_per_key(left, key, order), identity)
-        winners = materialize(winners, "accepted")
+        if chained:
+            first, kept = _first_of_components(left, unique_keys, group)
+            winners = materialize(left.join(kept, _RANK, "left_semi"), "accepted")
+            # those of the first that were not kept share a key with one that was
+            left = left.join(first.select(_RANK), _RANK, "left_anti")
+        else:
+            winners = materialize(_first_under_all(left, unique_keys), "accepted")
         accepted.append(winners)
         for key in unique_keys:
             left = absent_from(left, winners, key)
-        left = materialize(left, "unsettled")
+        before = remaining
+        left, remaining = _stored(left, "unsettled")
+        chained = before - remaining < before * LEAST
 
     result = target
     for rows in accepted:

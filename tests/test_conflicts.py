@@ -5,6 +5,7 @@ import random
 import pytest
 from helpers import rows
 
+from obstar.operators.components import of_rows
 from obstar.operators.conflicts import TooManyRounds, insert_ignore_all
 
 PAIR = "code int, text string"
@@ -68,5 +69,26 @@ def test_chain_of_conflicts(spark):
 
 
 def test_rounds_can_be_bounded(spark):
-    with pytest.raises(TooManyRounds, match="rows undecided after 3 rounds"):
-        insert(spark, [], CHAIN, max_rounds=3)
+    with pytest.raises(TooManyRounds, match="rows undecided after 1 rounds"):
+        insert(spark, [], CHAIN, max_rounds=1)
+
+
+def test_long_chain_takes_few_steps(spark):
+    """10,000 links, each row in the way of the next."""
+    links = [(i // 2, f"t{(i + 1) // 2}", i) for i in range(10_000)]
+    assert insert(spark, [], links, max_rounds=2) == sequential([], links)
+
+
+@pytest.mark.parametrize("group", [1, 4])
+def test_components_settled_in_parts(spark, group):
+    rng = random.Random(group)
+    more = [(50 + rng.randrange(6), f"u{rng.randrange(6)}", 100 + at) for at in range(40)]
+    offers = [*CHAIN[: 4 + 2 * group], *more]
+    assert insert(spark, [], offers, group=group) == sequential([], offers)
+
+
+def test_components_of_rows(spark):
+    found = spark.createDataFrame(
+        [(5, 1, "a"), (3, 1, "b"), (9, 2, "b"), (4, 7, "x"), (6, 8, "y"), (8, 8, "z")], "n long, k int, t string"
+    )
+    assert rows(of_rows(found, "n", [["k"], ["t"]], "c")) == [(3, 3), (5, 3), (6, 6), (8, 6), (9, 3)]

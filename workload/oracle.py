@@ -411,6 +411,11 @@ rounds AS (
       FROM rounds WHERE NOT won))
   WHERE won OR NOT taken)
 SELECT l_orderkey, l_partkey FROM rounds WHERE won""",
+    "insert_ignore_chain": """
+SELECT (event_id + 1) // 2 AS a, event_id // 2 AS b, event_id
+FROM (SELECT event_id, row_number() OVER (PARTITION BY island ORDER BY event_id) AS i
+  FROM (SELECT event_id, event_id - row_number() OVER (ORDER BY event_id) AS island FROM events))
+WHERE i % 2 = 1""",
     "star_view": f"""WITH {_keyed('TRUE')}
 SELECT f.id_observation_horaire, l.nom_ville, l.region, l.pays, t.date, t.heure, t.minute,
   t.jour_semaine, t.nom_mois, c.texte_condition, f.temperature_celsius

@@ -207,6 +207,17 @@ def insert_ignore_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def insert_ignore_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event is in the way of the next: one chain of conflicts through all of them."""
+    event = F.col("event_id")
+    offered = table(spark, sf_dir, "events").select(
+        F.floor((event + 1) / 2).alias("a"), F.floor(event / 2).alias("b"), "event_id"
+    )
+    return conflicts.insert_ignore_all(
+        spark.createDataFrame([], offered.schema), offered, [["a"], ["b"]], ["event_id"]
+    )
+
+
 def _moved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Locations of two batches: the second has everybody, builders moved on."""
     customer = table(spark, sf_dir, "customer")
@@ -381,6 +392,7 @@ QUERIES = {
         time_coerce_stats, dim_time, dim_location, dim_condition, obs_with_location,
         resolve_location_key, resolve_condition_key, resolve_time_key, fact_build, fact_rejects,
         load_stats, insert_ignore_observations, insert_ignore_conditions, insert_ignore_pairs,
+        insert_ignore_chain,
         upsert_dim_location, upsert_actions, upsert_fact, upsert_all_key, surrogate_keys,
         fk_orphans, fk_audit, quality_not_null, quality_unique, coverage_report, coverage_missing,
         run_status, locations_list, latest_observations, latest_observations_json,
