@@ -10,26 +10,28 @@ the unary part lets `select` find the i-th boundary by a search in the directory
 look at 64 bytes. Reading goes by slices of 1024 documents: select finds where a slice
 begins and ends, and the values between are decoded together.
 
-Doc_ids are cut into ranges of about as many documents each (from percentiles of the
-doc_id column alone), one task per range encodes after a single shuffle of packed ids,
+Documents are cut into ranges of about as many each (from percentiles of the doc_id column
+alone); a doc_id, or null, that holds several ranges' worth of documents is spread over
+them by a hash of the text. One task per range takes the packed ids after a single shuffle
 and streams its rows into blocks of about `BLOCK_IDS` ids: a task holds one block and one
 batch. Where a block starts in the whole array is known from the ranges' totals, one
 number per range.
 
-Pieces of text are encoded by the tokenizers library; as white space never belongs to a
-piece, each worker keeps the ids of pieces, and of the chunks between white space, in
-dictionaries of bounded size.
+Pieces of text are encoded by the model of the tokenizers library, each piece of a batch
+that is not known once; a worker keeps the ids of pieces in a dictionary of bounded size.
+White space never belongs to a piece, so long texts are cut at spaces.
 
 Defined results: a null or empty text has just the end id; null doc_ids come first;
-repeated doc_ids follow each other, ordered by their ids; a document longer than a block
-makes a longer block; an empty table gives files without blocks and an empty result;
-other columns are not looked at.
+repeated doc_ids follow each other, ordered by a hash of the text; a document longer than
+a block makes a longer block; an empty table gives files without blocks and an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -39,13 +41,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from obstar.llm.bpe import Encoder
+from obstar.llm.bpe import PIECES, byte_symbols, normal
 from obstar.llm.common import only, prepare, scratch
 
 BLOCK_IDS = 1 << 18
-#: Half the number of chunks, and half that of pieces, whose ids a worker remembers: more
-#: than for decoding too, as the library takes longer for a piece.
-CHUNKS, PIECES_KEPT = 400_000, 500_000
+#: Half the number of pieces whose ids a worker remembers.
+PIECES_KEPT = 500_000
+#: Characters that are encoded at once; longer texts are cut at spaces.
+LONG = 1 << 20
+# Fixed value: PIECES for text without other letters, digits and white space than ASCII's.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
 _CHUNK = 64  # bytes of the unary part to a directory entry
 
 
@@ -136,24 +141,103 @@ def id_width(path: str) -> int:
     return 2 if most < 1 << 16 else 4
 
 
-def library_encoder(path: str) -> Encoder:
+class Known:
+    """piece -> packed ids, for the pieces of the batches of late: at most `limit` and those of
+    a batch, twice. What is not known is asked for in `make`, a batch at a time."""
+
+    def __init__(self, make: Callable[[list[str]], list[bytes]], limit: int):
+        self.make, self.limit = make, limit
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, wanted: set[str]) -> Callable[[str], bytes]:
+        """The look-up of the ids of a batch's pieces."""
+        new = wanted.difference(self.ids)
+        if new and len(self.ids) >= self.limit:
+            self.older, self.ids, new = self.ids, {}, wanted
+        if new and self.older:
+            again = [k for k in new if k in self.older]
+            self.ids.update(zip(again, map(self.older.__getitem__, again)))
+            new = new.difference(again)
+        asked = list(new)
+        self.ids.update(zip(asked, self.make(asked) if asked else ()))
+        return self.ids.__getitem__
+
+
+class BatchEncoder:
+    """Texts to packed ids, a batch at a time."""
+
+    def __init__(self, path: str, pieces: int = PIECES_KEPT):
+        tokenizer, self.kind = library(path), f"<u{id_width(path)}"
+        self.model = tokenizer.model
+        self.symbols = dict(enumerate(byte_symbols()))
+        added = tokenizer.get_added_tokens_decoder()
+        self.special = {t.content: np.array([i], self.kind).tobytes() for i, t in added.items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
+        self.known = Known(self.of_pieces, pieces)
+
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The library's model takes a piece in the symbols of its bytes."""
+        tokens, symbols = self.model.tokenize, self.symbols
+        ids: list[int] = []
+        ends = [0]
+        for piece in pieces:
+            ids += [t.id for t in tokens(piece.encode("utf-8").decode("latin-1").translate(symbols))]
+            ends.append(len(ids))
+        packed, width = np.array(ids, self.kind).tobytes(), int(self.kind[2:])
+        return [packed[width * a : width * b] for a, b in zip(ends, ends[1:])]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of each text."""
+        # special tokens are looked for in the text as it is, and cut it
+        runs: list[str] = []
+        order: list[list[int | bytes]] = []
+        for text in texts:
+            order.append([])
+            found = self.parts.split(text) if text and self.parts and self.parts.search(text) else [text]
+            for run in filter(None, found):
+                if run in self.special:
+                    order[-1].append(self.special[run])
+                    continue
+                for part in parts_at_spaces(run, LONG) if len(run) > LONG else (run,):
+                    order[-1].append(len(runs))
+                    runs.append(part)
+        ids: list[bytes] = []
+        held, first = 0, 0
+        for i, run in enumerate(runs):
+            held += len(run)
+            if held >= LONG or i == len(runs) - 1:
+                ids += self._runs(runs[first : i + 1])
+                held, first = 0, i + 1
+        return [b"".join([x if isinstance(x, bytes) else ids[x] for x in o]) for o in order]
+
+    def _runs(self, texts: list[str]) -> list[bytes]:
+        cut = [pieces_of(normal(t)) for t in texts]
+        get = self.known.of(set().union(*cut))
+        return [b"".join(map(get, c)) for c in cut]
+
+
+def pieces_of(text: str) -> list[str]:
+    """The pieces of a text in its normal form."""
+    return (ASCII_PIECES if text.isascii() else PIECES).findall(text)
+
+
+def parts_at_spaces(text: str, size: int) -> Iterator[str]:
+    """A text in parts of at least `size` characters, cut where a space is left out."""
+    start = 0
+    while len(text) - start > size:
+        space = text.find(" ", start + size)
+        if space < 0:
+            break
+        yield text[start:space]
+        start = space + 1
+    yield text[start:]
+
+
+def library_encoder(path: str) -> BatchEncoder:
     """Encodes pieces with the tokenizers library."""
-    return only(("library", path), lambda: _library_encoder(path))
-
-
-def _library_encoder(path: str) -> Encoder:
-    tokenizer, kind = library(path), f"<u{id_width(path)}"
-
-    def packed(ids: list[int]) -> bytes:
-        return np.array(ids, kind).tobytes()
-
-    special = {t.content: packed([i]) for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return Encoder(
-        lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids),
-        special,
-        CHUNKS,
-        PIECES_KEPT,
-    )
+    return only(("library", path), lambda: BatchEncoder(path))
 
 
 def packed_ids(text: Column, vocabulary: str, end_id: int) -> Column:
@@ -163,7 +247,7 @@ def packed_ids(text: Column, vocabulary: str, end_id: int) -> Column:
     def token_ids(texts: pa.Array) -> pa.Array:
         encode = library_encoder(vocabulary).encode
         end = np.array([end_id], f"<u{id_width(vocabulary)}").tobytes()
-        return pa.array([encode(t.as_py()) + end for t in texts], pa.binary())
+        return pa.array([ids + end for ids in encode(texts.to_pylist())], pa.binary())
 
     return token_ids(text)
 
@@ -245,23 +329,29 @@ def write(
     doc = F.col("doc_id").cast("long")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / parts for i in range(1, parts)] or [0.5]
-    bounds = documents.agg(F.percentile_approx(doc, shares, F.lit(10_000)).alias("b")).first()["b"]
-    cuts = np.array(sorted(set(bounds or [])), np.int64)
+    first = F.coalesce(doc, F.lit(np.iinfo(np.int64).min).cast("long"))
+    bounds = documents.agg(F.percentile_approx(first, shares, F.lit(10_000)).alias("b")).first()["b"]
+    cuts = np.array(sorted(bounds or []), np.int64)
+    # of the documents of one doc_id the hash of the text decides, in ranges and in order
+    tie = F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 32).cast("int")
 
     @F.arrow_udf("int")
-    def range_of(ids: pa.Array) -> pa.Array:
-        """The number of bounds below an id; null ids are in the first range."""
-        least = np.iinfo(np.int64).min
-        found = np.searchsorted(cuts, ids.fill_null(least).to_numpy(zero_copy_only=False))
-        return pa.array(found.astype(np.int32))
+    def range_of(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        """The number of bounds below an id; an id that is a bound, or several, is spread
+        over the ranges that meet there."""
+        ids, ties = (x.to_numpy(zero_copy_only=False) for x in (ids, ties))
+        below, up_to = (np.searchsorted(cuts, ids, side=s) for s in ("left", "right"))
+        share = (ties.astype(np.int64) + (1 << 31)) * (up_to - below + 1) >> 32
+        return pa.array((below + share).astype(np.int32))
 
     width = id_width(vocabulary)
     encoded = documents.select(
-        range_of(doc).alias("part"),
+        range_of(first, tie).alias("part"),
         doc.alias("doc_id"),
         packed_ids(F.col("text"), vocabulary, end_id).alias("ids"),
+        tie.alias("tie"),
     )
-    placed = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "ids")
+    placed = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "tie", "ids")
     placed.mapInArrow(_block_writer(width, block_ids), _BLOCKS).write.parquet(folder)
 
 

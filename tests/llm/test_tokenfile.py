@@ -82,3 +82,29 @@ def test_files_and_back(spark, docs, block_ids):
 
 def test_empty(docs):
     assert tokenfile.written(docs(), PATH).collect() == []
+
+
+def test_hot_and_null_ids_are_spread(spark, docs, tmp_path):
+    rows = [(None, f"null {i}") for i in range(60)] + [(7, f"seven {i}") for i in range(60)] + [(i, "x") for i in range(20)]
+    folder = str(tmp_path / "hot")
+    tokenfile.write(docs(*rows), folder, PATH, 2)
+    held = tokenfile.blocks(spark, folder)
+    parts = {r["part"] for r in held.where("n_null > 0").select("part").collect()}
+    assert len(parts) > 1
+    found = tokenfile.read(spark, folder).orderBy("start").collect()
+    ids = [r["doc_id"] for r in found]
+    assert ids == [None] * 60 + sorted(d for d, _ in rows[60:])
+    assert [r["start"] for r in found] == [sum(x["n_tokens"] for x in found[:i]) for i in range(len(found))]
+    whole = tokenfile.library_encoder(PATH)
+    wanted = sorted((d is not None, d or 0, len(x) // 2 + 1) for (d, _), x in zip(rows, whole.encode([t for _, t in rows])))
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"]) for r in found) == wanted
+    assert tokenfile.find(spark, folder, 7).count() == 61
+
+
+def test_special_tokens_and_long_texts(monkeypatch):
+    texts = ["a <|endoftext|>b <|EndOfText|> ΑΣ it's 12 ...", None, "", "word " * 3000 + "end.", "\x1c\x85x"] * 3
+    whole = [tokenfile.library(PATH).encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokenfile, "LONG", 100)
+    encoder = tokenfile.BatchEncoder(PATH, pieces=5)
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
