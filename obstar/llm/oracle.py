@@ -107,15 +107,26 @@ FROM met JOIN sizes USING (license) WHERE found >= 0.8 * shingles""",
 WITH held AS (
     SELECT page_id, url, md5(html) AS digest, page_id * 60 AS time, left(md5(html), 1) AS d FROM pages
 ),
+visited AS (
+    SELECT page_id * 8 + 2 + visit AS id, time + 30 + visit * 1800 AS time, page_id // 1000 AS now,
+           regexp_extract(url, '^[a-z]+://(www\\.)?([^/?#]*)', 2) AS host,
+           digest[visit + 2] BETWEEN '0' AND '7' AS brings, digest[visit + 12] AS told
+    FROM held CROSS JOIN (SELECT unnest(range(5)) AS visit)
+),
 records AS (
-    SELECT page_id * 2 AS id, {canonical_sql("url")} AS url_key, time, 1 AS kind,
+    SELECT page_id * 8 AS id, {canonical_sql("url")} AS url_key, time, 1 AS kind,
            '"' || digest || '"' AS tag, time AS modified
     FROM held
     UNION ALL
-    SELECT page_id * 2 + 1, {canonical_sql("regexp_replace(url, '^http://', 'HTTPS://www.')")}, time + 3600, 0,
+    SELECT page_id * 8 + 1, {canonical_sql("url")}, time + 3600, 0,
            CASE WHEN d IN ('0', '1', '2', '3') THEN '"changed"'
                 WHEN d NOT IN ('4', '5') THEN '"' || digest || '"' END, time
     FROM held
+    UNION ALL
+    SELECT id, lower(host), time, brings::INTEGER,
+           CASE WHEN brings OR told BETWEEN '6' AND '9' OR told > '9' THEN '"front-' || now || '"'
+                WHEN told BETWEEN '0' AND '3' THEN '"front-' || (now - 1) || '"' END, now
+    FROM visited
 ),
 joined AS (
     SELECT *, last_value(CASE WHEN kind = 1 THEN {{'id': id, 'tag': tag, 'modified': modified}} END IGNORE NULLS)

@@ -146,61 +146,115 @@ def resolve(records: DataFrame) -> DataFrame:
     )
 
 
-def captures(pages: DataFrame) -> DataFrame:
-    """Archive records of the pages: a full response and, an hour later, a not-modified answer.
+def _headers(**values: Column) -> Column:
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k.replace("_", "-")), v)])
 
-    The answer came by a URL written another way; where the server had changed the page
-    meanwhile (by the first digit of the digest) its tag is another one, and where it sends
-    no tag (the next digits) only a date.
-    """
-    digest = F.md5(F.col("html").cast("binary"))
-    time = F.col("page_id") * 60
-    held = pages.select("page_id", "url", digest.alias("digest"), time.alias("time"))
-    tag = F.concat(F.lit('"'), F.col("digest"), F.lit('"'))
-    date = F.col("time").cast("string")
-
-    def headers(**values: Column) -> Column:
-        pairs = [x for k, v in values.items() for x in (F.lit(k.replace("_", "-")), v)]
-        return F.create_map(*pairs)
-
-    first = F.substring("digest", 1, 1)
-    full = held.select(
-        (F.col("page_id") * 2).alias("record_id"),
+
+def _response(rows: DataFrame) -> DataFrame:
+    """Full responses of (record_id, url, time, tag, modified, digest)."""
+    return rows.select(
+        "record_id",
         "url",
         "time",
         F.lit(False).alias("is_revisit"),
-        tag.alias("etag"),
-        date.alias("last_modified"),
+        F.col("tag").alias("etag"),
+        F.col("modified").alias("last_modified"),
         "digest",
-        headers(
+        _headers(
             Content_Type=F.lit("text/html"),
             Content_Length=F.lit("1000"),
-            ETag=tag,
-            Date=date,
+            ETag=F.col("tag"),
+            Date=F.col("modified"),
             Cache_Control=F.lit("max-age=60"),
         ).alias("headers"),
     )
-    later = (F.col("time") + 3600).cast("string")
-    answer_tag = (
-        F.when(first.isin("0", "1", "2", "3"), F.lit('"changed"'))
-        .when(~first.isin("4", "5"), F.concat(F.lit("W/"), tag))
+
+
+def _answer(rows: DataFrame) -> DataFrame:
+    """Not-modified answers of (record_id, url, time, tag, modified)."""
+    at = F.col("time").cast("string")
+    return rows.select(
+        "record_id",
+        "url",
+        "time",
+        F.lit(True).alias("is_revisit"),
+        F.concat(F.lit("W/"), F.col("tag")).alias("etag"),
+        F.col("modified").alias("last_modified"),
+        F.lit(None).cast("string").alias("digest"),
+        _headers(
+            Content_Length=F.lit("0"), Date=at, Expires=at, Set_Cookie=F.lit("id=1"), Vary=F.lit("accept")
+        ).alias("headers"),
     )
-    other_url = F.regexp_replace(
-        F.regexp_replace("url", "^http://", "HTTPS://www."), "#.*$", "#again"
+
+
+def captures(pages: DataFrame, epoch: int = 1000, visits: int = 5) -> DataFrame:
+    """Archive records of the pages and of the front pages of their hosts.
+
+    A page has a full response and, an hour later, a not-modified answer by a URL written
+    another way; where the server had changed the page meanwhile (by the first digit of the
+    digest) its tag is another one, and where it sends no tag (the next digits) only a date.
+
+    With each page the front page of its host is visited `visits` times. The front pages
+    change every `epoch` pages. By a digit of the digest a visit is a full response or a
+    not-modified answer; the answer has the tag of the front page as it is, or as it was an
+    epoch ago, or only its date. So a host has many responses and answers in turn, some
+    answers before any response, and an answer mostly stands for the response that another
+    page's visit brought.
+    """
+    digest = F.md5(F.col("html").cast("binary"))
+    held = pages.select("page_id", "url", digest.alias("digest"), (F.col("page_id") * 60).alias("time"))
+
+    def tag(value: Column | str) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    def digit(place: Column | int) -> Column:
+        return F.substring("digest", place, 1)
+
+    own = held.withColumn("modified", F.col("time").cast("string"))
+    full = own.select(
+        (F.col("page_id") * 8).alias("record_id"), "url", "time", tag(F.col("digest")).alias("tag"), "modified", "digest"
     )
-    answer = held.select(
-        (F.col("page_id") * 2 + 1).alias("record_id"),
+    first = digit(1)
+    told = F.when(first.isin("0", "1", "2", "3"), tag(F.lit("changed"))).when(
+        ~first.isin("4", "5"), tag(F.col("digest"))
+    )
+    other_url = F.regexp_replace(F.regexp_replace("url", "^http://(www\\.)?", "HTTPS://www."), "#.*$", "#again")
+    answer = own.select(
+        (F.col("page_id") * 8 + 1).alias("record_id"),
         other_url.alias("url"),
         (F.col("time") + 3600).alias("time"),
-        F.lit(True).alias("is_revisit"),
-        answer_tag.alias("etag"),
-        date.alias("last_modified"),
-        F.lit(None).cast("string").alias("digest"),
-        headers(
-            Content_Length=F.lit("0"), Date=later, Expires=later, Set_Cookie=F.lit("id=1"), Vary=F.lit("accept")
-        ).alias("headers"),
+        told.alias("tag"),
+        "modified",
+    )
+
+    host = F.regexp_extract("url", "^[a-z]+://(www\\.)?([^/?#]*)", 2)
+    visited = held.withColumn("visit", F.explode(F.sequence(F.lit(0), F.lit(visits - 1)))).select(
+        (F.col("page_id") * 8 + 2 + F.col("visit")).alias("record_id"),
+        (F.col("time") + 30 + F.col("visit") * 1800).alias("time"),
+        host.alias("host"),
+        F.expr(f"page_id div {epoch}").alias("now"),
+        digit(F.col("visit") + 2).alias("kind"),
+        digit(F.col("visit") + 12).alias("told"),
+    )
+    brings = F.col("kind").isin(*"01234567")
+    version = F.when(F.col("told").isin(*"0123"), F.col("now") - 1).otherwise(F.col("now"))
+    front = tag(F.concat(F.lit("front-"), F.col("now").cast("string")))
+    fronts = visited.where(brings).select(
+        "record_id",
+        F.concat(F.lit("http://"), "host", F.lit("/")).alias("url"),
+        "time",
+        front.alias("tag"),
+        F.col("now").cast("string").alias("modified"),
+        F.md5(F.col("now").cast("string")).alias("digest"),
+    )
+    answers = visited.where(~brings).select(
+        "record_id",
+        F.concat(F.lit("HTTPS://WWW."), "host", F.lit(":443/?utm_source=feed")).alias("url"),
+        "time",
+        F.when(~F.col("told").isin("4", "5"), tag(F.concat(F.lit("front-"), version.cast("string")))).alias("tag"),
+        F.col("now").cast("string").alias("modified"),
     )
-    return full.unionByName(answer)
+    return _response(full.unionByName(fronts)).unionByName(_answer(answer.unionByName(answers)))
 
 
 def headers_text(headers: Column) -> Column:

@@ -89,3 +89,18 @@ def test_hot_url_over_many_partitions(spark):
     found = warc.resolve(repeated).collect()
     assert len(found) == len(want) + (5 in want)
     assert {r["record_id"]: r["response_id"] for r in found} == want
+
+
+def test_captures_make_the_join_choose(spark):
+    """At least a third of the answers stand for what another page's visit brought."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = warc.resolve(warc.captures(pages))
+    counts = found.groupBy("resolution").count().collect()
+    assert {r["resolution"] for r in counts} == {warc.RESOLVED, warc.CHANGED, warc.MISSING}
+    total = sum(r["count"] for r in counts)
+    others = found.where((F.col("resolution") == warc.RESOLVED) & (F.floor(F.col("record_id") / 8) != F.floor(F.col("response_id") / 8)))
+    assert others.count() * 3 >= total
+    # a page's own answer is never without a response
+    assert found.where((F.col("record_id") % 8 == 1) & (F.col("resolution") == warc.MISSING)).count() == 0
+    keys = warc.captures(pages).select(warc.canonical_url(F.col("url")).alias("k"))
+    assert keys.where("k like 'www.%'").count() == 0
