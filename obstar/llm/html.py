@@ -21,7 +21,8 @@ Defined results: null or empty html: empty text; a page without blocks of main t
 empty text; blocks of any length and pages of any number of blocks are read whole; tags
 that are never closed end where their container ends, those of raw text (scripts, styles,
 titles, text areas, inline frames) with the page; a quote in a tag counts after an equals
-sign only; the text of a template is not part of a page; repeated rows give repeated
+sign only, and not if it would keep the tag open to the end of the page; reading takes time
+that grows with the page's length, however its tags are broken; the text of a template is not part of a page; repeated rows give repeated
 results; other columns are not looked at; nothing to learn from: learned from built-in
 layouts of no words.
 """
@@ -82,19 +83,47 @@ PLAIN = "wrapper container row col inner outer block box section page site layou
 
 # possessive: a tag is read once, from left to right
 _ATTRIBUTES = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+"""
-_TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[!?][^>]*>", re.S
-)
+_OPENING = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>")
+#: A tag that ends at the next sign for it, also within quotes.
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _TEMPLATE = re.compile("<template", re.I)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+class Path:
+    """The open tags above a block, each with what is above it: blocks share what they have
+    in common, and what is known of the names is known of the path without going up it."""
+
+    __slots__ = ("names", "above", "places")
+
+    def __init__(self, names: str, above: Path | None):
+        self.names, self.above = names, above
+        self.places: int = name_places(names) | (above.places if above else 0)
+
+    @classmethod
+    def of(cls, parts: Iterable[str]) -> Path | None:
+        found = None
+        for names in parts:
+            found = cls(names, found)
+        return found
+
+
 @dataclass(slots=True)
 class Block:
-    path: tuple[str, ...]
+    at: Path | None
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The names from the page down to the block."""
+        found, at = [], self.at
+        while at:
+            found.append(at.names)
+            at = at.above
+        return tuple(found[::-1])
+
 
 def names_of(tag: str, attributes: str) -> str:
     """A tag with its classes and ids, as it stands in a path."""
@@ -107,74 +136,134 @@ def names_of(tag: str, attributes: str) -> str:
     return " ".join(found)
 
 
+class _Open:
+    """The open tags, with where each name is open: no tag is looked for by going through them."""
+
+    def __init__(self):
+        self.tags: list[tuple[str, Path]] = []
+        self.where: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def innermost(self, *names: str) -> int:
+        """Where one of the names is open innermost, -1 if none is."""
+        return max((self.where[n][-1] for n in names if self.where.get(n)), default=-1)
+
+    def push(self, tag: str, attributes: str) -> None:
+        place = len(self.tags)
+        self.tags.append((tag, Path(names_of(tag, attributes), self.path())))
+        self.where.setdefault(tag, []).append(place)
+        if tag in BLOCK:
+            self.blocks.append(place)
+        if tag in SCOPES:
+            self.scopes.append(place)
+
+    def pop_to(self, place: int) -> None:
+        while len(self.tags) > place:
+            tag, _ = self.tags.pop()
+            self.where[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+
+    def path(self) -> Path | None:
+        return self.tags[-1][1] if self.tags else None
+
+    def end(self, tag: str) -> None:
+        """An end tag; an inline one does not end a block."""
+        place = self.innermost(tag)
+        inline = tag not in BLOCK and tag not in SCOPES
+        if place >= 0 and not (inline and self.blocks and self.blocks[-1] > place):
+            self.pop_to(place)
+
+    def begin_block(self, tag: str) -> None:
+        """A block ends an open paragraph, and what is open inside it."""
+        ended, within = CLOSES.get(tag, ((), ()))
+        place = self.innermost("p", *ended)
+        scope = self.scopes[-1] if self.scopes else -1
+        if ended:
+            stop = max(scope, self.innermost(*within))
+        else:
+            stop = max(scope, self.blocks[-1] if self.blocks else -1)
+        if place >= 0 and place >= stop:
+            self.pop_to(place)
+
+
 def page_blocks(html: str | None) -> list[Block]:
-    """The leaf blocks of a page, in order."""
+    """The leaf blocks of a page, in order, in time that grows with its length.
+
+    A tag that only a quote keeps open to the end of the page ends at the next sign for it,
+    and so do those after it; where no such sign follows, what looks like a tag is text.
+    """
     html = html or ""
-    stack: list[tuple[str, str]] = []
+    open_ = _Open()
     out: list[Block] = []
     pieces: list[str] = []
     linked, at, end = 0, 0, len(html)
     templates = _TEMPLATE.search(html) is not None
+    reads, last_sign = _TAG, html.rfind(">")
 
     def close_block() -> None:
         nonlocal linked
         if pieces:
             text = " ".join(characters.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(tuple(names for _, names in stack), text, linked))
+                out.append(Block(open_.path(), text, linked))
             pieces.clear()
         linked = 0
 
-    def pop_to(index: int) -> None:
-        del stack[index:]
-
     def add(text: str) -> None:
         nonlocal linked
-        if text and not (templates and any(name == "template" for name, _ in stack)):
+        if text and not (templates and open_.where.get("template")):
             pieces.append(text)
-            if any(name == "a" for name, _ in stack[-4:]):
+            if any(name == "a" for name, _ in open_.tags[-4:]):
                 linked += len(text)
 
     while at < end:
-        found = _TAG.search(html, at)
-        if found is None:
+        opening = _OPENING.search(html, at)
+        if opening is None:
             add(html[at:])
             break
-        add(html[at : found.start()])
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
+        begin = opening.start()
+        add(html[at:begin])
+        kind = opening[0]
+        if kind == "<!--":
+            ending = html.find("-->", opening.end())
+            at = ending + 3 if ending >= 0 else end
+            continue
+        if begin > last_sign:  # nothing ends a tag any more
+            add(kind)
+            at = opening.end()
+            continue
+        if kind in ("<!", "<?"):
+            at = html.find(">", begin) + 1
             continue
+        found = reads.match(html, begin)
+        if found is None:
+            reads = _LOOSE
+            found = reads.match(html, begin)
+        at = found.end()
+        tag = found[2].lower()
         if found[1]:
-            if tag in BLOCK or tag in SCOPES and any(name in BLOCK for name, _ in stack[-1:]):
+            if tag in BLOCK or tag in SCOPES and open_.tags and open_.tags[-1][0] in BLOCK:
                 close_block()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
-                if tag not in BLOCK and tag not in SCOPES and stack[i][0] in BLOCK:
-                    break  # an inline end tag does not end a block
+            open_.end(tag)
             continue
         if tag in RAW:
             if not found[3].rstrip().endswith("/"):
-                ending = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-                at = ending.end() if ending else end
+                ending = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
+                sign = html.find(">", ending.end()) if ending else -1
+                at = sign + 1 if sign >= 0 else end
             continue
         if tag == "br":
             pieces.append(" ")
             continue
         if tag in BLOCK:
             close_block()
-            # a block ends an open paragraph, and what is open inside it
-            ended, within = CLOSES.get(tag, ((), ()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or stack[i][0] in ended:
-                    pop_to(i)
-                    break
-                if stack[i][0] in SCOPES or stack[i][0] in BLOCK and (not ended or stack[i][0] in within):
-                    break
+            open_.begin_block(tag)
         if tag not in VOID and not found[3].endswith("/"):
-            stack.append((tag, names_of(tag, found[3])))
+            open_.push(tag, found[3])
     close_block()
     return out
 
@@ -192,12 +281,15 @@ def word_places() -> Remembered:
 
 
 @lru_cache(maxsize=20_000)
-def path_places(path: tuple[str, ...]) -> tuple[int, ...]:
-    """Where the names of a path are in its part of the vector."""
-    names = {name for part in path for name in part.split()}
+def name_places(part: str) -> int:
+    """Where the names of a tag are in a path's part of the vector, as bits."""
+    names = set(part.split())
     # words of a compound name count, too
     parts = {"-" + x for n in names if n[0] in ".#" for x in re.split(r"[-_]", n[1:]) if x}
-    return tuple(sorted({zlib.crc32(n.encode("utf-8", "replace")) % PATH for n in names | parts}))
+    found = 0
+    for name in names | parts:
+        found |= 1 << zlib.crc32(name.encode("utf-8", "replace")) % PATH
+    return found
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
@@ -205,8 +297,8 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     out = np.zeros((len(blocks), INPUT), np.float32)
     places = word_places()
     for i, block in enumerate(blocks):
-        for place in path_places(block.path):
-            out[i, place] = 1
+        bits = (block.at.places if block.at else 0).to_bytes(PATH // 8, "little")
+        out[i, :PATH] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
         words = block.text.split()
         found = np.frombuffer(b"".join(map(places.__getitem__, words)), np.uint8)
         counts = np.bincount(found, minlength=WORDS)
@@ -247,8 +339,11 @@ class Labeller:
             self.weights["b" + way] = some(4 * HIDDEN, scale=0)
             self.weights["b" + way][HIDDEN : 2 * HIDDEN] = 1  # remember at first
 
-    def _run(self, way: str, x: np.ndarray, used: np.ndarray):
-        """States of one direction; x: pages, blocks, numbers. used marks blocks that are there."""
+    def _run(self, way: str, x: np.ndarray, used: np.ndarray, traced: bool = False):
+        """States of one direction; x: pages, blocks, numbers. used marks blocks that are there.
+
+        `traced` keeps what learning needs of every step.
+        """
         w, (pages, steps, _) = self.weights, x.shape
         given = x @ w["x" + way] + w["b" + way]
         h = np.zeros((pages, HIDDEN), np.float32)
@@ -262,7 +357,8 @@ class Labeller:
             here = used[:, t, None]
             new = f * c + i * g
             shown = np.tanh(new)
-            trace.append((t, h, c, i, f, o, g, shown))
+            if traced:
+                trace.append((t, h, c, i, f, o, g, shown))
             c = np.where(here, new, c)
             h = np.where(here, o * shown, h)
             states[:, t] = h
@@ -275,7 +371,7 @@ class Labeller:
     def gradients(self, x: np.ndarray, used: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean logistic loss over the blocks that are there."""
         w = self.weights
-        runs = {way: self._run(way, x, used) for way in "fb"}
+        runs = {way: self._run(way, x, used, traced=True) for way in "fb"}
         both = np.concatenate([runs["f"][0], runs["b"][0]], axis=2)
         error = (_sigmoid(both @ w["out"] + w["bias"]) - labels) * used / max(1, used.sum())
         found = {"out": np.einsum("pt,pth->h", error, both), "bias": error.sum(keepdims=True)[0]}
@@ -375,7 +471,7 @@ def relaid(blocks: list[Block], draw: np.random.Generator) -> tuple[list[Block],
             start = int(draw.integers(len(words)))
             text = " ".join(words[start : start + n]) or "more"
             tail = ("li", "a") if links else (pick(["p", "div", "p", "h3"]),)
-            out.append(Block((*before, kind, *tail), text, len(text) if links else 0))
+            out.append(Block(Path.of((*before, kind, *tail)), text, len(text) if links else 0))
             labels.append(False)
 
     base = ("html", "body")
@@ -387,10 +483,10 @@ def relaid(blocks: list[Block], draw: np.random.Generator) -> tuple[list[Block],
             for _ in range(draw.integers(0, 3)):
                 foreign((*base, *around))
         if main:
-            tail = block.path[-1:] if block.path[-1].split()[0] in BLOCK else ("p",)
+            tail = (block.at.names,) if block.at.names.split()[0] in BLOCK else ("p",)
             if tail[0].split()[0] not in ("p", "h1", "h2", "h3", "li", "pre", "blockquote", "td"):
                 tail = ("p",)
-            out.append(Block((*base, *around, *holder, *tail), block.text, block.linked))
+            out.append(Block(Path.of((*base, *around, *holder, *tail)), block.text, block.linked))
             labels.append(True)
             if draw.random() < 0.12:
                 foreign((*base, *around, *holder))
@@ -423,7 +519,7 @@ def train(
                 changed, labels = relaid(blocks, draw)
                 examples.append((vectors(changed), np.array(labels, np.float32)))
     if not examples:
-        layout = [Block(("html", "body", h, "p"), "text", 0) for h in (*HOLDS, *NOT_PART)]
+        layout = [Block(Path.of(("html", "body", h, "p")), "text", 0) for h in (*HOLDS, *NOT_PART)]
         labels = np.array([named_label(b.path) for b in layout], np.float32)
         examples = [(vectors(layout), labels)] * 8
     network = Labeller(seed)
