@@ -23,6 +23,7 @@ out.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 from obstar.llm.common import prepare
 
 UNKNOWN = "und"
-#: Code points looked at together; longer batches are cut between texts.
+#: Code points looked at together; longer batches are cut between texts, longer texts between words.
 _AT_ONCE = 1 << 20
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _PLACES = 0x110000
+#: Surely no letter; texts without one are not cut.
+_NO_LETTER = re.compile(r"[\s\d.,;:!?]")
 
 
 @lru_cache(maxsize=1)
@@ -70,8 +73,21 @@ def trigrams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return mixed, counts
 
 
+def parts_of(text: str | None) -> Iterator[str | None]:
+    """A long text, cut before characters that are no letters: no trigram is centred there,
+    and those beside it see the end of a text as they see it."""
+    start = 0
+    while text and len(text) - start > _AT_ONCE:
+        cut = _NO_LETTER.search(text, start + _AT_ONCE)
+        if not cut:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:] if start else text
+
+
 def blocks(texts: Sequence[str | None]) -> Iterator[list[str | None]]:
-    """Texts in order, a bounded number of characters at a time (or one longer text)."""
+    """Parts of texts in order, a bounded number of characters at a time."""
     held, size = [], 0
     for text in texts:
         held.append(text)
@@ -125,32 +141,39 @@ class Filters:
             found &= self.bits[at]
         return found
 
-    def counts(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of n-grams of each text, and the corrected count per language."""
+    def held(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of n-grams of each text, and of those that each language's filter has."""
         grams, sizes = trigrams(texts)
         masks = self.holders(grams)
         sums = np.zeros((len(self.languages), len(grams) + 1), np.int64)
         for i in range(len(self.languages)):
             np.cumsum((masks[:, i // 8] >> np.uint8(i % 8)) & 1, out=sums[i, 1:])
         ends = np.cumsum(sizes)
-        raw = sums[:, ends] - sums[:, ends - sizes]
-        true = (raw - sizes * self.rates[:, None]) / np.maximum(1 - self.rates[:, None], 1e-9)
+        return sizes, sums[:, ends] - sums[:, ends - sizes]
+
+    def counts(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of n-grams of each text, and the corrected count per language."""
+        parts = [(i, part) for i, text in enumerate(texts) for part in parts_of(text)]
+        sizes, raw = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.languages)), np.int64)
+        at = 0
+        for block in blocks([part for _, part in parts]):
+            owners = [i for i, _ in parts[at : at + len(block)]]
+            at += len(block)
+            n, found = self.held(block)
+            np.add.at(sizes, owners, n)
+            np.add.at(raw, owners, found.T)
+        true = (raw.T - sizes * self.rates[:, None]) / np.maximum(1 - self.rates[:, None], 1e-9)
         return sizes, np.maximum(true, 0)
 
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
+        if not self.languages or not len(texts):
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
         names, scores = [], []
-        for block in blocks(texts):
-            if not self.languages:
-                names += [UNKNOWN] * len(block)
-                scores += [0.0] * len(block)
-                continue
-            sizes, true = self.counts(block)
-            best = true.argmax(axis=0)
-            for n, i, count in zip(sizes.tolist(), best.tolist(), true.max(axis=0).tolist()):
-                names.append(
-                    UNKNOWN if not n else self.languages[i if count > 0 else self.usual]
-                )
-                scores.append(round(min(1.0, count / n), 6) if n else 0.0)
+        sizes, true = self.counts(texts)
+        best = true.argmax(axis=0)
+        for n, i, count in zip(sizes.tolist(), best.tolist(), true.max(axis=0).tolist()):
+            names.append(UNKNOWN if not n else self.languages[i if count > 0 else self.usual])
+            scores.append(round(min(1.0, count / n), 6) if n else 0.0)
         return names, scores
 
 

@@ -33,3 +33,25 @@ def test_run_and_empty(spark, docs):
     for name, stage in corpus_pipeline.STAGES:
         df = materialize(stage(spark, df, SF), name, spark)
     assert df.count() == 0
+
+
+def test_repeated_and_null_ids_and_long_texts(spark, docs):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    prose = " ".join(f"letter{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} and" for i in range(400))
+    long = " ".join(f"w{i}ord" for i in range(60_000))
+    rows = [(1, prose), (1, prose), (2, prose), (1, "another text of document one"), (3, long), (4, long + " end")]
+    rows += [(None, "a text without a number"), (None, None), (5, f"before {item} after"), (5, "a clean row of the same document")]
+    rows += [(6, "a text without a number"), (None, "a null row alone, unlike all others here")]
+    df = docs(*rows)
+    left = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = materialize(stage(spark, df, SF), name, spark)
+        left.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in df.collect()))
+    languages, lines, groups, clean = left
+    assert len(languages) == len(rows) - 1 and len(lines) == len(languages)  # the null text goes first
+    ids = [d for null, d, _ in groups if not null]
+    assert ids.count(1) == 3 and 2 not in ids  # its rows stay together, the copy under 2 goes
+    assert (3 in ids) and (4 not in ids)
+    assert [d for null, d, _ in clean if not null and d == 5] == []  # and both rows of 5
+    found = corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()
+    assert len(found) == len(clean) and max(r["n_tokens"] for r in found) > 60_000

@@ -55,3 +55,47 @@ def test_blocks_give_what_single_texts_give(monkeypatch):
     single = [language.trigrams([t])[0].tolist() for t in texts]
     assert whole[0].tolist() == [g for s in single for g in s]
     assert whole[1].tolist() == [len(s) for s in single]
+
+
+def test_long_texts_are_looked_at_in_parts(monkeypatch):
+    texts = ["kana moko, tuli! " * 40, None, "", "überall " * 30, "x" * 200, "a1b2c3 " * 50]
+    grams = {"aa": language.trigrams(["kana moko tuli"])[0], "bb": language.trigrams(["überall abc"])[0]}
+    filters = language.Filters.build(grams, dict.fromkeys(grams, 1), 1 << 12, 2)
+    whole = filters.counts(texts), filters.predict(texts)
+    monkeypatch.setattr(language, "_AT_ONCE", 25)
+    assert len(list(language.parts_of(texts[0]))) > 10 and "".join(language.parts_of(texts[0])) == texts[0]
+    parts = filters.counts(texts), filters.predict(texts)
+    assert [x.tolist() for x in parts[0]] == [x.tolist() for x in whole[0]] and parts[1] == whole[1]
+
+
+def test_against_sets_of_trigrams(spark):
+    """The same decision with whole sets in place of Bloom filters, trigram by trigram."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in table.collect()]
+
+    def grams_of(text):
+        low = [c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text or ""]
+        padded = [" ", *low, " "]
+        return ["".join(padded[i - 1 : i + 2]) for i in range(1, len(padded) - 1) if padded[i] != " "]
+
+    counts, documents = {}, {}
+    for doc_id, text, lang in rows:
+        if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            documents[lang] = documents.get(lang, 0) + 1
+            own = counts.setdefault(lang, {})
+            for gram in grams_of(text):
+                own[gram] = own.get(gram, 0) + 1
+    # all trigrams of the sample are kept: which of equally frequent ones are is then no question
+    known = {lang: set(own) for lang, own in counts.items()}
+    most = max(len(own) for own in known.values())
+    filters = language.fit(table, grams=most, slots=1 << 20)
+    names, scores = filters.predict([text for _, text, _ in rows])
+    for (_, text, _), name, score in zip(rows, names, scores):
+        found = grams_of(text)
+        held = {lang: sum(g in own for g in found) for lang, own in known.items()}
+        best = max(held.values(), default=0)
+        if not found:
+            assert (name, score) == (language.UNKNOWN, 0.0)
+            continue
+        assert held[name] >= best - 0.002 * len(found)
+        assert abs(score - best / len(found)) < 0.002
