@@ -85,6 +85,29 @@ class Remembered(dict):
         return value
 
 
+class Known:
+    """key -> value, for the keys asked for of late: at most `limit` and those of one call,
+    twice. What is not known is asked for in `make`, the keys of a call together."""
+
+    def __init__(self, make: Callable[[list[str]], list[bytes]], limit: int):
+        self.make, self.limit = make, limit
+        self.values: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, wanted: set[str]) -> Callable[[str], bytes]:
+        """The look-up of the values of some keys."""
+        new = wanted.difference(self.values)
+        if new and len(self.values) >= self.limit:
+            self.older, self.values, new = self.values, {}, wanted
+        if new and self.older:
+            again = [k for k in new if k in self.older]
+            self.values.update(zip(again, map(self.older.__getitem__, again)))
+            new = new.difference(again)
+        asked = list(new)
+        self.values.update(zip(asked, self.make(asked) if asked else ()))
+        return self.values.__getitem__
+
+
 _HELD: dict = {}
 
 

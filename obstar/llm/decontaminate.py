@@ -45,13 +45,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import Remembered, only, prepare
+from obstar.llm.common import Known, only, prepare
 from obstar.session import materialize
 
 WINDOW, LEAST, SHORTEST = 8, 13, 5
 TEMPLATES = 3
 FILTER_BITS = 1 << 23
-REMEMBERED = 350_000
+REMEMBERED = 500_000
 
 # Units of measure.
 UNITS = frozenset(
@@ -109,8 +109,8 @@ def code(word: str) -> bytes:
     return bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
 
 
-def codes() -> Remembered:
-    return only(("codes",), lambda: Remembered(code, REMEMBERED))
+def codes() -> Known:
+    return only(("codes",), lambda: Known(lambda words: [code(w) for w in words], REMEMBERED))
 
 
 class Tokens:
@@ -138,7 +138,8 @@ class Tokens:
         self.sums: dict[int, np.ndarray] = {}
 
     def coded(self) -> np.ndarray:
-        return np.frombuffer(b"".join(map(codes().__getitem__, self.words)), "<u8")
+        look_up = codes().of(set(self.words))
+        return np.frombuffer(b"".join(map(look_up, self.words)), "<u8")
 
     def __len__(self) -> int:
         return len(self.used)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from obstar.llm.bpe import PIECES, byte_symbols, normal
-from obstar.llm.common import only, prepare, scratch
+from obstar.llm.common import Known, only, prepare, scratch
 
 BLOCK_IDS = 1 << 18
 #: Half the number of pieces whose ids a worker remembers.
@@ -141,29 +141,6 @@ def id_width(path: str) -> int:
     return 2 if most < 1 << 16 else 4
 
 
-class Known:
-    """piece -> packed ids, for the pieces of the batches of late: at most `limit` and those of
-    a batch, twice. What is not known is asked for in `make`, a batch at a time."""
-
-    def __init__(self, make: Callable[[list[str]], list[bytes]], limit: int):
-        self.make, self.limit = make, limit
-        self.ids: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def of(self, wanted: set[str]) -> Callable[[str], bytes]:
-        """The look-up of the ids of a batch's pieces."""
-        new = wanted.difference(self.ids)
-        if new and len(self.ids) >= self.limit:
-            self.older, self.ids, new = self.ids, {}, wanted
-        if new and self.older:
-            again = [k for k in new if k in self.older]
-            self.ids.update(zip(again, map(self.older.__getitem__, again)))
-            new = new.difference(again)
-        asked = list(new)
-        self.ids.update(zip(asked, self.make(asked) if asked else ()))
-        return self.ids.__getitem__
-
-
 class BatchEncoder:
     """Texts to packed ids, a batch at a time."""
 
