@@ -28,7 +28,8 @@ alignments cover at least `least` of the item's tokens (all, if it has fewer).
 
 Defined results: null, empty and blank texts have no windows; texts of any length are
 searched whole; items of fewer than `SHORTEST` tokens cannot be told from ordinary prose
-and are not looked for, items shorter than a window are looked for as a whole; items of
+inside a text and are found, word for word, where they are all of a document; items
+shorter than a window are looked for as a whole; items of
 the same tokens count as the one with the smallest id; rows that repeat a doc_id are
 searched each, and the largest coverage counts; a null doc_id or item_id is a value like
 any other; empty tables give an empty result; other columns are not looked at.
@@ -242,12 +243,14 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = Tokens(text)
-                if len(tokens) < SHORTEST:
-                    continue
                 size = min(window, len(tokens))
+                if not size:
+                    continue
                 whole = " ".join(normal(tokens.words[i]) for i in tokens.used.tolist())
                 key = xxhash.xxh64_intdigest(whole.encode(), 1) >> 1
                 for level, begin, ends, hashes in tokens.windows(size, size == window):
+                    if level and size < SHORTEST:
+                        continue
                     for at, end, h in zip(begin.tolist(), ends.tolist(), hashes.tolist()):
                         shown, slots = tokens.shown(at, end, level)
                         out.append((h, end - at, shown, item, key, at, level, slots, len(tokens)))
@@ -306,6 +309,8 @@ def document_windows(
             for i, text in enumerate(texts):
                 tokens = Tokens(text.as_py())
                 for size in sizes:
+                    if size < SHORTEST and len(tokens) != size:
+                        continue  # only a document's whole text is such an item
                     for level, begin, ends, found in tokens.windows(size, size == window):
                         bit = found % most
                         hits = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)

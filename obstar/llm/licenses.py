@@ -20,8 +20,9 @@ windows go through the bands.
 
 Only built-in functions run: one scan, and a join of the candidates' bands.
 
-Defined results: a null or blank text, or one of fewer than five words, has no shingles
-(a template of fewer than five words is not looked for); texts count whole; repeated rows
+Defined results: a null or blank text, or one of fewer than five words, has no shingles; a
+template of fewer than five words has none either and is found where its words are all
+of a text (one shingle, one found); templates without a word are not looked for; texts count whole; repeated rows
 are scanned each, the largest containment counts; a null doc_id is a value like any
 other; empty tables, of documents or templates, give an empty result; other columns are
 not looked at.
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obstar.llm.common import let, prepare
+from obstar.llm.license_texts import TEXTS, WORDINGS
 from obstar.session import materialize
 
 SHINGLE, BANDS, LONGEST, CONTAINED, LITERALS = 5, 48, 32, 0.8, 50_000
@@ -64,8 +66,13 @@ NOTICES = {
 }
 
 
+#: What the registered query looks for.
+TEMPLATES = NOTICES | TEXTS | WORDINGS
+
+
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NOTICES.items()), "license string, text string")
+    """Notices, whole texts and other wordings of common licenses."""
+    return spark.createDataFrame(list(TEMPLATES.items()), "license string, text string")
 
 
 def shingles(text: Column) -> Column:
@@ -156,6 +163,20 @@ def windows(all_shingles: Column, sizes: list[int], least: list[int] | None) ->
     return let(all_shingles, found)
 
 
+def short_texts(df: DataFrame, name: str) -> DataFrame:
+    """(name, words) of the texts of fewer words than a shingle has."""
+    found = F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}\\p{N}]+", -1)
+    held = df.select(name, F.array_remove(found, "").alias("words"))
+    return held.where(F.size("words").between(1, SHINGLE - 1)).select(name, F.array_join("words", " ").alias("words"))
+
+
+def whole_texts(documents: DataFrame, templates: DataFrame) -> DataFrame:
+    """(doc_id, license, found, shingles) of texts that are a template of fewer than a shingle's words."""
+    met = short_texts(documents, "doc_id").join(short_texts(templates, "license"), "words")
+    one = F.lit(1).cast("long")
+    return met.select("doc_id", "license", one.alias("shingles"), one.alias("found")).distinct()
+
+
 def scan(documents: DataFrame, templates: DataFrame) -> DataFrame:
     """(doc_id, license, found, shingles, containment) of the licenses that documents state."""
     spark = prepare(documents.sparkSession)
@@ -205,6 +226,8 @@ def scan(documents: DataFrame, templates: DataFrame) -> DataFrame:
         .groupBy("doc_id", "license")
         .agg(F.max("found").alias("found"), F.max("shingles").alias("shingles"))
     )
+    if not short_texts(templates, "license").isEmpty():
+        contained = contained.unionByName(whole_texts(documents, templates))
     share = F.col("found") / F.col("shingles")
     return contained.where(share >= CONTAINED).select(
         "doc_id", "license", "found", "shingles", F.round(share, 4).alias("containment")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obstar.llm.licenses import NOTICES
+from obstar.llm.licenses import TEMPLATES
 from obstar.llm.shards import PRIMES, ROUNDS, round_keys
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,7 +84,7 @@ def mixed_sql(x: str) -> str:
         SELECT (({x}) * {a} + key) & {low} AS x))))"""
 
 
-NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
+NOTICE_ROWS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES.items())
 
 ORACLE: dict[str, str] = {
     "op1_lines": f"""

@@ -112,3 +112,13 @@ def test_documents_without_and_empty(spark, docs):
     assert sorted(repr(r["doc_id"]) for r in kept.collect()) == ["2", "2", "None"]
     assert found(docs(), items(spark, (1, ITEM))) == {}
     assert found(df, items(spark)) == {}
+
+
+def test_shortest_items_are_found_as_whole_documents(spark, docs):
+    benchmark = spark.createDataFrame([(1, "What is Go?"), (2, "Why?"), (3, "..."), (4, None)], "item_id long, text string")
+    df = docs(
+        (1, "what is GO"), (2, "He asked: what is Go? Nobody knew."), (3, "Why"), (4, "why not"), (5, "?"), (6, ""), (None, "WHY?"),
+        (7, "What is Java?"),
+    )
+    rows = d.contaminated(df, benchmark).collect()
+    assert sorted((repr(r["doc_id"]), r["item_id"], r["covered"]) for r in rows) == [("1", 1, 3), ("3", 2, 1), ("None", 2, 1)]

@@ -37,3 +37,18 @@ def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "license string, text string")
     assert scanned(docs(), licenses.notices(spark)) == []
     assert scanned(docs((1, "Released under the MIT License.")), none) == []
+
+
+def test_templates_shorter_than_a_shingle(spark, docs):
+    templates = spark.createDataFrame([("short", "MIT License"), ("none", "..."), ("null", None)], "license string, text string")
+    df = docs((1, "mit -- LICENSE."), (2, "the MIT License"), (3, "MIT"), (4, ""), (5, None), (None, "MIT license"), (1, "mit license"))
+    found = licenses.scan(df, templates).collect()
+    assert sorted((repr(r["doc_id"]), r["license"], r["found"], r["shingles"]) for r in found) == [("1", "short", 1, 1), ("None", "short", 1, 1)]
+
+
+def test_whole_texts_tell_licenses_apart(spark, docs):
+    rows = list(enumerate(licenses.TEMPLATES.items()))
+    filler = " ".join(f"word{i}" for i in range(200))
+    found = licenses.scan(docs(*[(i, f"{filler} {text} {filler}") for i, (_, text) in rows]), licenses.notices(spark)).collect()
+    whole = {(r["doc_id"], r["license"]) for r in found if r["containment"] == 1}
+    assert {(i, name) for i, (name, _) in rows} <= whole
