@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obstar.llm.common import prepare
+from obstar.llm.common import let, prepare
 from obstar.session import materialize
 
 # Headers a not-modified answer may update, and parameters that only track.
@@ -57,19 +57,30 @@ def lowered(headers: Column) -> Column:
         F.array_sort(F.map_entries(F.coalesce(headers, none))),
         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    names = F.transform(entries, lambda e: e["key"])
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), e["key"]),
-    )
-    return F.map_from_entries(last)
+
+    def last(found: Column, names: Column) -> Column:
+        return F.filter(
+            found,
+            lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), e["key"]),
+        )
+
+    def once(found: Column, names: Column) -> Column:
+        different = F.size(F.array_distinct(names)) == F.size(names)
+        return F.map_from_entries(F.when(different, found).otherwise(last(found, names)))
+
+    # bound by lambdas, so that each part is worked out once a row
+    return let(entries, lambda found: let(F.transform(found, lambda e: e["key"]), lambda names: once(found, names)))
 
 
 def merged_headers(response: Column, revisit: Column) -> Column:
     """The response's headers with those the revisit may replace."""
     update = F.map_filter(lowered(revisit), lambda k, v: k.isin(PERMITTED) & v.isNotNull())
-    kept = F.map_filter(lowered(response), lambda k, v: ~F.array_contains(F.map_keys(update), k))
-    return F.map_concat(kept, update)
+
+    def merged(new: Column, names: Column) -> Column:
+        kept = F.map_filter(lowered(response), lambda k, v: ~F.array_contains(names, k))
+        return F.map_concat(kept, new)
+
+    return let(update, lambda new: let(F.map_keys(new), lambda names: merged(new, names)))
 
 
 def same_content(revisit: dict[str, Column], response: Column) -> Column:
