@@ -80,6 +80,11 @@ _SLOTS = {1: "<num>", 2: "<name>", 3: "<unit>"}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: What the listed words may be.
+_LISTED = {w: (NUMBER if w in NUMBER_WORDS else 0) | (UNIT if w in UNITS else 0) for w in NUMBER_WORDS | UNITS}
+_BYTES = [bytes([i]) for i in range(256)]
+
+
 def normal(word: str) -> str:
     low = word.lower()
     return low if low == "%" else _EDGES.sub("", low)
@@ -87,7 +92,14 @@ def normal(word: str) -> str:
 
 def code(word: str) -> bytes:
     """8 bytes: what the word may be in the lowest, a hash of its normal form in the others."""
-    # most words are letters, with one mark after them at most
+    if word.isalpha():
+        low = word.lower()
+        if low.isalpha():  # so most words are
+            flags = _LISTED.get(low, 0)
+            if low != word and len(word) > 1:
+                flags |= CAPITAL
+            return _BYTES[flags] + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
+    # others have letters with one mark after them at most, or are of any kind
     bare, mark = (word, "") if word.isalpha() else (word[:-1], word[-1:])
     low = bare.lower()
     if bare.isalpha() and low.isalpha() and not mark.isalnum():
