@@ -92,3 +92,21 @@ def test_components_of_rows(spark):
         [(5, 1, "a"), (3, 1, "b"), (9, 2, "b"), (4, 7, "x"), (6, 8, "y"), (8, 8, "z")], "n long, k int, t string"
     )
     assert rows(of_rows(found, "n", [["k"], ["t"]], "c")) == [(3, 3), (5, 3), (6, 6), (8, 6), (9, 3)]
+
+
+def test_chain_of_many_groups_takes_few_steps(spark):
+    """A chain much longer than the rows that are settled together."""
+    links = [(i // 2, f"t{(i + 1) // 2}", i) for i in range(3000)]
+    assert insert(spark, [], links, group=10, max_rounds=2) == sequential([], links)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_that_fork_and_meet(spark, seed):
+    """Chains in no order, with rows across them: roots that are open, and rows below them."""
+    rng = random.Random(seed)
+    at = list(range(400))
+    rng.shuffle(at)
+    offers = [(i // 2, f"t{(i + 1) // 2}", i) for i in range(300)]
+    offers += [(1000 + i // 2, f"u{(i + 1) // 2}", 1000 + at[i]) for i in range(300)]
+    offers += [(rng.randrange(150), f"t{rng.randrange(150)}", rng.randrange(2000)) for _ in range(10 * seed)]
+    assert insert(spark, [], offers, group=7) == sequential([], offers)
