@@ -7,6 +7,10 @@ letters or more with a capital among them. A capital at the start of a sentence
 name's or not, and case may differ, so there are three templates: with numbers and units
 left open, with names inside sentences too, and with all names.
 
+Words are found and judged for many texts at a time, from arrays of what each character
+is: a dictionary of words would be looked up, and missed, once a word. Words with
+characters of unusual case, or with a hyphen inside, are judged one by one.
+
 A window is `window` tokens in a row; it is looked for word for word, and as each template
 that differs. A template with more slots than words would match too much: such a window is
 made longer, to its right and to its left, until it holds half a window of words. Texts
@@ -39,6 +43,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +51,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import Known, only, prepare
+from obstar.llm.common import prepare
 from obstar.session import materialize
 
 WINDOW, LEAST, SHORTEST = 8, 13, 5
 TEMPLATES = 3
 FILTER_BITS = 1 << 23
-REMEMBERED = 500_000
 
 # Units of measure.
 UNITS = frozenset(
@@ -71,18 +75,25 @@ NUMBER_WORDS = frozenset(
 )
 _TENS = frozenset("twenty thirty forty fifty sixty seventy eighty ninety".split())
 
-EMPTY, NUMBER, CAPITAL, UNIT, STOP, GLUED = 1, 2, 4, 8, 16, 32
-_FLAGS = np.uint64(0xFF)
+EMPTY, NUMBER, CAPITAL, UNIT, STOP = 1, 2, 4, 8, 16
 STOPS = frozenset(".!?:…")
+CLOSING = "\"')]»”’"
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _GLUED = re.compile(r"(?<=\d)(?=[^\W\d_]|%)|(?<=[$€£])(?=\d)")
+_SPACE, _WORD = re.compile(r"\s"), re.compile(r"\S+")
 _SLOTS = {1: "<num>", 2: "<name>", 3: "<unit>"}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-#: What the listed words may be.
+#: The listed words, and what they may be.
 _LISTED = {w: (NUMBER if w in NUMBER_WORDS else 0) | (UNIT if w in UNITS else 0) for w in NUMBER_WORDS | UNITS}
-_BYTES = [bytes([i]) for i in range(256)]
+
+#: Characters that are looked at together; texts are cut at white space for that. Parts of
+#: more than `ENDLESS`, which have an endless word, are looked at word by word.
+PART, ENDLESS = 1 << 16, 1 << 20
+
+# What a character is.
+BLANK, DECIMAL, LETTER, CURRENCY, INNER, UPPER, ODD, HYPHEN = (1 << i for i in range(8))
 
 
 def normal(word: str) -> str:
@@ -90,83 +101,239 @@ def normal(word: str) -> str:
     return low if low == "%" else _EDGES.sub("", low)
 
 
-def code(word: str) -> bytes:
-    """8 bytes: what the word may be in the lowest, a hash of its normal form in the others."""
-    if word.isalpha():
-        low = word.lower()
-        if low.isalpha():  # so most words are
-            flags = _LISTED.get(low, 0)
-            if low != word and len(word) > 1:
-                flags |= CAPITAL
-            return _BYTES[flags] + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
-    # others have letters with one mark after them at most, or are of any kind
-    bare, mark = (word, "") if word.isalpha() else (word[:-1], word[-1:])
-    low = bare.lower()
-    if bare.isalpha() and low.isalpha() and not mark.isalnum():
-        flags = STOP if mark in STOPS else 0
-    else:
-        low, bare = normal(word), _EDGES.sub("", word)
-        flags = 0 if low else EMPTY
-        if low[:1].isdigit():
-            flags |= NUMBER
-        if word.rstrip("\"')]»”’")[-1:] in STOPS:
-            flags |= STOP
-        if _GLUED.search(word):
-            flags |= GLUED
+def code(word: str) -> tuple[int, str]:
+    """What a word may be, and its normal form."""
+    low, bare = normal(word), _EDGES.sub("", word)
+    flags = _LISTED.get(low, 0) if low else EMPTY
+    if low[:1].isdigit() or ("-" in low and low.partition("-")[0] in _TENS):
+        flags |= NUMBER
+    if word.rstrip(CLOSING)[-1:] in STOPS:
+        flags |= STOP
     if len(bare) > 1 and bare != bare.lower():
         flags |= CAPITAL
-    if low in NUMBER_WORDS or ("-" in low and low.partition("-")[0] in _TENS):
-        flags |= NUMBER
-    if low in UNITS:
-        flags |= UNIT
-    return bytes([flags]) + xxhash.xxh64_digest(low.encode("utf-8", "replace"))[:7]
+    return flags, low
+
+
+def _character(c: str) -> tuple[int, int]:
+    """What a character is, and its lower case.
+
+    It is odd if its lower case depends on other characters, is not one character, or is
+    of another kind, or if it is a digit that is not decimal.
+    """
+    low = c.lower()
+    odd = c == "Σ" or len(low) != 1 or c.isalnum() != low.isalnum() or c.isdigit() != c.isdecimal()
+    found = (
+        (BLANK, c.isspace()),
+        (DECIMAL, c.isdecimal()),
+        (LETTER, c == "%" or c.isalnum() and not c.isdecimal()),
+        (CURRENCY, c in "$€£"),
+        (INNER, c.isalnum()),
+        (UPPER, low != c),
+        (ODD, odd),
+        (HYPHEN, c == "-"),
+    )
+    return sum(bit for bit, there in found if there), ord(low[0])
+
+
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """What each character below 65536 is, and its lower case."""
+    kinds, lows = zip(*(_character(chr(i)) for i in range(1 << 16)))
+    return np.array(kinds, np.uint8), np.array(lows, np.uint64)
+
 
+def _mixed(sums: np.ndarray) -> np.ndarray:
+    sums = (sums ^ (sums >> np.uint64(32))) * _BASE
+    return sums ^ (sums >> np.uint64(29))
 
-def codes() -> Known:
-    return only(("codes",), lambda: Known(lambda words: [code(w) for w in words], REMEMBERED))
+
+def _literal(low: str) -> np.uint64:
+    """The hash of a word's normal form, as `_words` has it."""
+    if len(low) > ENDLESS:
+        return np.uint64(xxhash.xxh64_intdigest(low.encode("utf-8", "replace")))
+    points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return _mixed((points * _powers(len(points))[0][: len(points)]).sum(dtype=np.uint64, keepdims=True))[0]
+
+
+@lru_cache(maxsize=1)
+def _listed() -> tuple[np.ndarray, ...]:
+    """The listed words by their hash: what the hash may begin with, hashes, lengths, characters, flags."""
+    words = sorted(_LISTED, key=_literal)
+    hashes = np.array([_literal(w) for w in words], np.uint64)
+    begins = np.zeros(1 << 16, bool)
+    begins[hashes >> np.uint64(48)] = True
+    lengths = np.array([len(w) for w in words])
+    letters = np.zeros((len(words), lengths.max()), np.uint64)
+    for row, word in zip(letters, words):
+        row[: len(word)] = [ord(c) for c in word]
+    return begins, hashes, lengths, letters, np.array([_LISTED[w] for w in words], np.uint8)
+
+
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _words_one_by_one(text: str) -> Found:
+    spans = []
+    for word in _WORD.finditer(text):
+        cuts = [m.start() for m in _GLUED.finditer(text, word.start(), word.end())]
+        spans += zip([word.start(), *cuts], [*cuts, word.end()])
+    found = [code(text[a:b]) for a, b in spans]
+    begin, end = np.array(spans, np.int64).reshape(-1, 2).T
+    literal = np.array([_literal(low) for _, low in found], np.uint64)
+    return begin, end, np.array([flags for flags, _ in found], np.uint8), literal
+
+
+def _words(text: str) -> Found:
+    """Where the words of a text begin and end, what they may be, and hashes of their normal forms.
+
+    All words together, from what the characters are; `code` has the rules, and looks at
+    the words that have odd characters or a hyphen inside.
+    """
+    kinds, lows = _characters()
+    if text.isascii():
+        points = np.frombuffer(text.encode(), np.uint8).astype(np.intp)
+    else:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.intp)
+        far = points >= len(kinds)
+        if far.any():
+            others, place = np.unique(points[far], return_inverse=True)
+            more = [_character(chr(i)) for i in others.tolist()]
+            points[far] = len(kinds) + place
+            kinds = np.concatenate((kinds, np.array([k for k, _ in more], np.uint8)))
+            lows = np.concatenate((lows, np.array([low for _, low in more], np.uint64)))
+    kind, low = kinds.take(points), lows.take(points)
+
+    first = (kind & BLANK) == 0
+    last = first.copy()
+    first[1:] &= ~last[:-1]
+    last[:-1] &= (kind[1:] & BLANK) > 0
+    digits = np.flatnonzero(kind & DECIMAL)
+    if len(digits):
+        # a number's unit, and a price's currency, are words of their own
+        after, before = digits[digits + 1 < len(kind)] + 1, digits[digits > 0]
+        cuts = np.concatenate((after[(kind[after] & LETTER) > 0], before[(kind[before - 1] & CURRENCY) > 0]))
+        first[cuts], last[cuts - 1] = True, True
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if not len(begin):
+        return begin, end, np.empty(0, np.uint8), np.empty(0, np.uint64)
+
+    # the normal form is from the first letter or digit to the last
+    inner = (kind & INNER) > 0
+    places = np.append(np.flatnonzero(inner), 0)
+    count = np.zeros(len(kind) + 1, np.int32)
+    np.cumsum(inner, out=count[1:])
+    n_begin, n_end = count[begin], count[end]
+    some = n_end > n_begin
+    a = np.where(some, places[n_begin], begin)
+    z = np.where(some, places[n_end - 1] + 1, begin)
+    percent = np.flatnonzero((end - begin == 1) & (low[begin] == ord("%")))
+    z[percent] = end[percent]
+    powers, inverse = _powers(len(kind))
+    sums = np.zeros(len(kind) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(low * powers[: len(low)], out=sums[1:])
+        literal = _mixed((sums[z] - sums[a]) * inverse[a])
+
+    flags = np.where(z > a, 0, EMPTY).astype(np.uint8)
+    flags[some & ((kind[a] & DECIMAL) > 0)] |= NUMBER
+    mark = end - 1
+    closing, stops = ([ord(c) for c in x] for x in (CLOSING, STOPS))
+    maybe = np.flatnonzero((kind[mark] & INNER) == 0)
+    at = mark[maybe]
+    shut = np.isin(low[at], closing) & (at > begin[maybe])
+    open_ = np.append(np.flatnonzero(~np.isin(low, closing)), 0) if shut.any() else None
+    if open_ is not None:
+        back = np.searchsorted(open_[:-1], at[shut]) - 1
+        at[shut] = np.where(back >= 0, np.maximum(open_[back], begin[maybe][shut]), begin[maybe][shut])
+    flags[maybe[np.isin(low[at], stops)]] |= STOP
+    upper = np.flatnonzero(kind & UPPER)
+    word = np.searchsorted(begin, upper, side="right") - 1
+    upper = word[(a[word] <= upper) & (upper < z[word]) & (z[word] - a[word] > 1)]
+    flags[upper] |= CAPITAL
+
+    begins, hashes, lengths, letters, meant = _listed()
+    maybe = np.flatnonzero(begins[literal >> np.uint64(48)])
+    which = np.minimum(np.searchsorted(hashes, literal[maybe]), len(hashes) - 1)
+    same = (hashes[which] == literal[maybe]) & (lengths[which] == (z - a)[maybe])
+    maybe, which = maybe[same], which[same]
+    reach = np.arange(letters.shape[1])
+    there = low[np.minimum(a[maybe][:, None] + reach, len(low) - 1)] == letters[which]
+    same = (there | (reach >= lengths[which][:, None])).all(axis=1)
+    flags[maybe[same]] |= meant[which[same]]
+
+    odd = np.flatnonzero(kind & (ODD | HYPHEN))
+    if len(odd):
+        word = np.searchsorted(begin, odd, side="right") - 1
+        for i in np.unique(word[((kind[odd] & ODD) > 0) | ((a[word] < odd) & (odd < z[word]))]).tolist():
+            flags[i], form = code(text[begin[i] : end[i]])
+            literal[i] = _literal(form)
+    return begin, end, flags, literal
+
+
+def _located(text: str) -> Found:
+    """The words of a text of any length, in parts that are cut at white space."""
+    found, start = [], 0
+    while start < len(text) or not found:
+        space = _SPACE.search(text, start + PART) if len(text) - start > PART else None
+        stop = space.start() if space else len(text)
+        part = text[start:stop]
+        begin, end, *rest = (_words if len(part) <= ENDLESS else _words_one_by_one)(part)
+        found.append((begin + start, end + start, *rest))
+        start = stop
+    return found[0] if len(found) == 1 else tuple(map(np.concatenate, zip(*found)))
 
 
 class Tokens:
-    """The tokens of a text: words, literal hashes, slot types (0: none) of each template."""
-
-    def __init__(self, text: str | None):
-        self.words = (text or "").split()
-        found = self.coded()
-        if (found & np.uint64(GLUED)).any():
-            self.words = _GLUED.sub(" ", text).split()
-            found = self.coded()
-        starts = np.ones(len(found), bool)
-        starts[1:] = (found[:-1] & np.uint64(STOP)) > 0
-        used = np.flatnonzero((found & np.uint64(EMPTY)) == 0)
-        self.used, found, starts = used, found[used], starts[used]
-        number = (found & np.uint64(NUMBER)) > 0
-        after = np.zeros(len(found), bool)
-        after[1:] = number[:-1]
-        unit = ((found & np.uint64(UNIT)) > 0) & after & ~number
-        name = ((found & np.uint64(CAPITAL)) > 0) & ~number & ~unit
+    """The tokens of texts, one text after the other: words, literal hashes, slot types (0:
+    none) of each template. The tokens of the i-th text are those from edges[i] on."""
+
+    def __init__(self, *texts: str | None):
+        self.text = "\n".join([t or "" for t in texts])
+        begin, end, flags, literal = _located(self.text)
+        offsets = np.cumsum([0, *(len(t or "") + 1 for t in texts)])
+        edges = np.searchsorted(begin, offsets)
+        starts = np.ones(len(begin) + 1, bool)
+        starts[1:] = (flags & STOP) > 0
+        starts[edges] = True
+        is_used = (flags & EMPTY) == 0
+        used = np.flatnonzero(is_used)
+        self.edges = np.concatenate(([0], np.cumsum(is_used)))[edges]
+        self.begin, self.end, starts, found = begin[used], end[used], starts[used], flags[used]
+        number = (found & NUMBER) > 0
+        after = np.zeros(len(found) + 1, bool)
+        after[1:] = number
+        after[self.edges] = False
+        unit = ((found & UNIT) > 0) & after[:-1] & ~number
+        name = ((found & CAPITAL) > 0) & ~number & ~unit
         numbers = np.where(number, 1, np.where(unit, 3, 0)).astype(np.int8)
         inside = np.where(name & ~starts, np.int8(2), numbers)
         self.kinds = [np.zeros(len(found), np.int8), numbers, inside, np.where(name, np.int8(2), numbers)]
-        self.literal = found & ~_FLAGS
+        self.literal = literal[used]
         self.sums: dict[int, np.ndarray] = {}
 
-    def coded(self) -> np.ndarray:
-        look_up = codes().of(set(self.words))
-        return np.frombuffer(b"".join(map(look_up, self.words)), "<u8")
+    def words(self, at: int, end: int) -> list[str]:
+        """Some tokens in their normal forms."""
+        spans = zip(self.begin[at:end].tolist(), self.end[at:end].tolist())
+        return [normal(self.text[a:b]) for a, b in spans]
 
     def __len__(self) -> int:
-        return len(self.used)
+        return len(self.begin)
 
-    def windows(self, size: int, longer: bool) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def windows(
+        self, size: int, longer: bool, whole: bool = False
+    ) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Where windows begin and end, with their hashes: as they are (0), and by template.
 
-        They are of `size` tokens; with `longer`, those of too few words are longer. A
-        window is there for a template only if it differs from that of the one before.
+        They are of `size` tokens; with `longer`, those of too few words are longer; with
+        `whole`, only those that are all of a text. A window is there for a template only if
+        it differs from that of the one before.
         """
-        n = len(self) - size + 1
-        if n < 1:
+        held = np.diff(self.edges)
+        from_, to = np.repeat(self.edges[:-1], held), np.repeat(self.edges[1:], held)
+        begin = self.edges[:-1][held == size] if whole else np.flatnonzero(np.arange(size, len(self) + size) <= to)
+        if not len(begin):
             return []
-        begin = np.arange(n)
         end = begin + size
         found = [(0, begin, end, self.hashed(0, begin, end))]
         for level in range(1, len(self.kinds)):
@@ -176,10 +343,11 @@ class Tokens:
                 continue
             before = np.concatenate(([0], np.cumsum(is_open)))
             added = np.concatenate(([0], np.cumsum(new)))
-            few = 2 * (before[size:] - before[:-size]) > size
+            few = 2 * (before[end] - before[begin]) > size
             first, last = begin[~few], end[~few]
             if longer and few.any():
-                more = self.lengthened(np.flatnonzero(~is_open), begin[few], end[few], size - size // 2)
+                plain, words = np.flatnonzero(~is_open), size - size // 2
+                more = self.lengthened(plain, begin[few], end[few], words, from_[begin[few]], to[begin[few]])
                 first, last = np.concatenate((first, more[0])), np.concatenate((last, more[1]))
             kept = added[last] > added[first]
             first, last = first[kept], last[kept]
@@ -189,15 +357,16 @@ class Tokens:
 
     @staticmethod
     def lengthened(
-        plain: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int
+        plain: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int, from_: np.ndarray, to: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The windows with as many plain words as asked for that begin, or end, where these do."""
+        """The windows with as many plain words as asked for that begin, or end, where these do,
+        in the texts that go from `from_` to `to`."""
         if len(plain) < least:
             return begin[:0], end[:0]
         right = np.searchsorted(plain, begin) + least - 1
-        fits = right < len(plain)
+        fits = (right < len(plain)) & (plain[np.minimum(right, len(plain) - 1)] < to)
         left = np.searchsorted(plain, end) - least
-        reaches = left >= 0
+        reaches = (left >= 0) & (plain[np.maximum(left, 0)] >= from_)
         return (
             np.concatenate((begin[fits], plain[left[reaches]])),
             np.concatenate((plain[right[fits]] + 1, end[reaches])),
@@ -219,7 +388,7 @@ class Tokens:
 
     def shown(self, at: int, end: int, level: int) -> tuple[str, list[str]]:
         """The window as text, and its open slots as type and value."""
-        plain = [normal(self.words[i]) for i in self.used[at:end].tolist()]
+        plain = self.words(at, end)
         if not level:
             return " ".join(plain), []
         kinds = self.kinds[level][at:end].tolist()
@@ -258,7 +427,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 size = min(window, len(tokens))
                 if not size:
                     continue
-                whole = " ".join(normal(tokens.words[i]) for i in tokens.used.tolist())
+                whole = " ".join(tokens.words(0, len(tokens)))
                 key = xxhash.xxh64_intdigest(whole.encode(), 1) >> 1
                 for level, begin, ends, hashes in tokens.windows(size, size == window):
                     if level and size < SHORTEST:
@@ -307,6 +476,21 @@ def window_filter(items: DataFrame, bits: int = FILTER_BITS) -> bytes:
     return bytes(found)
 
 
+def groups(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts that are looked at together, with the number of the first: of `PART` characters
+    or little more, or a longer one alone."""
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        text = text.as_py()
+        if held and size + len(text or "") > PART:
+            yield first, held
+            first, held, size = i, [], 0
+        held.append(text)
+        size += len(text or "") + 1
+    if held:
+        yield first, held
+
+
 def document_windows(
     documents: DataFrame, sizes: list[int], passing: bytes, window: int = WINDOW
 ) -> DataFrame:
@@ -316,20 +500,22 @@ def document_windows(
         bitmap = np.frombuffer(passing, np.uint8)
         most = np.int64(len(bitmap) * 8)
         for batch in batches:
-            ids, hashes, texts = batch.columns
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = []
-            for i, text in enumerate(texts):
-                tokens = Tokens(text.as_py())
+            for first, texts in groups(batch.column(2)):
+                tokens = Tokens(*texts)
                 for size in sizes:
-                    if size < SHORTEST and len(tokens) != size:
-                        continue  # only a document's whole text is such an item
-                    for level, begin, ends, found in tokens.windows(size, size == window):
+                    # only a document's whole text is an item of few tokens
+                    for level, begin, ends, found in tokens.windows(size, size == window, size < SHORTEST):
                         bit = found % most
                         hits = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                        passed = zip(begin[hits].tolist(), ends[hits].tolist(), found[hits].tolist())
-                        for at, end, h in passed:
+                        begin = begin[hits]
+                        text = np.searchsorted(tokens.edges, begin, side="right") - 1
+                        passed = zip(text.tolist(), begin.tolist(), ends[hits].tolist(), found[hits].tolist())
+                        for i, at, end, h in passed:
                             shown, slots = tokens.shown(at, end, level)
-                            out.append((ids[i].as_py(), hashes[i].as_py(), h, end - at, shown, at, level, slots))
+                            own = at - int(tokens.edges[i])
+                            out.append((ids[first + i], hashes[first + i], h, end - at, shown, own, level, slots))
             names = ["doc_id", "text_hash", "h", "size", "shown", "at", "level", "slots"]
             columns = list(zip(*out)) or [[]] * len(names)
             types = [

@@ -122,3 +122,54 @@ def test_shortest_items_are_found_as_whole_documents(spark, docs):
     )
     rows = d.contaminated(df, benchmark).collect()
     assert sorted((repr(r["doc_id"]), r["item_id"], r["covered"]) for r in rows) == [("1", 1, 3), ("3", 2, 1), ("None", 2, 1)]
+
+
+def test_ordinary_words_are_looked_at_together(monkeypatch):
+    asked, code = [], d.code
+    monkeypatch.setattr(d, "code", lambda word: asked.append(word) or code(word))
+    tokens = d.Tokens("Anna buys 12 apples for 3kg each, says Ben. Über 50% a day!", "in twenty-two days")
+    assert asked == ["twenty-two"]
+    assert tokens.edges.tolist() == [0, 15, 18]
+    assert tokens.words(4, 8) == ["for", "3", "kg", "each"]
+    assert tokens.kinds[3].tolist() == [2, 0, 1, 0, 0, 1, 3, 0, 0, 2, 2, 1, 3, 0, 0, 0, 1, 3]
+
+
+def test_words_together_and_one_by_one(monkeypatch):
+    draw = random.Random(3)
+    bits = """Anna 12 3kg $5 €7m 50% % %. twenty-two co-op x² ² Σ ΟΔΟΣ İstanbul ǅ … ." !) a in U.S. 日本語 １２km 𝟏𝟐kg 𝒜bc
+    _x_ -- O’Neill 5 Zero » (5) ٣٤ ⅷ Ω Kg. 9-to-5 thirty–one \0 half m""".split()
+    gaps = [" ", " ", "\n", "\x1c", " ", ""]
+    texts = ["".join(draw.choice(bits) + draw.choice(gaps) for _ in range(draw.randint(0, 30))) for _ in range(300)]
+    apart = [d.Tokens(t) for t in [*texts, None]]
+
+    def all_of(many):
+        return [x for one in many for x in zip(one.words(0, len(one)), one.literal.tolist(), *(k.tolist() for k in one.kinds))]
+
+    want = all_of(apart)
+    assert len({w for w, *_ in want}) == len({h for _, h, *_ in want}) > 100
+    assert all_of([d.Tokens(*texts, None)]) == want
+    monkeypatch.setattr(d, "PART", 7)
+    assert all_of([d.Tokens(*texts, None)]) == want
+    monkeypatch.setattr(d, "ENDLESS", 0)
+    assert [w[0] for w in all_of(d.Tokens(t) for t in texts)] == [w[0] for w in want]
+    assert [w[2:] for w in all_of(d.Tokens(t) for t in texts)] == [w[2:] for w in want]
+
+
+def test_windows_stay_within_their_texts():
+    texts = ["one two", "Tom paid 1 2 3 4 5 6 7 8 9 to Anna", "", "a b c d e f g h i", "b c d e f g h i j Ben 1 2 3 4"]
+    together, found = d.Tokens(*texts), []
+    for size, whole in ((d.WINDOW, False), (5, False), (2, True)):
+        alone = set()
+        for i, text in enumerate(texts):
+            one = d.Tokens(text)
+            for level, begin, end, hashes in one.windows(size, size == d.WINDOW, whole):
+                first = int(together.edges[i])
+                alone |= set(zip([level] * len(begin), (begin + first).tolist(), (end + first).tolist(), hashes.tolist()))
+        both = {
+            x
+            for level, *rest in together.windows(size, size == d.WINDOW, whole)
+            for x in zip([level] * len(rest[0]), *(r.tolist() for r in rest))
+        }
+        assert both == alone
+        found.append(len(both))
+    assert found[2] == 1 and found[0] > 5
