@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obstar.llm.common import prepare
+from obstar.llm.common import BASE, powers, prepare
 from obstar.session import materialize
 
 WINDOW, LEAST, SHORTEST = 8, 13, 5
@@ -82,7 +82,6 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _GLUED = re.compile(r"(?<=\d)(?=[^\W\d_]|%)|(?<=[$€£])(?=\d)")
 _SPACE, _WORD = re.compile(r"\s"), re.compile(r"\S+")
 _SLOTS = {1: "<num>", 2: "<name>", 3: "<unit>"}
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 #: The listed words, and what they may be.
@@ -143,7 +142,7 @@ def _characters() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mixed(sums: np.ndarray) -> np.ndarray:
-    sums = (sums ^ (sums >> np.uint64(32))) * _BASE
+    sums = (sums ^ (sums >> np.uint64(32))) * BASE
     return sums ^ (sums >> np.uint64(29))
 
 
@@ -153,7 +152,7 @@ def _literal(low: str) -> np.uint64:
         return np.uint64(xxhash.xxh64_intdigest(low.encode("utf-8", "replace")))
     points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     with np.errstate(over="ignore"):
-        return _mixed((points * _powers(len(points))[0][: len(points)]).sum(dtype=np.uint64, keepdims=True))[0]
+        return _mixed((points * powers(len(points))[0][: len(points)]).sum(dtype=np.uint64, keepdims=True))[0]
 
 
 @lru_cache(maxsize=1)
@@ -229,10 +228,10 @@ def _words(text: str) -> Found:
     z = np.where(some, places[n_end - 1] + 1, begin)
     percent = np.flatnonzero((end - begin == 1) & (low[begin] == ord("%")))
     z[percent] = end[percent]
-    powers, inverse = _powers(len(kind))
+    power, inverse = powers(len(kind))
     sums = np.zeros(len(kind) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(low * powers[: len(low)], out=sums[1:])
+        np.cumsum(low * power[: len(low)], out=sums[1:])
         literal = _mixed((sums[z] - sums[a]) * inverse[a])
 
     flags = np.where(z > a, 0, EMPTY).astype(np.uint8)
@@ -374,17 +373,17 @@ class Tokens:
 
     def hashed(self, level: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The hashes of windows of any size, from running sums of the tokens' hashes."""
-        powers, inverse = _powers(len(self))
+        power, inverse = powers(len(self))
         with np.errstate(over="ignore"):
             if level not in self.sums:
                 kind = self.kinds[level]
                 tokens = np.where(kind > 0, kind.astype(np.uint64), self.literal) if level else self.literal
                 sums = np.zeros(len(tokens) + 1, np.uint64)
-                np.cumsum(tokens * powers[: len(tokens)], out=sums[1:])
+                np.cumsum(tokens * power[: len(tokens)], out=sums[1:])
                 self.sums[level] = sums
             sums = self.sums[level]
             total = (sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64)
-            return ((total ^ (total >> np.uint64(31))) * _BASE).view(np.int64)
+            return ((total ^ (total >> np.uint64(31))) * BASE).view(np.int64)
 
     def shown(self, at: int, end: int, level: int) -> tuple[str, list[str]]:
         """The window as text, and its open slots as type and value."""
@@ -396,26 +395,6 @@ class Tokens:
         return " ".join(_SLOTS[k] if k else w for k, w in zip(kinds, plain)), slots
 
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    """At least n powers of the base, and of its inverse, modulo 2^64."""
-    size = len(_POWERS[0])
-    if size < n:
-        # those of a text of a usual size are kept, of longer ones not
-        grown = []
-        for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
-            one = np.full(max(n, 1 << 14), base, np.uint64)
-            one[0] = 1
-            with np.errstate(over="ignore"):
-                grown.append(np.cumprod(one))
-        if n > 1 << 20:
-            return grown
-        _POWERS[:] = grown
-    return _POWERS
-
-
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(h, size, shown, item_id, item_at, item_level, item_slots, tokens) of every item's windows."""
 

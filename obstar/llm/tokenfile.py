@@ -17,8 +17,10 @@ and streams its rows into blocks of about `BLOCK_IDS` ids: a task holds one bloc
 batch. Where a block starts in the whole array is known from the ranges' totals, one
 number per range.
 
-Pieces of text are encoded by the model of the tokenizers library, each piece of a batch
-that is not known once; a worker keeps the ids of pieces in a dictionary of bounded size.
+Pieces of text are found from arrays of what each character is, for many texts together;
+pieces of one hash, whose characters are compared, are looked up once a batch. The model of
+the tokenizers library encodes those that are not known; a worker keeps the ids of pieces
+in a dictionary of bounded size.
 White space never belongs to a piece, so long texts are cut at spaces.
 
 Defined results: a null or empty text has just the end id; null doc_ids come first;
@@ -37,18 +39,24 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from obstar.llm.bpe import PIECES, byte_symbols, normal
-from obstar.llm.common import Known, only, prepare, scratch
+from obstar.llm.common import Known, only, powers, prepare, scratch
 
 BLOCK_IDS = 1 << 18
 #: Half the number of pieces whose ids a worker remembers.
 PIECES_KEPT = 500_000
 #: Characters that are encoded at once; longer texts are cut at spaces.
 LONG = 1 << 20
+#: Characters whose pieces are found together; texts of more than `ENDLESS`, which have an
+#: endless word, are encoded piece by piece.
+PART, ENDLESS = 1 << 16, 1 << 22
+# What a character is.
+BLANK, LETTER, NUMBER, OTHER = range(4)
 # Fixed value: PIECES for text without other letters, digits and white space than ASCII's.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
 _CHUNK = 64  # bytes of the unary part to a directory entry
@@ -147,7 +155,7 @@ class BatchEncoder:
     def __init__(self, path: str, pieces: int = PIECES_KEPT):
         tokenizer, self.kind = library(path), f"<u{id_width(path)}"
         self.model = tokenizer.model
-        self.symbols = dict(enumerate(byte_symbols()))
+        self.symbols = {i: s for i, s in enumerate(byte_symbols()) if i != ord("\n")}
         added = tokenizer.get_added_tokens_decoder()
         self.special = {t.content: np.array([i], self.kind).tobytes() for i, t in added.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
@@ -156,11 +164,12 @@ class BatchEncoder:
 
     def of_pieces(self, pieces: list[str]) -> list[bytes]:
         """The library's model takes a piece in the symbols of its bytes."""
-        tokens, symbols = self.model.tokenize, self.symbols
+        # white space never belongs to a piece
+        text = "\n".join(pieces).encode("utf-8").decode("latin-1").translate(self.symbols)
         ids: list[int] = []
         ends = [0]
-        for piece in pieces:
-            ids += [t.id for t in tokens(piece.encode("utf-8").decode("latin-1").translate(symbols))]
+        for tokens in map(self.model.tokenize, text.split("\n")):
+            ids += [token.id for token in tokens]
             ends.append(len(ids))
         packed, width = np.array(ids, self.kind).tobytes(), int(self.kind[2:])
         return [packed[width * a : width * b] for a, b in zip(ends, ends[1:])]
@@ -190,11 +199,111 @@ class BatchEncoder:
         return [b"".join([x if isinstance(x, bytes) else ids[x] for x in o]) for o in order]
 
     def _runs(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces_of(normal(t)) for t in texts]
+        """Packed ids of each text: pieces are found and put together as arrays, and only
+        each piece of all texts once is looked up."""
+        texts = [normal(t) for t in texts]
+        if max(map(len, texts)) > ENDLESS:
+            return self._piece_by_piece(texts)
+        parts, offset = [], 0
+        for group in grouped(texts):
+            solid, begin, end, hashes = located("\n".join(group))
+            parts.append((solid, begin + offset, end + offset, hashes))
+            offset += sum(map(len, group)) + len(group)
+        solid, begin, end, hashes = map(np.concatenate, zip(*parts))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if not same_pieces(solid, end - begin, first[which]):
+            return self._piece_by_piece(texts)
+        whole = "\n".join(texts)
+        pieces = [whole[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+        packed = list(map(self.known.of(set(pieces)), pieces))
+        width = int(self.kind[2:])
+        ids = np.frombuffer(b"".join(packed), self.kind)
+        held = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+        n = held[which]
+        ends = np.cumsum(n)
+        ids = ids[np.arange(n.sum()) + np.repeat((np.cumsum(held) - held)[which] - (ends - n), n)].tobytes()
+        edges = np.searchsorted(begin, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+        edges = (np.concatenate(([0], ends))[edges] * width).tolist()
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
+
+    def _piece_by_piece(self, texts: list[str]) -> list[bytes]:
+        cut = [pieces_of(t) for t in texts]
         get = self.known.of(set().union(*cut))
         return [b"".join(map(get, c)) for c in cut]
 
 
+def grouped(texts: list[str]) -> Iterator[list[str]]:
+    """Texts of `PART` characters together, or little more, or a longer one alone."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > PART:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text) + 1
+    yield held
+
+
+def _kinds(characters: str) -> np.ndarray:
+    """What PIECES takes each character for."""
+    found = np.full(len(characters), OTHER, np.uint8)
+    for kind, pattern in ((BLANK, r"\s"), (LETTER, r"\p{L}"), (NUMBER, r"\p{N}")):
+        found[[m.start() for m in regex.finditer(pattern, characters)]] = kind
+    return found
+
+
+@lru_cache(maxsize=1)
+def _low_kinds() -> np.ndarray:
+    return _kinds("".join(map(chr, range(1 << 16))))
+
+
+def located(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of the pieces of a text in its normal form, where these begin and end,
+    and their hashes."""
+    kinds = _low_kinds()
+    if text.isascii():
+        points = np.frombuffer(text.encode(), np.uint8).astype(np.uint32)
+    else:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    places = points.astype(np.intp)
+    far = points >= len(kinds)
+    if far.any():
+        others, which = np.unique(points[far], return_inverse=True)
+        places[far] = len(kinds) + which
+        kinds = np.concatenate((kinds, _kinds("".join(map(chr, others.tolist())))))
+    kind = np.append(kinds.take(places), [BLANK] * 3)
+    full = kind != BLANK
+    first = kind == NUMBER
+    first[0] = full[0]
+    first[1:] |= full[1:] & (kind[1:] != kind[:-1])
+    # 's and the like are a piece where an apostrophe begins one
+    quotes = np.flatnonzero(first[:-3] & (points == ord("'")))
+    if len(quotes):
+        after = np.append(points, [0, 0, 0])
+        one, two = after[quotes + 1], after[quotes + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((np.isin(one, [ord(c) for c in "rv"])) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        first[quotes[short | long] + 1] = False
+        beyond = np.concatenate((quotes[short] + 2, quotes[long] + 3))
+        first[beyond] = full[beyond]
+    begin = np.flatnonzero(first)
+    end = np.flatnonzero(full[:-1] & (first[1:] | ~full[1:])) + 1
+    power, inverse = powers(len(points))
+    sums = np.zeros(len(points) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((points + np.uint32(1)) * power[: len(points)], out=sums[1:])
+        return points[full[:-3]], begin, end, (sums[end] - sums[begin]) * inverse[begin]
+
+
+def same_pieces(solid: np.ndarray, size: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each piece, of pieces that follow each other, has the characters of another one."""
+    if (size != size[other]).any():
+        return False
+    begin = np.cumsum(size) - size
+    its = np.arange(len(solid)) + np.repeat(begin[other] - begin, size)
+    return bool((solid == solid[its]).all())
+
+
 def pieces_of(text: str) -> list[str]:
     """The pieces of a text in its normal form."""
     return (ASCII_PIECES if text.isascii() else PIECES).findall(text)

@@ -108,3 +108,29 @@ def test_special_tokens_and_long_texts(monkeypatch):
     encoder = tokenfile.BatchEncoder(PATH, pieces=5)
     for _ in range(3):
         assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
+
+
+def test_pieces_are_found_together_and_looked_up_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(tokenfile, "pieces_of", lambda text: asked.append(text) or [])
+    monkeypatch.setattr(tokenfile, "PART", 40)
+    texts = ["it's 12 don'ts ''s \"'s 5's 'll 'lx x'", "İ ΑΣ é 𝟏𝒜 日本 ½Ⅷ \x1c\x85\x00 'RE we've", None, "", " ", "it's 1e5", "'"] * 4
+    encoder = tokenfile.BatchEncoder(PATH)
+    of, wanted = encoder.known.of, []
+    monkeypatch.setattr(encoder.known, "of", lambda pieces: wanted.append(pieces) or of(pieces))
+    whole = [tokenfile.library(PATH).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
+    assert asked == [] and len(wanted) == 1
+
+
+@pytest.mark.parametrize("endless", [True, False])
+def test_endless_words_and_equal_hashes(monkeypatch, endless):
+    texts = ["one two one", None, "three two " * 9, "it's"]
+    whole = [tokenfile.library(PATH).encode(t or "", add_special_tokens=False).ids for t in texts]
+    if endless:
+        monkeypatch.setattr(tokenfile, "ENDLESS", 10)
+    else:
+        located = tokenfile.located
+        monkeypatch.setattr(tokenfile, "located", lambda text: (*(found := located(text))[:3], found[3] * np.uint64(0)))
+    encoder = tokenfile.BatchEncoder(PATH)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
