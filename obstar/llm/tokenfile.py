@@ -215,7 +215,7 @@ class BatchEncoder:
             return self._piece_by_piece(texts)
         whole = "\n".join(texts)
         pieces = [whole[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
-        packed = list(map(self.known.of(set(pieces)), pieces))
+        packed = self.known.all(pieces)
         width = int(self.kind[2:])
         ids = np.frombuffer(b"".join(packed), self.kind)
         held = np.fromiter(map(len, packed), np.int64, len(packed)) // width
